@@ -24,8 +24,8 @@ from ordinate.sources.files import file_list
 # 8-byte little-endian length, 4-byte checksum before and after the payload.
 CRC_POLYNOMIAL = 0x82F63B78
 CRC_MASK_DELTA = 0xA282EAD8
-HEADER = struct.Struct("<QI")
-FOOTER = struct.Struct("<I")
+HEADER, HEADER_BYTES = "<QI", 12
+FOOTER, FOOTER_BYTES = "<I", 4
 
 #: bytes of a file that one task reads
 SPLIT_BYTES = 64 << 20
@@ -39,6 +39,15 @@ def _open(path: str):
     return system.open_input_file(name)
 
 
+def _spread(splits: DataFrame, *by: str) -> DataFrame:
+    """One task's worth of splits per partition.
+
+    The rows are only descriptions of what to read, so without a fixed number of
+    partitions adaptive execution would take them for little work and join them.
+    """
+    return splits.repartition(int(splits.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def fixed_length_records(
     spark: SparkSession, paths, record_bytes: int, header_bytes: int = 0, footer_bytes: int = 0,
     split_bytes: int = SPLIT_BYTES,
@@ -73,7 +82,7 @@ def fixed_length_records(
                             "value": [data[i:i + record_bytes] for i in range(0, len(data), record_bytes)],
                         })
 
-    return splits.repartition("path", "first").mapInPandas(read, "path string, record bigint, value binary")
+    return _spread(splits, "path", "first").mapInPandas(read, "path string, record bigint, value binary")
 
 
 # -- length-framed records -----------------------------------------------------
@@ -130,19 +139,19 @@ class _Inflated:
 
 def _framed(file, path: str, count: int | None, verify: bool) -> Iterator[bytes]:
     while count is None or count > 0:
-        head = file.read(HEADER.size)
+        head = file.read(HEADER_BYTES)
         if not head:
             return
-        if len(head) < HEADER.size:
+        if len(head) < HEADER_BYTES:
             raise ValueError(f"truncated record in {path}")
-        size, check = HEADER.unpack(head)
+        size, check = struct.unpack(HEADER, head)
         if masked_crc(head[:8]) != check:
             raise ValueError(f"corrupted record length in {path}")
-        body = file.read(size + FOOTER.size)
-        if len(body) < size + FOOTER.size:
+        body = file.read(size + FOOTER_BYTES)
+        if len(body) < size + FOOTER_BYTES:
             raise ValueError(f"truncated record in {path}")
         payload = body[:size]
-        if verify and masked_crc(payload) != FOOTER.unpack(body[size:])[0]:
+        if verify and masked_crc(payload) != struct.unpack(FOOTER, body[size:])[0]:
             raise ValueError(f"corrupted record in {path}")
         yield payload
         if count is not None:
@@ -161,7 +170,7 @@ def framed_records(
     """
     if compression not in (None, "GZIP", "ZLIB"):
         raise ValueError("compression must be None, GZIP or ZLIB")
-    files = file_list(spark, paths, shuffle=False).where("length > 0").select("path", "length").repartition("path")
+    files = _spread(file_list(spark, paths, shuffle=False).where("length > 0").select("path", "length"), "path")
     if compression is None:
         splits = files.mapInPandas(lambda frames: _walk(frames, split_bytes), "path string, offset bigint, first bigint, count bigint")
     else:
@@ -184,7 +193,7 @@ def framed_records(
                     if rows:
                         yield pd.DataFrame({"path": path, "record": np.arange(at, at + len(rows)), "value": rows})
 
-    return splits.repartition("path", "offset").mapInPandas(read, "path string, record bigint, value binary")
+    return _spread(splits, "path", "offset").mapInPandas(read, "path string, record bigint, value binary")
 
 
 def _walk(frames, split_bytes: int):
@@ -194,13 +203,13 @@ def _walk(frames, split_bytes: int):
                 start, first, at, record = 0, 0, 0, 0
                 while at < length:
                     file.seek(at)
-                    head = file.read(HEADER.size)
-                    if len(head) < HEADER.size:
+                    head = file.read(HEADER_BYTES)
+                    if len(head) < HEADER_BYTES:
                         raise ValueError(f"truncated record in {path}")
-                    size, check = HEADER.unpack(head)
+                    size, check = struct.unpack(HEADER, head)
                     if masked_crc(head[:8]) != check:
                         raise ValueError(f"corrupted record length in {path}")
-                    at, record = at + HEADER.size + size + FOOTER.size, record + 1
+                    at, record = at + HEADER_BYTES + size + FOOTER_BYTES, record + 1
                     if at - start >= split_bytes or at >= length:
                         yield pd.DataFrame({"path": [path], "offset": [start], "first": [first], "count": [record - first]})
                         start, first = at, record
@@ -225,7 +234,7 @@ def write_framed_records(df: DataFrame, column: str, path: str) -> int:
             for frame in frames:
                 for payload in frame[column]:
                     head = struct.pack("<Q", len(payload))
-                    out.write(head + FOOTER.pack(masked_crc(head)) + payload + FOOTER.pack(masked_crc(payload)))
+                    out.write(head + struct.pack(FOOTER, masked_crc(head)) + payload + struct.pack(FOOTER, masked_crc(payload)))
                     n += 1
         system.move(draft, f"{part}.records")
         yield pd.DataFrame({"n": [n]})
@@ -271,8 +280,14 @@ def decode_examples(records: DataFrame, features: dict[str, str], column: str =
             yield pd.DataFrame(out)
 
     rows = records.mapInPandas(decode, ", ".join(p for p in (kept_ddl, ddl) if p))
-    one = lambda n: F.when(F.size(F.col(f"`{n}`")) > 1, F.raise_error(F.lit(f"feature {n} has more than one value"))).otherwise(F.get(F.col(f"`{n}`"), F.lit(0)))
-    return rows.select(*kept, *[F.col(f"`{n}`") if lists[n] else one(n).cast(_SPARK_ELEMENT[kinds[n]]).alias(n) for n in kinds])
+
+    def only(name: str):
+        values = F.col(f"`{name}`")
+        several = F.raise_error(F.lit(f"feature {name} has more than one value"))
+        first = F.when(F.size(values) > 1, several).otherwise(F.get(values, F.lit(0)))
+        return first.cast(_SPARK_ELEMENT[kinds[name]]).alias(name)
+
+    return rows.select(*kept, *[F.col(f"`{n}`") if lists[n] else only(n) for n in kinds])
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:

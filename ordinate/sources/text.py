@@ -86,6 +86,7 @@ def _raw_csv(spark: SparkSession, paths: list[str], spec: RecordSpec) -> DataFra
         spark.read.schema(f"{fields}, {_BAD} string")
         .option("sep", spec.delim).option("header", spec.skip == 1)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD)
+        .option("columnPruning", False)  # a short record must show whichever columns are wanted
         .csv(paths)
     )
 
