@@ -14,13 +14,10 @@ class Tables:
     """Tables of one scale factor, by attribute."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self._folder = spark, folder.rstrip("/")
-
-    def path(self, name: str) -> str:
-        return f"{self._folder}/{name}.parquet"
+        self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
 def query(sql: str | None = None):

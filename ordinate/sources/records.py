@@ -33,9 +33,20 @@ SPLIT_BYTES = 64 << 20
 CHUNK_BYTES = 4 << 20
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark's own readers and writers would take it."""
+    plain = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return plain.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(plain).toString()
+
+
+def _locate(path: str):
+    """Arrow's file system for a qualified path, and the name within it."""
+    single = path.startswith("file:/") and not path.startswith("file://")
+    return fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if single else path)
+
+
 def _open(path: str):
-    uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
-    system, name = fs.FileSystem.from_uri(uri)
+    system, name = _locate(path)
     return system.open_input_file(name)
 
 
@@ -224,9 +235,11 @@ def write_framed_records(df: DataFrame, column: str, path: str) -> int:
     speculative task leaves one finished file per partition.
     """
 
+    target = _qualified(df.sparkSession, path)
+
     def write(frames):
         context = TaskContext.get()
-        system, base = fs.FileSystem.from_uri(path if "://" in path else "file://" + path)
+        system, base = _locate(target)
         system.create_dir(base, recursive=True)
         part = f"{base}/part-{context.partitionId():06d}"
         draft, n = f"{part}.{context.taskAttemptId()}.tmp", 0
