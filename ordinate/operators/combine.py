@@ -16,10 +16,14 @@ from ordinate.functions.hashing import seeded_hash, uniform
 from ordinate.operators.mapping import as_column
 from ordinate.operators.position import concatenate, repeat
 from ordinate.order import Ordinal, as_list, comparable, require_batch, running, with_ordinal
+from ordinate.scratch import written
 
 #: arrival times are whole numbers of this fraction, so that sums are exact
 ARRIVAL_SCALE = 1_000_000
 
+#: the turns of up to this many sources are sent to every task, those of more are joined
+BROADCAST_SOURCES = 100_000
+
 
 def _keys(df: DataFrame, order_by) -> list[Column]:
     return [comparable(df, c) for c in as_list(order_by)]
@@ -78,7 +82,9 @@ def interleave(
     counts = keyed.groupBy("__source").agg(F.count(F.lit(1)).alias("rows"), F.min(rank).alias("rank"))
     # a source is found to be empty only on the turn after its last full block
     turns = counts.withColumn("turns", F.expr(f"rows div {int(block_length)}") + 1)
-    plan = _open_sources(turns, cycle_length)
+    plan = written(_open_sources(turns, cycle_length), "interleave")
+    if plan.count() <= BROADCAST_SOURCES:
+        plan = F.broadcast(plan)
     ranked = with_ordinal(keyed, order_by, "__k", partition_by="__source")
     out = ranked.join(plan, F.col("__source").eqNullSafe(F.col("__opened")))
     return out.select(
@@ -127,21 +133,31 @@ def choose_from_datasets(
     ``stop_on_empty=False`` that choice is passed over.  Ordered by ``name``, the
     position of the choice.
     """
-    picks = with_ordinal(choices, choice_order, name).select(name, F.col(choice).cast("int").alias("source_id"))
-    picks = with_ordinal(picks, name, "__k", partition_by="source_id")
+    n = len(inputs)
     tagged = [df.withColumns({f"__o{j}": c for j, c in enumerate(_keys(df, order))}) for df, order in inputs]
     pool = concatenate(*tagged)
     keys = [f"__o{j}" for j in range(len(as_list(inputs[0][1])))]
+    counted = {r["source_id"]: r["count"] for r in pool.groupBy("source_id").count().collect()}  # one row per input
     pool = with_ordinal(pool, keys, "__k", partition_by="source_id").drop(*keys)
     columns = [c for c in pool.columns if c not in ("source_id", "__k")]
-    if not stop_on_empty:
-        joined = picks.join(pool, ["source_id", "__k"])
-    else:
-        # the k-th pick of a source fails when k reaches the source's row count
-        counts = pool.groupBy("source_id").agg(F.count(F.lit(1)).alias("__rows"))
-        failed = picks.join(counts, "source_id", "left").where(F.col("__k") >= F.coalesce("__rows", F.lit(0)))
-        stop = failed.agg(F.min(name).alias("v")).scalar()
-        joined = picks.join(pool, ["source_id", "__k"]).where(F.coalesce(F.col(name) < stop, F.lit(True)))
+
+    chosen = F.col(choice).cast("int")
+    known = F.when(chosen.between(0, n - 1), chosen).otherwise(F.raise_error(F.lit(f"a choice is outside [0, {n})")).cast("int"))
+    steps = choices.withColumn("source_id", known)
+    if isinstance(choice_order, Ordinal):
+        steps = steps.withColumn("__at", F.col(choice_order).cast("bigint"))
+        choice_order = "__at"
+    # one pass over the choices ranks them overall and within each input
+    picked = {f"__n{i}": ("count", F.when(F.col("source_id") == i, 1)) for i in range(n)}
+    steps = running(steps, choice_order, {"__n": ("count", F.lit(1)), **picked})
+    mine = F.coalesce(*[F.when(F.col("source_id") == i, F.col(f"__n{i}")) for i in range(n)])
+    picks = steps.select((F.col("__n") - 1).alias(name), "source_id", (mine - 1).alias("__k"))
+    if stop_on_empty:
+        # the k-th pick of an input fails when k reaches the input's row count
+        rows = F.get(F.array(*[F.lit(counted.get(i, 0)).cast("bigint") for i in range(n)]), F.col("source_id"))
+        stop = picks.where(F.col("__k") >= rows).agg(F.min(name).alias("v")).scalar()
+        picks = picks.where(F.coalesce(F.col(name) < stop, F.lit(True)))
+    joined = picks.join(pool, ["source_id", "__k"])
     return joined.select(name, "source_id", *[F.col(f"`{c}`") for c in columns])
 
 

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from ordinate.operators.mapping import as_condition
 from ordinate.order import (
-    Ordinal, as_list, before_key, comparable, from_key, key_at, require_batch, with_ordinal, _pack,
+    BUCKET, Ordinal, as_list, before_key, build_index, comparable, from_key, key_at, require_batch, with_ordinal, _pack,
 )
 
-#: up to this many rows are taken with a top-k sort; more are found by their key
-TOP_K_ROWS = 100_000
+#: up to this many rows are taken with a top-k sort, for which every task sends that
+#: many to one; for more, the key of the first row not taken is found, and filtered on
+TOP_K_ROWS = 100
 
 
 def enumerate_rows(df: DataFrame, order_by, start: int = 0, name: str = "index") -> DataFrame:
@@ -113,9 +114,18 @@ def zip_datasets(*inputs: tuple[DataFrame, object], name: str = "ord") -> DataFr
     """
     if len(inputs) < 2:
         raise ValueError("zip needs at least two inputs")
-    sides = []
-    for i, (df, order_by) in enumerate(inputs):
-        cols = df.columns
-        ranked = with_ordinal(df, order_by, "__ord")
-        sides.append(ranked.select(F.col("__ord").alias(name), F.struct(*[F.col(f"`{c}`") for c in cols]).alias(f"_{i}")))
-    return reduce(lambda a, b: a.join(b, name), sides)
+    columns = [df.columns for df, _ in inputs]
+    if any(isinstance(order_by, Ordinal) for _, order_by in inputs):
+        sides, on = [with_ordinal(df, order_by, name + "__") for df, order_by in inputs], [name + "__"]
+    else:
+        # cut every input at the same positions: rows that pair up are in the same
+        # partition once ranked, and the join moves nothing
+        indexes = [build_index(df, order_by) for df, order_by in inputs]
+        cuts = indexes[0].starts
+        sides = [ix.cut_at(df, cuts).ranked(df, name + "__") for ix, (df, _) in zip(indexes, inputs)]
+        on = [BUCKET, name + "__"]
+    packed = [
+        side.select(*on, F.struct(*[F.col(f"`{c}`") for c in cols]).alias(f"_{i}"))
+        for i, (side, cols) in enumerate(zip(sides, columns))
+    ]
+    return reduce(lambda a, b: a.join(b, on), packed).withColumnRenamed(name + "__", name).drop(BUCKET)

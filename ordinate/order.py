@@ -12,6 +12,8 @@ the result to be right.  The index holds one entry per bucket, never per row.
 
 from __future__ import annotations
 
+import base64
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -69,8 +71,17 @@ def comparable(df: DataFrame, name: str) -> Column:
     return col
 
 
-def _literal_array(values: Sequence, ddl: str) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast(f"array<{ddl}>")
+def _table(values: Sequence, ddl: str) -> Column:
+    """A constant array, one entry per bucket.
+
+    It enters the plan as one piece of JSON text and is folded to a literal, so plans
+    stay small for any number of buckets.
+    """
+
+    def plain(value):
+        return base64.b64encode(value).decode() if isinstance(value, (bytes, bytearray)) else str(value)
+
+    return F.from_json(F.lit(json.dumps(values, default=plain)), f"array<{ddl}>")
 
 
 @dataclass(frozen=True)
@@ -102,10 +113,11 @@ class OrderIndex:
     def key_literal(self, values: tuple) -> Column:
         return _pack([F.lit(v).cast(t) for v, t in zip(values, self.key_ddl)])
 
-    def _key_array(self, keys: list[tuple]) -> Column:
-        if len(self.key_ddl) == 1:
-            return _literal_array([k[0] for k in keys], self.key_ddl[0])
-        return F.array(*[self.key_literal(k) for k in keys])
+    def _key_table(self, keys: list[tuple], ddl: Sequence[str]) -> Column:
+        if len(ddl) == 1:
+            return _table([k[0] for k in keys], ddl[0])
+        fields = ",".join(f"f{i}:{t}" for i, t in enumerate(ddl))
+        return _table([{f"f{i}": v for i, v in enumerate(k)} for k in keys], f"struct<{fields}>")
 
     def with_bucket(self, df: DataFrame, key: Column) -> DataFrame:
         """Add the number of lower bounds at or below ``key``: a binary search per row.
@@ -116,7 +128,7 @@ class OrderIndex:
         bounds = self.lower[1:]
         if not bounds:
             return df.withColumn(BUCKET, F.lit(0))
-        table = self._key_array(bounds)
+        table = self._key_table(bounds, self.key_ddl)
         key_name = "__key"
         out = df.withColumn(key_name, key)
         at = F.lit(0)
@@ -139,51 +151,60 @@ class OrderIndex:
         values = self.carry[measure]
         if all(v is None for v in values):
             return F.lit(None).cast(ddl)
-        found = F.get(_literal_array(values, ddl), F.col(BUCKET))
+        found = F.get(_table(values, ddl), F.col(BUCKET))
         if not self.partition_by:
             return found
         # only the first group of a bucket can have begun in an earlier one
         width = self._group_width
-        heads = [k[:width] for k in self.lower]
+        heads = self._key_table([k[:width] for k in self.lower], self.key_ddl[:width])
         group = _pack([comparable(df, c) for c in self.partition_by])
-        if width == 1:
-            head = F.get(_literal_array([h[0] for h in heads], self.key_ddl[0]), F.col(BUCKET))
-        else:
-            head = F.get(
-                F.array(*[_pack([F.lit(v).cast(t) for v, t in zip(h, self.key_ddl)]) for h in heads]),
-                F.col(BUCKET),
-            )
-        return F.when(head.eqNullSafe(group), found)
+        return F.when(F.get(heads, F.col(BUCKET)).eqNullSafe(group), found)
+
+    @property
+    def starts(self) -> list[int]:
+        """Position of the first row of each bucket."""
+        return [n or 0 for n in self.carry["n"]]
 
     def aligned(self, df: DataFrame, every: int) -> "OrderIndex":
-        """Move each lower bound up to the next ordinal divisible by ``every``.
+        """Move each lower bound up to the next position divisible by ``every``.
 
         Runs of ``every`` rows then never straddle two buckets, so grouping them
-        after ranking needs no second shuffle.  Reads only the ordering columns.
+        after ranking needs no second shuffle.
         """
-        offsets = self.carry["n"]
-        if len(self.rows) < 2:
+        return self.cut_at(df, sorted({-(-s // every) * every for s in self.starts}))
+
+    def cut_at(self, df: DataFrame, positions: Sequence[int]) -> "OrderIndex":
+        """The index whose buckets begin at the given positions; reads only ordering columns."""
+        positions = [p for p in positions if 0 < p < self.total]
+        if positions == self.starts[1:]:
             return self
-        want = [-(o or 0) % every for o in offsets]
         names = [f"k{i}" for i in range(len(self.key_ddl))]
-        keys = df.select(*[comparable(df, c).alias(n) for c, n in zip(self.order_by, names)])
-        ranked = (
-            self.with_bucket(keys, _pack([F.col(n) for n in names]))
-            .repartitionById(self.partitions, F.col(BUCKET))
-            .withColumn("r", F.row_number().over(Window.partitionBy(BUCKET).orderBy(*names)) - 1)
-            .where(F.col("r") == F.get(_literal_array(want, "int"), F.col(BUCKET)))
-        )
-        found = {r[BUCKET]: tuple(r[n] for n in names) for r in ranked.collect()}
-        keep = [b for b in range(len(self.rows)) if b == 0 or b in found]
-        starts = [(offsets[b] or 0) + (want[b] if b else 0) for b in keep]
-        ends = [*starts[1:], self.total]
+        found = {}
+        if positions:
+            keys = df.select(*[comparable(df, c).alias(n) for c, n in zip(self.order_by, names)])
+            rank = F.row_number().over(Window.partitionBy(BUCKET).orderBy(*names)).cast("bigint") - 1
+            ranked = (
+                self.with_bucket(keys, _pack([F.col(n) for n in names]))
+                .repartitionById(self.partitions, F.col(BUCKET))
+                .withColumn("at", rank + F.get(_table(self.starts, "bigint"), F.col(BUCKET)))
+                .where(F.col("at").isin(positions))
+            )
+            found = {r["at"]: tuple(r[n] for n in names) for r in ranked.collect()}
+        starts = [0, *positions]
         return OrderIndex(
             self.order_by, self.partition_by, self.key_ddl,
-            [found.get(b, self.lower[b]) if b else self.lower[0] for b in keep],
-            [e - s for s, e in zip(starts, ends)],
+            [self.lower[0], *[found[p] for p in positions]] if self.lower else [],
+            [e - s for s, e in zip(starts, [*positions, self.total])],
             {"n": starts}, self.partitions,
         )
 
+    def ranked(self, df: DataFrame, name: str, start: int = 0) -> DataFrame:
+        """Rows placed by bucket, with their position in order as ``name``."""
+        placed = self.place(df)
+        position = F.row_number().over(self.window()).cast("bigint") - 1
+        ahead = F.coalesce(self.before(placed, "n", "bigint"), F.lit(0).cast("bigint"))
+        return placed.withColumn(name, position + ahead + F.lit(start).cast("bigint"))
+
 
 def _pack(parts: Sequence[Column]) -> Column:
     if len(parts) == 1:
@@ -286,10 +307,7 @@ def with_ordinal(
     index = build_index(df, order_by, partition_by, buckets=buckets)
     if align and not as_list(partition_by):
         index = index.aligned(df, align)
-    placed = index.place(df)
-    position = F.row_number().over(index.window()).cast("bigint") - 1
-    ahead = F.coalesce(index.before(placed, "n", "bigint"), F.lit(0).cast("bigint"))
-    out = placed.withColumn(name, position + ahead + F.lit(start).cast("bigint"))
+    out = index.ranked(df, name, start)
     return out if keep_bucket else out.drop(BUCKET)
 
 
@@ -324,14 +342,22 @@ def running(
     return placed.withColumns(added).drop(BUCKET)
 
 
+#: up to this position, keys that are certainly too large are left out before ranking
+PREFIX_ROWS = 1_000_000
+
+
 def key_at(df: DataFrame, order_by, position: int) -> tuple[OrderIndex, tuple | None]:
-    """The sort key of the row at ``position``, ranking only the bucket that holds it."""
+    """The sort key of the row at ``position`` (from 0), or None if there are fewer rows.
+
+    Ranks the keys of the one bucket that holds the row.
+    """
+    if position < PREFIX_ROWS:
+        df = _prefix(df, order_by, position)
     index = build_index(df, order_by)
     if position >= index.total:
         return index, None
-    starts = [v or 0 for v in index.carry["n"]]
-    bucket = max(b for b, s in enumerate(starts) if s <= position)
     names = [f"k{i}" for i in range(len(index.key_ddl))]
+    bucket = max(b for b, s in enumerate(index.starts) if s <= position)
     keys = df.select(*[comparable(df, c).alias(n) for c, n in zip(index.order_by, names)])
     packed = _pack([F.col(n) for n in names])
     inside = keys.where(packed >= index.key_literal(index.lower[bucket])) if bucket else keys
@@ -339,10 +365,31 @@ def key_at(df: DataFrame, order_by, position: int) -> tuple[OrderIndex, tuple |
         inside = inside.where(packed < index.key_literal(index.lower[bucket + 1]))
     ranked = inside.withColumn(
         "r", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*names)) - 1
-    ).where(F.col("r") == position - starts[bucket])
+    ).where(F.col("r") == position - index.starts[bucket])
     return index, tuple(ranked.select(*names).first())
 
 
+def _prefix(df: DataFrame, order_by, position: int) -> DataFrame:
+    """Drop rows that cannot be among the first ``position + 1``.
+
+    Of the smallest keys of many hash groups, the one at ``position`` is at or after
+    the wanted row, since that many rows are known not to follow it.  Tasks send on
+    one key per group, and most of the table is gone before anything is sorted.
+    """
+    require_batch(df, "an ordered operator")
+    order = as_list(order_by)
+    parts = [comparable(df, c) for c in order]
+    ddl = [df.select(p.alias("v")).schema["v"].dataType.simpleString() for p in parts]
+    group = F.pmod(F.xxhash64(*parts), F.lit(4 * (position + 1)))
+    smallest = df.select(group.alias("g"), _pack(parts).alias("key")).groupBy("g").agg(F.min("key").alias("key"))
+    found = smallest.orderBy("key").offset(position).limit(1).collect()
+    if not found:
+        return df
+    bound = tuple(found[0]["key"]) if len(order) > 1 else (found[0]["key"],)
+    kept = df.where(_pack(parts) <= _pack([F.lit(v).cast(t) for v, t in zip(bound, ddl)]))
+    return kept.where(parts[0] <= F.lit(bound[0]).cast(ddl[0])) if len(order) > 1 else kept
+
+
 def from_key(df: DataFrame, index: OrderIndex, bound: tuple) -> Column:
     """Rows at or after ``bound``; the plain first-column test is what Parquet can prune on."""
     whole = index.key(df) >= index.key_literal(bound)
