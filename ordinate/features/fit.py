@@ -13,6 +13,9 @@ from ordinate.scratch import written
 #: a vocabulary up to this size is kept as a list; a larger one stays a table
 LISTED_VOCABULARY = 10_000
 
+#: a value is frequent if it has more than one in so many of all rows: at most that many are
+FREQUENT_SHARE = 1_000
+
 
 @dataclass(frozen=True, eq=False)
 class Vocab:
@@ -21,6 +24,7 @@ class Vocab:
     size: int
     values: list[str] | None = None
     table: DataFrame | None = None
+    frequent: list[tuple[str, int]] | None = None  # (value, id) of a table's commonest values
 
 
 @dataclass(frozen=True, eq=False)
@@ -88,18 +92,20 @@ def _vocabularies(data: DataFrame, steps) -> dict[str, Vocab]:
     for r in distinct.where(F.col("step").isin(small)).select("step", "value").collect():
         listed[r["step"]].append(r["value"])
     for i, s in enumerate(learned):
-        numeric = _is_numeric(data, s.key)
+        number = _number_kind(data, s.key)
         if i in listed:
             # UTF-8 byte order, which is also how Spark compares strings
-            order = float if numeric else lambda v: v.encode()
+            order = {"bigint": int, "double": float}.get(number, str.encode)
             values = sorted(listed[i], key=order)
             found[s.name] = Vocab(len(values), values)
         else:
-            one = distinct.where(F.col("step") == i).select("value")
-            order = [F.col("value").cast("double").alias("number")] if numeric else []
-            keys = one.select(*order, "value")
-            table = with_ordinal(keys, keys.columns, "id").select("value", "id")
-            found[s.name] = Vocab(sizes[i], table=written(table, "vocabulary"))
+            one = distinct.where(F.col("step") == i)
+            order = [F.col("value").cast(number).alias("number")] if number else []
+            keys = one.select(*order, "value", "n")
+            table = written(with_ordinal(keys, [c for c in keys.columns if c != "n"], "id").select("value", "id", "n"), "vocabulary")
+            total = table.agg(F.sum("n")).first()[0]
+            frequent = [(r["value"], r["id"]) for r in table.where(F.col("n") > total / FREQUENT_SHARE).collect()]
+            found[s.name] = Vocab(sizes[i], table=table.select("value", "id"), frequent=frequent)
     return found
 
 
@@ -107,9 +113,13 @@ def _tagged(values, i: int):
     return F.transform(values, lambda v: F.struct(F.lit(i).alias("step"), v.cast("string").alias("value")))
 
 
-def _is_numeric(data: DataFrame, key: str) -> bool:
+def _number_kind(data: DataFrame, key: str) -> str | None:
+    """The type to sort a column's values by, if they are numbers."""
     kind = data.schema[key].dataType
-    return isinstance(kind.elementType if isinstance(kind, T.ArrayType) else kind, T.NumericType)
+    kind = kind.elementType if isinstance(kind, T.ArrayType) else kind
+    if isinstance(kind, T.IntegralType):
+        return "bigint"
+    return "double" if isinstance(kind, T.NumericType) else None
 
 
 def _from_file(data: DataFrame, step: S.Vocabulary) -> Vocab:

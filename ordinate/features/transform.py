@@ -164,20 +164,17 @@ class FittedSpec:
         return _or_unknown(place, text, step, vocab)
 
     def _joined(self, df: DataFrame, step: S.Vocabulary, column: str, row_key: list[str]) -> DataFrame:
-        """Ids by joining the vocabulary; Spark broadcasts it only if its size allows."""
+        """Ids by joining the vocabulary."""
         vocab = self.learned.vocabularies[step.name]
-        table = vocab.table
-        if table is None:
-            table = df.sparkSession.createDataFrame(list(enumerate(vocab.values)), "id bigint, value string")
-        table = table.select(F.col("value").alias("__value"), F.col("id").alias("__id"))
         if not isinstance(df.schema[step.key].dataType, T.ArrayType):
             text = F.col(f"`{step.key}`").cast("string")
-            found = df.join(table, text == F.col("__value"), "left")
-            return found.withColumn(column, _or_unknown(F.col("__id"), text, step, vocab)).drop("__value", "__id")
+            spread = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+            found = _looked_up(df, text, vocab, spread)
+            return found.withColumn(column, _or_unknown(F.col("__id"), text, step, vocab)).drop("__id")
         _need_key(step.name, row_key)
-        items = df.select(*row_key, F.posexplode(F.col(f"`{step.key}`")).alias("__pos", "__text"))
-        text = F.col("__text").cast("string")
-        items = items.join(table, text == F.col("__value"), "left")
+        items = df.select(*row_key, F.posexplode(F.col(f"`{step.key}`")).alias("__pos", "__item"))
+        text = F.col("__item").cast("string")
+        items = _looked_up(items, text, vocab, [*(F.col(k) for k in row_key), F.col("__pos")])
         ids = _or_unknown(F.col("__id"), text, step, vocab)
         gathered = F.sort_array(F.collect_list(F.struct("__pos", ids.alias("id"))))
         rows = items.groupBy(*row_key).agg(gathered.getField("id").alias(column))
@@ -231,6 +228,29 @@ class FittedSpec:
         return F.array(value.cast("double"))
 
 
+def _looked_up(df: DataFrame, text: Column, vocab: Vocab, spread: list[Column]) -> DataFrame:
+    """Add ``__id``, the id of ``text`` in the vocabulary (null: not in it).
+
+    A listed vocabulary has a bounded size and can go to every task.  Of a table, only
+    the frequent values do; rows that have one, or null, are then spread evenly over
+    the join, so that no task gets all rows of a common value.
+    """
+    spark, kind = df.sparkSession, "__value string, __id bigint"
+    if vocab.table is None:
+        listed = spark.createDataFrame([(v, i) for i, v in enumerate(vocab.values)], kind)
+        return df.join(F.broadcast(listed), text == F.col("__value"), "left").drop("__value")
+    table = vocab.table.select(F.col("value").alias("__value"), F.col("id").alias("__id"))
+    if not vocab.frequent:
+        return df.join(table, text == F.col("__value"), "left").drop("__value")
+    common = spark.createDataFrame(vocab.frequent, "__common string, __common_id bigint")
+    first = df.withColumn("__text", text).join(F.broadcast(common), F.col("__text") == F.col("__common"), "left")
+    open_ = F.col("__common").isNull() & F.col("__text").isNotNull()
+    first = first.withColumn("__key", F.when(open_, F.col("__text")).otherwise(F.xxhash64(*spread).cast("string")))
+    found = first.join(table, (F.col("__key") == F.col("__value")) & F.col("__common").isNull() & F.col("__text").isNotNull(), "left")
+    found = found.withColumn("__id", F.coalesce("__common_id", "__id"))
+    return found.drop("__text", "__common", "__common_id", "__key", "__value")
+
+
 def _need_key(name: str, row_key: list[str]) -> None:
     if not row_key:
         raise ValueError(f"{name} works on arrays through a join: give row_key, the columns that identify a row")
