@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from ordinate.operators.mapping import as_condition
 from ordinate.order import (
-    BUCKET, Ordinal, as_list, before_key, build_index, comparable, from_key, key_at, require_batch, with_ordinal, _pack,
+    BUCKET, Ordinal, as_list, before_key, build_index, comparable, from_key, key_at, prefix, require_batch, with_ordinal, _pack,
 )
 
-#: up to this many rows are taken with a top-k sort, for which every task sends that
-#: many to one; for more, the key of the first row not taken is found, and filtered on
+#: up to this many rows are taken with a plain top-k sort, in which every task sends
+#: that many to one task
 TOP_K_ROWS = 100
+#: up to this many, with a top-k sort of the rows that can be among them; for more, the
+#: key of the first row not taken is found, and filtered on
+SORTED_ROWS = 100_000
 
 
 def enumerate_rows(df: DataFrame, order_by, start: int = 0, name: str = "index") -> DataFrame:
@@ -30,6 +33,8 @@ def take(df: DataFrame, count: int, order_by) -> DataFrame:
         return df.where(F.col(order_by) < count)
     if count <= TOP_K_ROWS:
         return df.orderBy(*as_list(order_by)).limit(count)
+    if count <= SORTED_ROWS:
+        return prefix(df, order_by, count).orderBy(*as_list(order_by)).limit(count)
     index, bound = key_at(df, order_by, count)
     return df if bound is None else df.where(before_key(df, index, bound))
 

@@ -342,47 +342,53 @@ def running(
     return placed.withColumns(added).drop(BUCKET)
 
 
-#: up to this position, keys that are certainly too large are left out before ranking
+#: up to this position a key is found among the few that can stand there
 PREFIX_ROWS = 1_000_000
 
 
 def key_at(df: DataFrame, order_by, position: int) -> tuple[OrderIndex, tuple | None]:
     """The sort key of the row at ``position`` (from 0), or None if there are fewer rows.
 
-    Ranks the keys of the one bucket that holds the row.
+    Comes with an index that can compare keys with it.
     """
+    names = as_list(order_by)
+    cols = [f"k{i}" for i in range(len(names))]
+    keys = df.select(*[comparable(df, c).alias(n) for c, n in zip(names, cols)])
     if position < PREFIX_ROWS:
-        df = _prefix(df, order_by, position)
+        ddl = tuple(keys.schema[n].dataType.simpleString() for n in cols)
+        near = prefix(df, order_by, position + 1).select(*[comparable(df, c).alias(n) for c, n in zip(names, cols)])
+        found = near.orderBy(*cols).offset(position).limit(1).collect()
+        return OrderIndex(tuple(names), (), ddl, [], [], {"n": []}, 1), tuple(found[0]) if found else None
     index = build_index(df, order_by)
     if position >= index.total:
         return index, None
-    names = [f"k{i}" for i in range(len(index.key_ddl))]
+    # rank the keys of the one bucket that holds the row
     bucket = max(b for b, s in enumerate(index.starts) if s <= position)
-    keys = df.select(*[comparable(df, c).alias(n) for c, n in zip(index.order_by, names)])
-    packed = _pack([F.col(n) for n in names])
+    packed = _pack([F.col(n) for n in cols])
     inside = keys.where(packed >= index.key_literal(index.lower[bucket])) if bucket else keys
     if bucket + 1 < len(index.lower):
         inside = inside.where(packed < index.key_literal(index.lower[bucket + 1]))
     ranked = inside.withColumn(
-        "r", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*names)) - 1
+        "r", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*cols)) - 1
     ).where(F.col("r") == position - index.starts[bucket])
-    return index, tuple(ranked.select(*names).first())
+    return index, tuple(ranked.select(*cols).first())
 
 
-def _prefix(df: DataFrame, order_by, position: int) -> DataFrame:
-    """Drop rows that cannot be among the first ``position + 1``.
+def prefix(df: DataFrame, order_by, count: int) -> DataFrame:
+    """The first ``count`` rows and a few more: what is left can be sorted at once.
 
-    Of the smallest keys of many hash groups, the one at ``position`` is at or after
-    the wanted row, since that many rows are known not to follow it.  Tasks send on
-    one key per group, and most of the table is gone before anything is sorted.
+    Keys fall into four times as many hash groups as rows are wanted.  Of the groups'
+    smallest keys, the ``count``-th is at or after the last wanted row, for that many
+    rows are known not to follow it.  About 1.15 ``count`` rows pass the filter, and
+    tasks send on one key per group to find it.
     """
     require_batch(df, "an ordered operator")
     order = as_list(order_by)
     parts = [comparable(df, c) for c in order]
     ddl = [df.select(p.alias("v")).schema["v"].dataType.simpleString() for p in parts]
-    group = F.pmod(F.xxhash64(*parts), F.lit(4 * (position + 1)))
+    group = F.pmod(F.xxhash64(*parts), F.lit(4 * count))
     smallest = df.select(group.alias("g"), _pack(parts).alias("key")).groupBy("g").agg(F.min("key").alias("key"))
-    found = smallest.orderBy("key").offset(position).limit(1).collect()
+    found = smallest.orderBy("key").offset(count - 1).limit(1).collect()
     if not found:
         return df
     bound = tuple(found[0]["key"]) if len(order) > 1 else (found[0]["key"],)

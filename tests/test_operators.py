@@ -86,9 +86,10 @@ def test_take_and_skip(spark, monkeypatch):
     assert values(o.skip(df, 17, "v"), "v", "v") == [17, 18, 19]
     assert o.skip(df, 0, "v").count() == 20
     assert o.skip(df, 20, "v").count() == 0 and o.skip(df, -1, "v").count() == 0
-    monkeypatch.setattr("ordinate.operators.position.TOP_K_ROWS", 2)
-    assert values(o.take(df, 5, "v"), "v", "v") == [0, 1, 2, 3, 4]
-    assert o.take(df, 50, "v").count() == 20
+    for limit in ("TOP_K_ROWS", "SORTED_ROWS"):
+        monkeypatch.setattr(f"ordinate.operators.position.{limit}", 2)
+        assert values(o.take(df, 5, "v"), "v", "v") == [0, 1, 2, 3, 4]
+        assert o.take(df, 50, "v").count() == 20
     pairs = df.select((F.col("v") % 4).alias("a"), "v")
     assert values(o.skip(pairs, 6, ["a", "v"]), ["a", "v"], "v") == values(pairs, ["a", "v"], "v")[6:]
     assert values(o.take(pairs, 6, ["a", "v"]), ["a", "v"], "v") == values(pairs, ["a", "v"], "v")[:6]

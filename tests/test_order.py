@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from ordinate.order import BUCKET, Ordinal, build_index, key_at, running, with_ordinal
+from ordinate.order import BUCKET, Ordinal, build_index, key_at, prefix, running, with_ordinal
 
 ORDERS = ["o_orderdate", "o_orderkey"]
 
@@ -91,7 +91,9 @@ def test_running_measures(table, keys, exclusive):
         assert both.where(~F.col(n).eqNullSafe(F.col("w_" + n))).count() == 0, n
 
 
-def test_key_at(table):
+@pytest.mark.parametrize("near", [0, 1_000_000])
+def test_key_at(table, near, monkeypatch):
+    monkeypatch.setattr("ordinate.order.PREFIX_ROWS", near)
     df = table("orders")
     rows = [r.o_orderkey for r in df.orderBy(*ORDERS).collect()]
     for position in (0, 1, 777, len(rows) - 1):
@@ -100,6 +102,14 @@ def test_key_at(table):
     assert key_at(df, ORDERS, len(rows))[1] is None
 
 
+def test_prefix_holds_the_first_rows(table):
+    df = table("orders")
+    for count in (1, 50, 700):
+        kept = {r.o_orderkey for r in prefix(df, ORDERS, count).collect()}
+        assert {r.o_orderkey for r in df.orderBy(*ORDERS).limit(count).collect()} <= kept
+        assert len(kept) < 1.5 * count + 20
+
+
 def test_ranking_reads_and_moves_rows_once(table):
     plan = plan_of(with_ordinal(table("orders"), "o_orderkey"))
     assert plan.count("Exchange") == 1
