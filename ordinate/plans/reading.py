@@ -123,6 +123,57 @@ def framed_documents(t):
         F.substring_index(text, "\t", 1).cast("bigint").alias("doc_id"), F.length(body).alias("letters"), F.md5(body).alias("digest"))
 
 
+@query("""
+SELECT c_custkey, c_nationkey, c_mktsegment, CAST(round(c_acctbal * 100) AS BIGINT) AS cents, c_custkey % 3 AS n_digits FROM customer
+""")
+def example_customers(t):
+    path = scratch_path(t.spark, "examples")
+    features = {"c_custkey": "int64", "c_nationkey": "int64", "c_mktsegment": "bytes", "digits": "int64[]", "balance": "float[]"}
+    whole, rest = F.floor("c_acctbal"), F.col("c_acctbal") - F.floor("c_acctbal")  # each exact enough as a float
+    rows = t.customer.withColumns({
+        "digits": F.slice(F.array(F.lit(1), F.lit(-2), F.lit(3)), F.lit(1), (F.col("c_custkey") % 3).cast("int")),
+        "balance": F.array(whole.cast("float"), rest.cast("float"))})
+    o.write_framed_records(o.encode_examples(rows, features), "value", path)
+    back = o.decode_examples(o.framed_records(t.spark, f"{path}/*.records"), features)
+    cents = F.round((F.get("balance", F.lit(0)).cast("double") + F.get("balance", F.lit(1)).cast("double")) * 100).cast("bigint")
+    return back.select(
+        "c_custkey", F.col("c_nationkey").cast("int").alias("c_nationkey"), F.col("c_mktsegment").cast("string").alias("c_mktsegment"),
+        cents.alias("cents"), F.size("digits").cast("bigint").alias("n_digits"))
+
+
+@query("SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+def inferred_orders(t):
+    path = _orders_csv(t, sep="\t")
+    return o.text_lines(t.spark, path, o.tsv_record_spec(t.spark, path))
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def cache_customers(t):
+    path = scratch_path(t.spark, "cache")
+    return o.cache(t.customer.select("c_custkey", "c_name", "c_acctbal"), path)
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 25")
+def collect_cheapest_orders(t):
+    rows = o.collect(t.orders.select("o_totalprice", "o_orderkey", "o_custkey"), ["o_totalprice", "o_orderkey"], 25)
+    return t.spark.createDataFrame([(r.o_orderkey, r.o_custkey) for r in rows], "o_orderkey bigint, o_custkey bigint")
+
+
+@query("SELECT max(event_id) AS last_event, count(*) AS n FROM events")
+def single_summary(t):
+    row = o.single_element(o.reduce_rows(t.events, {"last_event": F.max("event_id"), "n": F.count(F.lit(1))}))
+    return t.spark.createDataFrame([tuple(row)], "last_event bigint, n bigint")
+
+
+@query("""
+SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS pos, unnest(list_transform(embedding, lambda v: round(v::DOUBLE * 1000000)))::BIGINT AS millionths
+FROM embeddings
+""")
+def slices_embeddings(t):
+    cells = o.unbatch(t.embeddings, "vec_id", ["embedding"])
+    return cells.select("vec_id", "pos", F.round(F.col("embedding").cast("double") * 1000000).cast("bigint").alias("millionths"))
+
+
 @query("SELECT o_orderkey, o_custkey FROM orders")
 def fixed_length_orders(t):
     path = scratch_path(t.spark, "fixed")

@@ -379,3 +379,52 @@ def _feature(data: bytes) -> tuple[str, list]:
                     values.append(value - (1 << 64) if value >> 63 else value)
         return kind, values
     return "bytes", []
+
+
+def encode_examples(df: DataFrame, features: dict[str, str], name: str = "value") -> DataFrame:
+    """Serialize columns as examples in a binary column; the inverse of :func:`decode_examples`.
+
+    Null and missing features are left out.
+    """
+    kinds = {n: k.removesuffix("[]") for n, k in features.items()}
+    numbers = {kind: number for number, kind in FEATURE_KINDS.items()}
+    cols = []
+    for n, k in kinds.items():  # a single value travels as an array, or pandas would turn numbers beside nulls to floats
+        value = F.col(f"`{n}`")
+        values = value if features[n].endswith("[]") else F.when(value.isNotNull(), F.array(value))
+        cols.append(values.cast(f"array<{_SPARK_ELEMENT[k]}>").alias(n))
+
+    def encode(frames):
+        for frame in frames:
+            rows = []
+            for cells in zip(*[frame[n] for n in kinds]):
+                entries = []
+                for (feature, kind), values in zip(kinds.items(), cells):
+                    if values is not None:
+                        body = _field(numbers[kind], _values(kind, values))
+                        entries.append(_field(1, _field(1, feature.encode()) + _field(2, body)))
+                rows.append(_field(1, b"".join(entries)))
+            yield pd.DataFrame({name: rows})
+
+    return df.select(*cols).mapInPandas(encode, f"`{name}` binary")
+
+
+def _values(kind: str, values) -> bytes:
+    if kind == "bytes":
+        return b"".join(_field(1, bytes(v)) for v in values)
+    if kind == "float":
+        return _field(1, np.asarray(values, "<f4").tobytes())
+    return _field(1, b"".join(_to_varint(int(v)) for v in values))
+
+
+def _to_varint(value: int) -> bytes:
+    value, out = value & ((1 << 64) - 1), bytearray()
+    while value > 0x7F:
+        out.append(value & 0x7F | 0x80)
+        value >>= 7
+    out.append(value)
+    return bytes(out)
+
+
+def _field(number: int, body: bytes) -> bytes:
+    return _to_varint(number << 3 | 2) + _to_varint(len(body)) + body

@@ -220,6 +220,14 @@ def test_examples(spark, tmp_path):
         o.decode_examples(o.framed_records(spark, str(path)), {"neg": "int64"}).collect()
 
 
+def test_examples_round_trip(spark):
+    rows = [(5, [1.5, -2.0], b"x", [2**60 + 1, -1]), (-7, None, None, []), (2**60 + 1, None, b"", [7]), (None, [0.25], b"", [0, 127, 128])]
+    df = spark.createDataFrame(rows, "a bigint, w array<float>, b binary, n array<bigint>")
+    features = {"a": "int64", "w": "float[]", "b": "bytes", "n": "int64[]"}
+    back = [tuple(r) for r in o.decode_examples(o.encode_examples(df, features), features).collect()]
+    assert sorted(map(repr, back)) == sorted(map(repr, rows))
+
+
 def test_file_list_and_read_files(spark, tmp_path):
     for i in range(8):
         (tmp_path / f"f{i}.txt").write_text("".join(f"{i}{c}\n" for c in "abc"))
