@@ -94,7 +94,7 @@ def scan_rows(
     index, placed = _in_order(df, order_by)
     states = _range_states(placed, initial, step)
     starts, state = {}, initial
-    for bucket in range(len(index.rows)):
+    for bucket in range(len(index.lower)):
         starts[bucket] = state
         if bucket in states:
             state = merge(state, states[bucket])

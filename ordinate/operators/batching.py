@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ordinate.operators.mapping import as_column
-from ordinate.order import BUCKET, Ordinal, as_list, require_batch, running, with_ordinal
+from ordinate.order import BUCKET, as_list, build_index, with_ordinal
 
 
 def _gather(df: DataFrame, keys: Sequence, order: str, columns: Sequence[str], extra=()):
@@ -94,8 +94,7 @@ def rebatch(
 ) -> DataFrame:
     """Cut a batched DataFrame into batches of other sizes.
 
-    Several sizes are used in turn, over and over.  The position of each item comes
-    from a running sum of batch sizes, so single rows are never ranked.
+    Several sizes are used in turn, over and over.
     """
     sizes = [batch_size] if isinstance(batch_size, int) else list(batch_size)
     if not sizes or min(sizes) < 1:
@@ -103,18 +102,19 @@ def rebatch(
     order = as_list(order_by)
     columns = list(columns or [f.name for f in df.schema.fields
                                if isinstance(f.dataType, T.ArrayType) and f.name not in order])
-    held = F.size(f"`{columns[0]}`").cast("bigint")
-    sized = running(df, order_by, {"__before": ("sum", held)}, exclusive=True)
-    items = unbatch(sized.withColumn("__before", F.coalesce("__before", F.lit(0))), [*order, "__before"], columns, "__pos")
-    items = items.select((F.col("__before") + F.col("__pos")).alias("__ord"), *columns)
     cycle = sum(sizes)
+    # positions of items come from the batches' sizes alone; a whole cycle stays together
+    held = F.size(f"`{columns[0]}`")
+    places = df.select(*order, F.explode(F.when(held > 0, F.sequence(F.lit(0), held - 1))).alias("__pos"))
+    index = build_index(places, [*order, "__pos"]).aligned(places, cycle)
+    items = index.ranked(unbatch(df, order, columns, "__pos"), "__ord")
     within = F.col("__ord") % cycle
     starts = [sum(sizes[:i]) for i in range(len(sizes))]
     slot = sum((F.when(within >= s, 1).otherwise(0) for s in starts[1:]), F.lit(0))
     items = items.withColumn("__slot", slot).withColumn(
         name, F.expr(f"__ord div {cycle}") * len(sizes) + F.col("__slot")
     )
-    out, arrays = _gather(items, [name], "__ord", columns, [F.first("__slot").alias("__slot")])
+    out, arrays = _gather(items, [BUCKET, name], "__ord", columns, [F.first("__slot").alias("__slot")])
     if drop_remainder:
         wanted = F.array(*[F.lit(s) for s in sizes])
         out = out.where(F.col("size") == F.get(wanted, F.col("__slot")))
@@ -226,11 +226,12 @@ def bucket_by_sequence_length(
     edges = [int(b) for b in bucket_boundaries]
     size_of = as_column(df, length)
     bucket = sum((F.when(size_of >= b, 1).otherwise(0) for b in edges), F.lit(0))
-    ranked = with_ordinal(df.withColumn("bucket", bucket), order_by, "__in_bucket", partition_by="bucket")
     batch_size = F.get(F.array(*[F.lit(int(s)) for s in bucket_batch_sizes]), F.col("bucket"))
+    ranked = with_ordinal(
+        df.withColumn("bucket", bucket), order_by, "__in_bucket", partition_by="bucket", align=batch_size, keep_bucket=True)
     ranked = ranked.withColumn("batch", F.floor(F.col("__in_bucket") / batch_size).cast("bigint"))
     out, arrays = _gather(
-        ranked, ["bucket", "batch"], "__in_bucket", columns,
+        ranked, [BUCKET, "bucket", "batch"], "__in_bucket", columns,
         [F.max_by(_order_key(order_by), "__in_bucket").alias("__last"), *_widths(df.schema, columns)],
     )
     out = out.withColumn("remainder", F.col("size") < batch_size)
@@ -301,12 +302,13 @@ def group_by_window(
         raise ValueError("give exactly one of window_size and window_size_func")
     columns = list(columns or df.columns)
     keyed = df.withColumn(key_name, as_column(df, key))
-    ranked = with_ordinal(keyed, order_by, "__in_key", partition_by=key_name)
     size = F.lit(window_size) if window_size is not None else window_size_func(F.col(key_name))
+    ranked = with_ordinal(keyed, order_by, "__in_key", partition_by=key_name, align=size, keep_bucket=True)
     ranked = ranked.withColumn("window", F.floor(F.col("__in_key") / size).cast("bigint"))
+    groups = [BUCKET, key_name, "window"]
     if aggregates is None:
-        out, arrays = _gather(ranked, [key_name, "window"], "__in_key", [c for c in columns if c != key_name])
+        out, arrays = _gather(ranked, groups, "__in_key", [c for c in columns if c != key_name])
         return out.select(key_name, "window", "size", *arrays)
-    return ranked.groupBy(key_name, "window").agg(
+    return ranked.groupBy(*groups).agg(
         F.count(F.lit(1)).cast("int").alias("size"), *[c.alias(n) for n, c in aggregates.items()]
-    )
+    ).drop(BUCKET)

@@ -15,7 +15,7 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -86,20 +86,15 @@ def _table(values: Sequence, ddl: str) -> Column:
 
 @dataclass(frozen=True)
 class OrderIndex:
-    """What is known about each key range; all lists have one entry per bucket."""
+    """What is known about each key range; the lists have one entry per bucket."""
 
     order_by: tuple[str, ...]
     partition_by: tuple[str, ...]
     key_ddl: tuple[str, ...]
     lower: list[tuple]  # smallest key in the bucket: (group values..., order values...)
-    rows: list[int]
-    carry: dict[str, list]  # measure -> value accumulated before the bucket
+    carry: dict[str, list]  # measure -> value accumulated before the bucket; "n" counts rows
+    total: int
     partitions: int
-    measures: dict[str, tuple[str, Column]] = field(default_factory=dict)
-
-    @property
-    def total(self) -> int:
-        return sum(self.rows)
 
     @property
     def _group_width(self) -> int:
@@ -162,40 +157,45 @@ class OrderIndex:
 
     @property
     def starts(self) -> list[int]:
-        """Position of the first row of each bucket."""
+        """Position of the first row of each bucket (without groups)."""
         return [n or 0 for n in self.carry["n"]]
 
-    def aligned(self, df: DataFrame, every: int) -> "OrderIndex":
-        """Move each lower bound up to the next position divisible by ``every``.
+    def aligned(self, df: DataFrame, every: int | Column) -> "OrderIndex":
+        """Move each lower bound up to the next position (in its group) divisible by ``every``.
 
-        Runs of ``every`` rows then never straddle two buckets, so grouping them
-        after ranking needs no second shuffle.
+        Runs of ``every`` rows, which may depend on the group, then never straddle two
+        buckets, so grouping them after ranking needs no second shuffle.  Reads only the
+        ordering columns.
         """
-        return self.cut_at(df, sorted({-(-s // every) * every for s in self.starts}))
+        if len(self.lower) < 2:
+            return self
+        step = every if isinstance(every, Column) else F.lit(every)
+        names = dict.fromkeys([*self.partition_by, *self.order_by])
+        ranked = self.ranked(df.select(*[F.col(f"`{c}`") for c in names], step.cast("bigint").alias("__step")), "__at")
+        parts = [comparable(df, c) for c in (*self.partition_by, *self.order_by)]
+        first = F.struct(*[p.alias(f"f{i}") for i, p in enumerate(parts)], "__at")
+        heads = ranked.where(F.pmod("__at", "__step") == 0).groupBy(BUCKET).agg(F.min(first).alias("head")).collect()
+        found = {r[BUCKET]: tuple(r["head"]) for r in heads}
+        kept = [b for b in range(1, len(self.lower)) if b in found]
+        return OrderIndex(
+            self.order_by, self.partition_by, self.key_ddl,
+            [self.lower[0], *[found[b][:-1] for b in kept]], {"n": [None, *[found[b][-1] for b in kept]]},
+            self.total, self.partitions,
+        )
 
     def cut_at(self, df: DataFrame, positions: Sequence[int]) -> "OrderIndex":
-        """The index whose buckets begin at the given positions; reads only ordering columns."""
+        """The index (without groups) whose buckets begin at the given positions."""
         positions = [p for p in positions if 0 < p < self.total]
         if positions == self.starts[1:]:
             return self
-        names = [f"k{i}" for i in range(len(self.key_ddl))]
         found = {}
         if positions:
-            keys = df.select(*[comparable(df, c).alias(n) for c, n in zip(self.order_by, names)])
-            rank = F.row_number().over(Window.partitionBy(BUCKET).orderBy(*names)).cast("bigint") - 1
-            ranked = (
-                self.with_bucket(keys, _pack([F.col(n) for n in names]))
-                .repartitionById(self.partitions, F.col(BUCKET))
-                .withColumn("at", rank + F.get(_table(self.starts, "bigint"), F.col(BUCKET)))
-                .where(F.col("at").isin(positions))
-            )
-            found = {r["at"]: tuple(r[n] for n in names) for r in ranked.collect()}
-        starts = [0, *positions]
+            ranked = self.ranked(df.select(*[F.col(f"`{c}`") for c in self.order_by]), "__at").where(F.col("__at").isin(positions))
+            keys = [comparable(df, c).alias(f"f{i}") for i, c in enumerate(self.order_by)]
+            found = {r["__at"]: tuple(r)[1:] for r in ranked.select("__at", *keys).collect()}
         return OrderIndex(
-            self.order_by, self.partition_by, self.key_ddl,
-            [self.lower[0], *[found[p] for p in positions]] if self.lower else [],
-            [e - s for s, e in zip(starts, [*positions, self.total])],
-            {"n": starts}, self.partitions,
+            self.order_by, self.partition_by, self.key_ddl, [*self.lower[:1], *[found[p] for p in positions]],
+            {"n": [0, *positions]}, self.total, self.partitions,
         )
 
     def ranked(self, df: DataFrame, name: str, start: int = 0) -> DataFrame:
@@ -266,7 +266,7 @@ def build_index(
 
     kinds = {"n": "count", **{name: kind for name, (kind, _) in measures.items()}}
     slots = {"n": "n", **dict(zip(measures, m))}
-    lower, rows, carry = [], [], {name: [] for name in kinds}
+    lower, carry = [], {name: [] for name in kinds}
     previous = None
     for row in found:
         low = tuple(row["lo"]) if len(k) > 1 and not groups else (row["lo"],) if not groups else None
@@ -285,9 +285,9 @@ def build_index(
                 value = None
             carry[name].append(value)
         lower.append(low)
-        rows.append(row["n"])
         previous = row
-    return OrderIndex(tuple(order), tuple(groups), key_ddl, lower, rows, carry, count, measures)
+    total = sum(row["n"] for row in found)
+    return OrderIndex(tuple(order), tuple(groups), key_ddl, lower, carry, total, count)
 
 
 def with_ordinal(
@@ -296,16 +296,20 @@ def with_ordinal(
     name: str = "ord",
     partition_by=(),
     start: int = 0,
-    align: int | None = None,
+    align: int | Column | None = None,
     buckets: int | None = None,
     keep_bucket: bool = False,
 ) -> DataFrame:
-    """Add the 0-based position of each row (within its group, if grouped) as ``name``."""
+    """Add the 0-based position of each row (within its group, if grouped) as ``name``.
+
+    With ``align`` and ``keep_bucket``, each run of ``align`` positions is in one
+    ``BUCKET``: group by that column too, and the rows need not move again.
+    """
     if isinstance(order_by, Ordinal) and not as_list(partition_by):
         require_batch(df, "an ordered operator")
         return df.withColumn(name, (F.col(order_by) + start).cast("bigint"))
     index = build_index(df, order_by, partition_by, buckets=buckets)
-    if align and not as_list(partition_by):
+    if align is not None:
         index = index.aligned(df, align)
     out = index.ranked(df, name, start)
     return out if keep_bucket else out.drop(BUCKET)
@@ -358,7 +362,7 @@ def key_at(df: DataFrame, order_by, position: int) -> tuple[OrderIndex, tuple |
         ddl = tuple(keys.schema[n].dataType.simpleString() for n in cols)
         near = prefix(df, order_by, position + 1).select(*[comparable(df, c).alias(n) for c, n in zip(names, cols)])
         found = near.orderBy(*cols).offset(position).limit(1).collect()
-        return OrderIndex(tuple(names), (), ddl, [], [], {"n": []}, 1), tuple(found[0]) if found else None
+        return OrderIndex(tuple(names), (), ddl, [], {"n": []}, 0, 1), tuple(found[0]) if found else None
     index = build_index(df, order_by)
     if position >= index.total:
         return index, None

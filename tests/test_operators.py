@@ -147,6 +147,26 @@ def test_batch_moves_rows_once(table):
     assert plan.count("Exchange") == 1
 
 
+def test_runs_of_keys_move_rows_once(table):
+    events = table("events")
+    for made in (
+        o.group_by_window(events, "user_id", {"n": F.sum("value")}, "event_id", window_size=10),
+        o.bucket_by_sequence_length(events, "length(event_type)", [5, 6], [4, 8, 16], "event_id"),
+        o.rebatch(events.select("event_id", F.array("value").alias("v")), [3, 2], "event_id"),
+    ):
+        assert plan_of(made).count("Exchange") == 1
+
+
+def test_zip_moves_each_input_once(spark, table):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of size
+    try:
+        made = o.zip_datasets((table("events"), "event_id"), (table("orders"), "o_orderkey"))
+        assert plan_of(made).count("Exchange") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 @pytest.mark.parametrize("parts", ["1", "8", "50"])
 def test_batches_do_not_depend_on_partitions(spark, table, parts):
     old = spark.conf.get("spark.sql.shuffle.partitions")
