@@ -50,8 +50,7 @@ class FeatureSpec:
                 known[step.name] = kind or "string"
         ordered = [s.name for s in self.steps if not isinstance(s, S.Remove)]
         names = dict.fromkeys([*ordered, *self.x])
-        return T.StructType([T.StructField(n, T.StructType() if known[n].startswith(("array", "struct", "map"))
-                                           else T._parse_datatype_string(known[n])) for n in names])
+        return T.StructType.fromDDL(", ".join(f"`{n}` {known[n]}" for n in names))
 
     def feature_names(self) -> list[str]:
         return self._schema().names

@@ -168,7 +168,7 @@ class FittedSpec:
         vocab = self.learned.vocabularies[step.name]
         if not isinstance(df.schema[step.key].dataType, T.ArrayType):
             text = F.col(f"`{step.key}`").cast("string")
-            spread = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
+            spread = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
             found = _looked_up(df, text, vocab, spread)
             return found.withColumn(column, _or_unknown(F.col("__id"), text, step, vocab)).drop("__id")
         _need_key(step.name, row_key)
@@ -191,7 +191,11 @@ class FittedSpec:
         zeros = F.array_repeat(F.lit(0.0), d)
         ids = F.col(f"`__f_{step.source}`")
         if not isinstance(df.schema[f"__f_{step.source}"].dataType, T.ArrayType):
-            found = df.join(table, ids.cast("bigint") == F.col("__id"), "left")
+            # ids that are in no table would otherwise all meet in one task
+            spread = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+            nowhere = -1 - F.pmod(F.xxhash64(*spread), F.lit(1 << 30))
+            key = F.when(ids >= 0, ids.cast("bigint")).otherwise(nowhere)
+            found = df.join(table.where("__id >= 0"), key == F.col("__id"), "left")
             return found.withColumn(column, F.coalesce("__vector", zeros)).drop("__id", "__vector")
         _need_key(step.name, row_key)
         items = df.select(*row_key, F.explode(ids).alias("__item")).where("__item >= 0")

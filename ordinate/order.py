@@ -52,6 +52,15 @@ def require_batch(df: DataFrame, op: str) -> None:
         )
 
 
+def check_order(df: DataFrame, order_by) -> None:
+    """Raise unless the columns are non-null and unique together (reads only them)."""
+    names = as_list(order_by)
+    wrong = df.groupBy(*names).count().where(
+        " OR ".join(["count > 1", *[f"`{n}` IS NULL" for n in names]])).limit(1).collect()
+    if wrong:
+        raise ValueError(f"{names} do not order the rows: {wrong[0].asDict()}")
+
+
 def comparable(df: DataFrame, name: str) -> Column:
     """The column in a form whose values travel to the driver and back unchanged."""
     kind = df.schema[name].dataType

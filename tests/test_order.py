@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
-from ordinate.order import BUCKET, Ordinal, build_index, key_at, prefix, running, with_ordinal
+from ordinate.order import BUCKET, Ordinal, build_index, check_order, key_at, prefix, running, with_ordinal
 
 ORDERS = ["o_orderdate", "o_orderkey"]
 
@@ -45,6 +45,41 @@ def test_one_group_holds_most_rows(spark):
     assert got.join(want, "id").where("ord <> w").count() == 0
 
 
+KINDS = {
+    "decimal": "cast(id * 7919 % 10007 / 100 - 30 as decimal(20,4))",
+    "date": "date_add(date'1999-12-28', cast(id * 7919 % 10007 as int))",
+    "timestamp": "timestamp_micros(id * 7919 % 10007 * 1000001 - 3000000000)",
+    "timestamp_ntz": "cast(timestamp_micros(id * 7919 % 10007 * 1000001 - 3000000000) as timestamp_ntz)",
+    "binary": "cast(md5(cast(id as string)) as binary)",
+    "string": "concat(char(233 + id % 3), '\"', substr(md5(cast(id as string)), 1, 8), id)",
+    "double": "(id * 7919 % 10007 - 5000) / 7",
+    "float": "cast((id * 7919 % 10007 - 5000) as float) / cast(8 as float)",
+    "tinyint then id": "cast(id % 100 as tinyint)",
+    "boolean then id": "id % 3 = 0",
+}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_key_types(spark, kind):
+    df = spark.range(3000).selectExpr("id", f"{KINDS[kind]} as k")
+    order = ["k", "id"] if "then id" in kind else ["k"]
+    want = df.select("id", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)) - 1).alias("w"))
+    for keys in (order, ["k", "id"]):
+        assert with_ordinal(df, keys, buckets=16, align=10).join(want, "id").where("ord <> w").count() == 0
+    grouped = with_ordinal(df, "id", partition_by="k", buckets=16)
+    groups = df.select("id", (F.row_number().over(Window.partitionBy("k").orderBy("id")) - 1).alias("w"))
+    assert grouped.join(groups, "id").where("ord <> w").count() == 0
+
+
+def test_check_order(spark):
+    df = spark.range(10).select("id", (F.col("id") % 5).alias("m"), F.when(F.col("id") > 0, F.col("id")).alias("gap"))
+    check_order(df, "id")
+    check_order(df, ["m", "id"])
+    for bad in ("m", "gap"):
+        with pytest.raises(ValueError):
+            check_order(df, bad)
+
+
 def test_null_group_is_a_group(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 2).alias("g"))
     got = with_ordinal(df, "id", partition_by="g", buckets=8)
