@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ordinate.functions.hashing import uniform
 from ordinate.operators.mapping import as_column
-from ordinate.order import BUCKET, Ordinal, as_list, build_index, comparable, require_batch, running
+from ordinate.order import BUCKET, as_list, build_index, comparable, require_batch, running
 
 
 def reduce_rows(df: DataFrame, aggregates: dict[str, Column]) -> DataFrame:

@@ -7,7 +7,6 @@ All of them work on streams too.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ordinate.operators.batching import batch
 from ordinate.operators.combine import shuffle
 from ordinate.operators.position import repeat
-from ordinate.sources.record_spec import SPARK_TYPES, TYPE_DEFAULTS, RecordSpec, delim_record_spec
+from ordinate.sources.record_spec import SPARK_TYPES, TYPE_DEFAULTS, RecordSpec
 
 _BAD = "__bad"
 
@@ -147,7 +147,7 @@ def make_csv_dataset(
     if missing:
         raise ValueError(f"no such columns: {missing}")
     chosen = [c for c in column_names if c in chosen]  # defaults come in file order
-    options = {"sep": field_delim, "header": header, "nullValue": na_value, "mode": "FAILFAST"}
+    options = {"sep": field_delim, "header": header, "nullValue": na_value, "mode": "FAILFAST", "columnPruning": False}
     if not use_quote_delim:
         options["quote"] = ""
     text = spark.read.schema(", ".join(f"`{c}` string" for c in column_names)).options(**options).csv(paths)
