@@ -7,7 +7,6 @@ All of them work on streams too.
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ordinate.functions.selectors import Selector, parse_formula, resolve

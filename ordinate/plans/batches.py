@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 import ordinate as o
 from ordinate.plans.registry import query
 
-CENTS = F.round(F.col("value") * 100).cast("bigint")
+
+def cents():
+    return F.round(F.col("value") * 100).cast("bigint")
 
 
 def joined(col, sep=","):
@@ -108,7 +110,7 @@ FROM w JOIN s ON ord BETWEEN window_id * 20 AND window_id * 20 + 147 AND (ord -
 def window_events(t):
     members = o.window(t.events, 50, "event_id", shift=20, stride=3, drop_remainder=True)
     return members.groupBy("window_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(CENTS).alias("cents"), F.min("event_id").alias("first_event"),
+        F.count(F.lit(1)).alias("n"), F.sum(cents()).alias("cents"), F.min("event_id").alias("first_event"),
         F.max("event_id").alias("last_event"), F.sum("window_pos").alias("places"))
 
 
@@ -128,7 +130,7 @@ FROM k GROUP BY 1, 2
 """)
 def group_by_window_users(t):
     return o.group_by_window(
-        t.events, "user_id", {"cents": F.sum(CENTS), "last_event": F.max("event_id")}, "event_id", window_size=10)
+        t.events, "user_id", {"cents": F.sum(cents()), "last_event": F.max("event_id")}, "event_id", window_size=10)
 
 
 @query("""

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 import ordinate as o
 from ordinate.plans.registry import query
 
-CENTS = F.round(F.col("value") * 100).cast("bigint")
+
+def cents():
+    return F.round(F.col("value") * 100).cast("bigint")
 
 
 @query("""
@@ -66,7 +68,7 @@ FROM events WINDOW w AS (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND
 """)
 def scan_events(t):
     v = F.col("value")
-    totals = {"cents": ("sum", CENTS), "lowest": ("min", v), "highest": ("max", v), "n": ("count", v)}
+    totals = {"cents": ("sum", cents()), "lowest": ("min", v), "highest": ("max", v), "n": ("count", v)}
     return o.scan(t.events, "event_id", totals).select("event_id", *totals)
 
 
@@ -75,7 +77,7 @@ SELECT event_id, user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 """)
 def scan_users(t):
-    totals = {"cents_before": ("sum", CENTS), "n_before": ("count", F.col("value"))}
+    totals = {"cents_before": ("sum", cents()), "n_before": ("count", F.col("value"))}
     return o.scan(t.events, ["ts", "event_id"], totals, "user_id", exclusive=True).select("event_id", "user_id", *totals)
 
 

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 import ordinate as o
 from ordinate.plans.registry import query
 
-CENTS = F.round(F.col("value") * 100).cast("bigint")
+
+def cents():
+    return F.round(F.col("value") * 100).cast("bigint")
 
 
 @query("""
@@ -19,7 +21,7 @@ def purchase_batches(t):
     purchases = o.filter_rows(t.events, "event_type = 'purchase'")
     return o.summarize_batches(
         purchases, 32, "event_id",
-        {"cents": F.sum(CENTS), "first_event": F.min("event_id"), "last_event": F.max("event_id")},
+        {"cents": F.sum(cents()), "first_event": F.min("event_id"), "last_event": F.max("event_id")},
     )
 
 
