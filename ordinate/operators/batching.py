@@ -224,11 +224,11 @@ def bucket_by_sequence_length(
         raise ValueError("one batch size per bucket: one more than there are boundaries")
     columns = list(columns or df.columns)
     edges = [int(b) for b in bucket_boundaries]
-    size_of = as_column(df, length)
-    bucket = sum((F.when(size_of >= b, 1).otherwise(0) for b in edges), F.lit(0))
+    sized = df.withColumn("__length", as_column(df, length))  # evaluated once, compared several times
+    bucket = sum((F.when(F.col("__length") >= b, 1).otherwise(0) for b in edges), F.lit(0))
     batch_size = F.get(F.array(*[F.lit(int(s)) for s in bucket_batch_sizes]), F.col("bucket"))
     ranked = with_ordinal(
-        df.withColumn("bucket", bucket), order_by, "__in_bucket", partition_by="bucket", align=batch_size, keep_bucket=True)
+        sized.withColumn("bucket", bucket), order_by, "__in_bucket", partition_by="bucket", align=batch_size, keep_bucket=True)
     ranked = ranked.withColumn("batch", F.floor(F.col("__in_bucket") / batch_size).cast("bigint"))
     out, arrays = _gather(
         ranked, [BUCKET, "bucket", "batch"], "__in_bucket", columns,

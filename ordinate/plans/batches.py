@@ -90,9 +90,10 @@ SELECT count(*) < any_value(n) AS remainder, CASE WHEN count(*) = any_value(n) T
 FROM w GROUP BY bucket, batch
 """)
 def length_buckets_documents(t):
-    sized = t.documents.select("doc_id", F.transform(F.split("text", " "), F.length).alias("letters"))
+    words = F.split("text", " ")
+    sized = t.documents.select("doc_id", "text", F.transform(words, F.length).alias("letters"))
     batches = o.bucket_by_sequence_length(
-        sized, "size(letters)", [50, 200, 1000], [16, 8, 4, 2], "doc_id", columns=["letters"])
+        sized, F.size(words), [50, 200, 1000], [16, 8, 4, 2], "doc_id", columns=["letters"])
     return batches.select(
         "remainder", "emitted_at", "bucket", "batch", "size",
         F.size(F.get("letters", F.lit(0))).alias("width"), digest("letters").alias("cells"))
