@@ -151,3 +151,35 @@ def credentials(
     return docs.select(*DOC).join(
         found, F.col("key").eqNullSafe(F.col("f_key")) & (F.col("mark") == F.col("f_mark")), "left"
     ).select("key", "mark", F.coalesce("spans", none).alias("spans"))
+
+
+def redacted(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, kinds: list[Kind] = KINDS, reach: int = REACH
+) -> DataFrame:
+    """The rows with every reported id and secret replaced by its kind's name in brackets: ``(key, mark, text, *keep)``.
+
+    Endpoints stay, they only point to what is secret.  Where spans overlap, the first one's name stands for all.
+    Null texts become empty.  Repeated rows stay.
+    """
+    from pyspark.sql import Window
+
+    _, spans = parts(df, id_col, text_col, kinds)
+    before = Window.partitionBy("key", "mark").orderBy("start", "number", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (
+        linked(spans, reach).where("role <> 'endpoint'")
+        .withColumn("at", F.coalesce(F.max("stop").over(before), F.lit(0)))
+        .groupBy(F.col("key").alias("f_key"), F.col("mark").alias("f_mark"))
+        .agg(F.sort_array(F.collect_list(F.struct("start", "number", "at"))).alias("cuts"), F.max("stop").alias("last"))
+    )
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    docs = df.select(F.col(id_col).alias("key"), F.xxhash64(text).alias("mark"), text.alias("text"), *(keep or []))
+    names = F.array(*[F.lit(f"[{k.name}]") for k in kinds])
+
+    def piece(c):
+        gap = F.substring(F.col("text"), c["at"].cast("int") + 1, (c["start"] - c["at"]).cast("int"))
+        return F.when(c["start"] >= c["at"], F.concat(gap, F.element_at(names, c["number"] + 1))).otherwise(F.lit(""))
+
+    tail = F.substring(F.col("text"), F.col("last").cast("int") + 1, F.length("text"))
+    clean = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.concat(F.array_join(F.transform("cuts", piece), ""), tail))
+    same = F.col("key").eqNullSafe(F.col("f_key")) & (F.col("mark") == F.col("f_mark"))
+    return docs.join(cuts, same, "left").select("key", "mark", clean.alias("text"), *(keep or []))
