@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -104,9 +104,9 @@ def _stretches(data: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]
         yield at, data[at:at + PIECE + length - 1]
 
 
-def _text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _text(df: DataFrame, id_col: str, text_col: str, keep: Sequence[str] = ()) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return df.select(F.col(id_col).cast("long").alias("key"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    return df.select(F.col(id_col).cast("long").alias("key"), F.xxhash64(text).alias("mark"), text.alias("text"), *keep)
 
 
 def suffixes(docs: DataFrame, length: int, prefix: int) -> DataFrame:
@@ -329,7 +329,8 @@ def _joined_runs(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def without_repeats(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, prefix: int = PREFIX, text: bool = False
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, prefix: int = PREFIX, text: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Every row's text without the bytes of repeated strings.
 
@@ -339,15 +340,18 @@ def without_repeats(
     are not read.
 
     :param text: also return ``kept``, the text as a string; a character of which any byte goes, goes whole.
+    :param keep: further columns to return, not named like those of the result.
     :returns: ``(key, mark, n_bytes, n_removed, n_spans, kept_sha256)``; spans are maximal removed runs.
     """
     spans = repeated_spans(df, id_col, text_col, length, prefix)
     lists = spans.groupBy(F.col("key").alias("s_key"), F.col("mark").alias("s_mark")).agg(
         F.collect_set(F.struct("start", "stop")).alias("spans"))
-    rows = _text(df, id_col, text_col).join(
+    rows = _text(df, id_col, text_col, keep).join(
         lists.hint("merge"), F.col("key").eqNullSafe(F.col("s_key")) & (F.col("mark") == F.col("s_mark")), "left").select(
-        "key", "mark", "text", "spans")
+        "key", "mark", "text", "spans", *keep)
     schema = "key long, mark long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * text
+    names = [c.split()[0] for c in schema.split(", ")] + list(keep)
+    schema += "".join(f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -379,6 +383,6 @@ def without_repeats(
             columns = [batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.string())]
             if text:
                 columns.append(pa.array(out[4], pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in schema.split(", ")])
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[4:]], names)
 
     return rows.mapInArrow(run, schema)

@@ -151,23 +151,25 @@ def _built(batches: Iterator[pa.RecordBatch], leaf: int) -> Iterator[pa.RecordBa
 
 def _searched(trees: DataFrame, block: DataFrame, k: int, greedy: bool) -> DataFrame:
     """Candidates of every shard for one block of queries ``(query, vector, least)``, which is broadcast: at most BLOCK rows."""
-    rows = block.collect()
-    names = np.array([r["query"] for r in rows], np.int64)
-    queries = np.array([r["vector"] for r in rows], np.float64)
-    least = np.array([-np.inf if r["least"] is None else r["least"] for r in rows], np.float64)
-    shared = trees.sparkSession.sparkContext.broadcast((names, queries, least))
+    by_width: dict[int, list] = {}
+    for r in block.collect():
+        by_width.setdefault(len(r["vector"]), []).append((r["query"], -np.inf if r["least"] is None else r["least"], r["vector"]))
+    asked = {}
+    for width, rows in by_width.items():
+        names, least, queries = zip(*rows)
+        asked[width] = np.array(names, np.int64), np.array(queries, np.float64), np.array(least, np.float64)
+    shared = trees.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, queries, least = shared.value
         for batch in batches:
             for row in batch.to_pylist():
-                tree = Ball(row)
-                own = np.flatnonzero([queries.shape[1] == row["width"]] * len(names))
-                best, ids = tree.search(queries[own], names[own], least[own], k, greedy)
-                there = best > -np.inf
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(names[own], k).reshape(best.shape)[there]), pa.array(ids[there]), pa.array(best[there].astype(np.int64))],
-                    ["query", "vec", "score"])
+                if row["width"] in shared.value:
+                    names, queries, least = shared.value[row["width"]]
+                    best, ids = Ball(row).search(queries, names, least, k, greedy)
+                    there = best > -np.inf
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(names, k).reshape(best.shape)[there]), pa.array(ids[there]), pa.array(best[there].astype(np.int64))],
+                        ["query", "vec", "score"])
 
     return trees.mapInArrow(run, FOUND)
 

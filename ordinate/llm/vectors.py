@@ -317,5 +317,5 @@ def vector_groups(
     settled = rooted.join(lows, "root").select("key", "n_links", "component")
     named, _ = stored(classes.select("key", "label", "raw").join(settled, "key").drop("key"), "settled")
     return rows.join(named.hint("merge"), (rows["label"] == named["label"]) & (rows["vector"] == named["raw"]), "left").select(
-        rows["key"], F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        rows["key"], F.when(rows["key"].isNotNull() & F.col("n_links").isNotNull(), F.col("n_links")).otherwise(0).cast("long").alias("n_links"),
         F.when(rows["key"].isNotNull(), F.coalesce("component", rows["key"])).alias("component"), F.lit(float(recall)).alias("recall"))
