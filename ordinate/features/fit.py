@@ -10,21 +10,13 @@ from ordinate.features import steps as S
 from ordinate.order import with_ordinal
 from ordinate.scratch import written
 
-#: a vocabulary up to this size is kept as a list; a larger one stays a table
-LISTED_VOCABULARY = 10_000
-
-#: a value is frequent if it has more than one in so many of all rows: at most that many are
-FREQUENT_SHARE = 1_000
-
 
 @dataclass(frozen=True, eq=False)
 class Vocab:
-    """Values and their ids: a list in id order, or a table ``(value, id)``."""
+    """Different values and their ids, as a table ``(value, id)`` of any size; ids run up to ``size``."""
 
     size: int
-    values: list[str] | None = None
-    table: DataFrame | None = None
-    frequent: list[tuple[str, int]] | None = None  # (value, id) of a table's commonest values
+    table: DataFrame
 
 
 @dataclass(frozen=True, eq=False)
@@ -70,7 +62,7 @@ def _scale_job(data: DataFrame, columns: dict) -> dict:
 
 def _vocabularies(data: DataFrame, steps) -> dict[str, Vocab]:
     vocab_steps = [s for s in steps if isinstance(s, S.Vocabulary)]
-    found = {s.name: Vocab(len(s.vocabulary), [str(v) for v in s.vocabulary]) for s in vocab_steps if s.vocabulary is not None}
+    found = {s.name: _given(data, s) for s in vocab_steps if s.vocabulary is not None}
     for s in vocab_steps:
         if s.file is not None:
             found[s.name] = _from_file(data, s)
@@ -84,31 +76,42 @@ def _vocabularies(data: DataFrame, steps) -> dict[str, Vocab]:
         values = c if isinstance(data.schema[s.key].dataType, T.ArrayType) else F.array(c)
         pairs.append(_tagged(values, i))
     items = data.select(F.inline(F.flatten(F.array(*pairs)))).where(F.col("value").isNotNull())
-    distinct = written(items.groupBy("step", "value").agg(F.count(F.lit(1)).alias("n")), "vocabulary")
-    sizes = {r["step"]: r["count"] for r in distinct.groupBy("step").count().collect()}
-
-    small = [i for i in range(len(learned)) if sizes.get(i, 0) <= LISTED_VOCABULARY]
-    listed: dict[int, list[str]] = {i: [] for i in small}
-    for r in distinct.where(F.col("step").isin(small)).select("step", "value").collect():
-        listed[r["step"]].append(r["value"])
+    # numbers sort by value, the rest by UTF-8 bytes, which is how Spark compares strings
+    kinds = {i: _number_kind(data, s.key) for i, s in enumerate(learned)}
+    order = []
+    for kind in ("bigint", "double"):
+        chosen = [i for i, k in kinds.items() if k == kind]
+        if chosen:
+            items = items.withColumn(kind, F.when(F.col("step").isin(chosen), F.col("value").cast(kind)))
+            order.append(kind)
+    distinct = written(items.distinct(), "vocabulary")
+    ranked = with_ordinal(distinct, [*order, "value"], "id", partition_by="step")
+    table = written(ranked.select("step", "value", "id"), "vocabulary")
+    sizes = {r["step"]: r["count"] for r in table.groupBy("step").count().collect()}
     for i, s in enumerate(learned):
-        number = _number_kind(data, s.key)
-        if i in listed:
-            # UTF-8 byte order, which is also how Spark compares strings
-            order = {"bigint": int, "double": float}.get(number, str.encode)
-            values = sorted(listed[i], key=order)
-            found[s.name] = Vocab(len(values), values)
-        else:
-            one = distinct.where(F.col("step") == i)
-            order = [F.col("value").cast(number).alias("number")] if number else []
-            keys = one.select(*order, "value", "n")
-            table = written(with_ordinal(keys, [c for c in keys.columns if c != "n"], "id").select("value", "id", "n"), "vocabulary")
-            total = table.agg(F.sum("n")).first()[0]
-            frequent = [(r["value"], r["id"]) for r in table.where(F.col("n") > total / FREQUENT_SHARE).collect()]
-            found[s.name] = Vocab(sizes[i], table=table.select("value", "id"), frequent=frequent)
+        found[s.name] = Vocab(sizes.get(i, 0), table.where(F.col("step") == i).select("value", "id"))
     return found
 
 
+def _text_of(data: DataFrame, key: str, value):
+    """A vocabulary's entry in the form that the column's values have as text: 1 is 1.0 beside doubles."""
+    kind = data.schema[key].dataType
+    kind = kind.elementType if isinstance(kind, T.ArrayType) else kind
+    return value.try_cast(kind).cast("string") if isinstance(kind, T.NumericType) else value
+
+
+def _first_places(data: DataFrame, key: str, entries: DataFrame) -> DataFrame:
+    """Of entries that are equal as the column's values, the first one's place counts."""
+    typed = entries.select(_text_of(data, key, F.col("value")).alias("value"), "id").where("value is not null")
+    return typed.groupBy("value").agg(F.min("id").alias("id"))
+
+
+def _given(data: DataFrame, step: S.Vocabulary) -> Vocab:
+    rows = [(str(v), i) for i, v in enumerate(step.vocabulary)]
+    entries = data.sparkSession.createDataFrame(rows, "value string, id bigint")
+    return Vocab(len(rows), _first_places(data, step.key, entries))
+
+
 def _tagged(values, i: int):
     return F.transform(values, lambda v: F.struct(F.lit(i).alias("step"), v.cast("string").alias("value")))
 
@@ -132,7 +135,5 @@ def _from_file(data: DataFrame, step: S.Vocabulary) -> Vocab:
             raise ValueError(f"{step.file} has {count} lines, fewer than vocabulary_size {step.file_size}")
         count = step.file_size
     lines = text_lines(spark, step.file, with_position=True).where(F.col("line") < count)
-    if count <= LISTED_VOCABULARY:
-        values = [r["value"] for r in lines.orderBy("line").collect()]
-        return Vocab(count, values)
-    return Vocab(count, table=written(lines.select("value", F.col("line").alias("id")), "vocabulary"))
+    entries = lines.select("value", F.col("line").alias("id"))
+    return Vocab(count, written(_first_places(data, step.key, entries), "vocabulary"))

@@ -8,13 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ordinate.features import steps as S
-from ordinate.features.fit import Learned, Vocab
+from ordinate.features.fit import Learned
 from ordinate.features.spec import FeatureSpec, default_dimension
 from ordinate.functions.hashing import hash_bucket, parts_text
-from ordinate.order import as_list
-
-#: a vocabulary up to this size is looked up inside the expression, a larger one by join
-INLINE_VOCABULARY = 64
 
 
 @dataclass(frozen=True, eq=False)
@@ -60,12 +56,12 @@ class FittedSpec:
     # -- applying
 
     def transform(
-        self, df: DataFrame, keep: Sequence[str] = (), dense: bool = False, row_key=None
+        self, df: DataFrame, keep: Sequence[str] = (), dense: bool = False
     ) -> DataFrame:
         """Columns ``x`` (a struct of all features, or one array if ``dense``) and ``y``.
 
-        ``keep`` adds input columns.  ``row_key`` names columns that identify a row; only
-        arrays of ids that go through a join need it.
+        ``keep`` adds input columns.  Vocabularies and embeddings of any size are joined.  Of arrays,
+        each different one is looked up once, by an aggregate: on a stream they are an error.
         """
         out = df
         made: dict[str, Column] = {}
@@ -77,9 +73,9 @@ class FittedSpec:
                 continue
             column = f"__f_{step.name}"
             if isinstance(step, S.Embedding):
-                out = self._embedded(out, step, column, as_list(row_key))
-            elif isinstance(step, S.Vocabulary) and not self._inline(step):
-                out = self._joined(out, step, column, as_list(row_key))
+                out = self._embedded(out, step, column)
+            elif isinstance(step, S.Vocabulary):
+                out = self._joined(out, step, column)
             else:
                 out = out.withColumn(column, self._expression(df, step))
             made[step.name] = F.col(f"`{column}`")
@@ -103,10 +99,6 @@ class FittedSpec:
                 needed.update(k for k in step.keys if self.spec._step(k) is not None)
         return needed
 
-    def _inline(self, step: S.Vocabulary) -> bool:
-        vocab = self.learned.vocabularies[step.name]
-        return vocab.values is not None and vocab.size <= INLINE_VOCABULARY
-
     def _expression(self, df: DataFrame, step: S.Step) -> Column:
         if isinstance(step, S.Numeric):
             return self._numeric(df, step)
@@ -156,56 +148,51 @@ class FittedSpec:
             other = F.raise_error(F.concat(F.lit(f"column {step.key} is outside [0, {step.buckets}): "), number.cast("string"))
                                   ).cast("bigint") if step.default_value is None else F.lit(step.default_value).cast("bigint")
             return F.when(number.isNull(), F.lit(None)).when(number.between(0, step.buckets - 1), number).otherwise(other)
-        vocab, text = self.learned.vocabularies[step.name], value.cast("string")
-        place = F.lit(None).cast("bigint")
-        if vocab.values:
-            place = F.array_position(F.array(*[F.lit(v) for v in vocab.values]), text).cast("bigint") - 1
-            place = F.when(place >= 0, place)
-        return _or_unknown(place, text, step, vocab)
-
-    def _joined(self, df: DataFrame, step: S.Vocabulary, column: str, row_key: list[str]) -> DataFrame:
-        """Ids by joining the vocabulary."""
+        raise TypeError(f"{step.name} is joined")
+
+    def _joined(self, df: DataFrame, step: S.Vocabulary, column: str) -> DataFrame:
+        """Ids by joining the vocabulary; rows of a common value, or null, are spread by Spark's skew handling."""
         vocab = self.learned.vocabularies[step.name]
+        table = vocab.table.select(F.col("value").alias("__value"), F.col("id").alias("__id"))
+        key = F.col(f"`{step.key}`")
         if not isinstance(df.schema[step.key].dataType, T.ArrayType):
-            text = F.col(f"`{step.key}`").cast("string")
-            spread = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-            found = _looked_up(df, text, vocab, spread)
-            return found.withColumn(column, _or_unknown(F.col("__id"), text, step, vocab)).drop("__id")
-        _need_key(step.name, row_key)
-        items = df.select(*row_key, F.posexplode(F.col(f"`{step.key}`")).alias("__pos", "__item"))
+            text = key.cast("string")
+            found = df.join(table, text == F.col("__value"), "left")
+            return found.withColumn(column, _or_unknown(F.col("__id"), text, step, vocab.size)).drop("__id", "__value")
+        items = _different(df, step.name, key).select("__array", F.posexplode("__array").alias("__pos", "__item"))
         text = F.col("__item").cast("string")
-        items = _looked_up(items, text, vocab, [*(F.col(k) for k in row_key), F.col("__pos")])
-        ids = _or_unknown(F.col("__id"), text, step, vocab)
+        items = items.join(table, text == F.col("__value"), "left")
+        ids = _or_unknown(F.col("__id"), text, step, vocab.size)
         gathered = F.sort_array(F.collect_list(F.struct("__pos", ids.alias("id"))))
-        rows = items.groupBy(*row_key).agg(gathered.getField("id").alias(column))
-        out = df.join(rows, row_key, "left")
-        return out.withColumn(column, F.when(F.col(f"`{step.key}`").isNotNull(), F.coalesce(F.col(f"`{column}`"), F.array().cast("array<bigint>"))))
+        rows = items.groupBy("__array").agg(gathered.getField("id").alias(column))
+        out = df.join(rows, key == F.col("__array"), "left").drop("__array")
+        return out.withColumn(column, F.when(key.isNotNull(), F.coalesce(F.col(f"`{column}`"), F.array().cast("array<bigint>"))))
 
-    def _embedded(self, df: DataFrame, step: S.Embedding, column: str, row_key: list[str]) -> DataFrame:
+    def _embedded(self, df: DataFrame, step: S.Embedding, column: str) -> DataFrame:
         if step.weights is None:
             raise ValueError(f"{step.name} needs weights: a table of id and vector")
         d = self.dimension(step)
         vector = F.transform("vector", lambda v: v.cast("double"))
         vector = F.when(F.size(vector) == d, vector).otherwise(F.raise_error(F.lit(f"{step.name} needs vectors of {d} numbers")))
         table = step.weights.select(F.col("id").cast("bigint").alias("__id"), _clipped(vector, step.max_norm).alias("__vector"))
+        table = table.where("__id >= 0")
         zeros = F.array_repeat(F.lit(0.0), d)
         ids = F.col(f"`__f_{step.source}`")
         if not isinstance(df.schema[f"__f_{step.source}"].dataType, T.ArrayType):
-            # ids that are in no table would otherwise all meet in one task
-            spread = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-            nowhere = -1 - F.pmod(F.xxhash64(*spread), F.lit(1 << 30))
-            key = F.when(ids >= 0, ids.cast("bigint")).otherwise(nowhere)
-            found = df.join(table.where("__id >= 0"), key == F.col("__id"), "left")
+            # only ids that can be in a table take part; Spark's skew handling spreads a common one
+            found = df.join(table, F.when(ids >= 0, ids.cast("bigint")) == F.col("__id"), "left")
             return found.withColumn(column, F.coalesce("__vector", zeros)).drop("__id", "__vector")
-        _need_key(step.name, row_key)
-        items = df.select(*row_key, F.explode(ids).alias("__item")).where("__item >= 0")
-        items = items.join(table, F.col("__item").cast("bigint") == F.col("__id"))
+        # equal ids of an array are counted before vectors join: one row for each, not for each item
+        items = _different(df, step.name, ids).select("__array", F.explode("__array").alias("__item")).where("__item >= 0")
+        items = items.groupBy("__array", F.col("__item").cast("bigint").alias("__item")).agg(F.count(F.lit(1)).alias("__times"))
+        items = items.join(table, F.col("__item") == F.col("__id"))
         # one partial sum per dimension: no list of vectors is ever gathered
-        sums = [F.sum(F.get("__vector", F.lit(i))).alias(f"__s{i}") for i in range(d)]
-        rows = items.groupBy(*row_key).agg(F.count(F.lit(1)).alias("__n"), *sums)
+        sums = [F.sum(F.get("__vector", F.lit(i)) * F.col("__times")).alias(f"__s{i}") for i in range(d)]
+        rows = items.groupBy("__array").agg(F.sum("__times").alias("__n"), *sums)
         divisor = {"sum": F.lit(1.0), "mean": F.col("__n").cast("double"), "sqrtn": F.sqrt(F.col("__n"))}[step.combiner]
-        combined = rows.select(*row_key, F.array(*[F.col(f"__s{i}") / divisor for i in range(d)]).alias(column))
-        return df.join(combined, row_key, "left").withColumn(column, F.coalesce(F.col(f"`{column}`"), zeros))
+        combined = rows.select("__array", F.array(*[F.col(f"__s{i}") / divisor for i in range(d)]).alias(column))
+        out = df.join(combined, ids == F.col("__array"), "left").drop("__array")
+        return out.withColumn(column, F.coalesce(F.col(f"`{column}`"), zeros))
 
     def _one_hot(self, ids: Column, size: int, many: bool, sparse: bool = False) -> Column:
         inside = lambda i: (i >= 0) & (i < size)
@@ -215,11 +202,15 @@ class FittedSpec:
                 return F.struct(F.lit(size).alias("size"), here.alias("indices"), F.transform(here, lambda i: F.lit(1.0)).alias("values"))
             return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce((i == ids).cast("double"), F.lit(0.0)))
         kept = F.filter(F.coalesce(ids, F.array().cast("array<bigint>")), inside)
+        distinct = F.sort_array(F.array_distinct(kept)).cast("array<int>")
+        counts = F.transform(distinct, lambda i: F.size(F.filter(kept, lambda k: k == i)).cast("double"))
         if sparse:
-            distinct = F.sort_array(F.array_distinct(kept)).cast("array<int>")
-            counts = F.transform(distinct, lambda i: F.size(F.filter(kept, lambda k: k == i)).cast("double"))
             return F.struct(F.lit(size).alias("size"), distinct.alias("indices"), counts.alias("values"))
-        return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter(kept, lambda k: k == i)).cast("double"))
+        # zeros up to each id that is there, then its count: as long as the array and the result together
+        gaps = F.transform(distinct, lambda i, n: F.concat(
+            F.array_repeat(F.lit(0.0), (i - F.when(n > 0, F.get(distinct, n - 1)).otherwise(F.lit(-1)) - 1).cast("int")), F.array(F.get(counts, n))))
+        last = F.coalesce(F.get(distinct, F.size(distinct) - 1), F.lit(-1))
+        return F.concat(F.flatten(gaps), F.array_repeat(F.lit(0.0), (F.lit(size - 1) - last).cast("int")))
 
     def _dense(self, out: DataFrame, name: str, step: S.Step) -> Column:
         value = F.col(f"`__f_{name}`")
@@ -232,32 +223,11 @@ class FittedSpec:
         return F.array(value.cast("double"))
 
 
-def _looked_up(df: DataFrame, text: Column, vocab: Vocab, spread: list[Column]) -> DataFrame:
-    """Add ``__id``, the id of ``text`` in the vocabulary (null: not in it).
-
-    A listed vocabulary has a bounded size and can go to every task.  Of a table, only
-    the frequent values do; rows that have one, or null, are then spread evenly over
-    the join, so that no task gets all rows of a common value.
-    """
-    spark, kind = df.sparkSession, "__value string, __id bigint"
-    if vocab.table is None:
-        listed = spark.createDataFrame([(v, i) for i, v in enumerate(vocab.values)], kind)
-        return df.join(F.broadcast(listed), text == F.col("__value"), "left").drop("__value")
-    table = vocab.table.select(F.col("value").alias("__value"), F.col("id").alias("__id"))
-    if not vocab.frequent:
-        return df.join(table, text == F.col("__value"), "left").drop("__value")
-    common = spark.createDataFrame(vocab.frequent, "__common string, __common_id bigint")
-    first = df.withColumn("__text", text).join(F.broadcast(common), F.col("__text") == F.col("__common"), "left")
-    open_ = F.col("__common").isNull() & F.col("__text").isNotNull()
-    first = first.withColumn("__key", F.when(open_, F.col("__text")).otherwise(F.xxhash64(*spread).cast("string")))
-    found = first.join(table, (F.col("__key") == F.col("__value")) & F.col("__common").isNull() & F.col("__text").isNotNull(), "left")
-    found = found.withColumn("__id", F.coalesce("__common_id", "__id"))
-    return found.drop("__text", "__common", "__common_id", "__key", "__value")
-
-
-def _need_key(name: str, row_key: list[str]) -> None:
-    if not row_key:
-        raise ValueError(f"{name} works on arrays through a join: give row_key, the columns that identify a row")
+def _different(df: DataFrame, name: str, arrays: Column) -> DataFrame:
+    """Each different array once, as ``__array``."""
+    if df.isStreaming:
+        raise ValueError(f"{name} looks up arrays by an aggregate, which a stream does not allow: use per_micro_batch")
+    return df.select(arrays.alias("__array")).where("__array is not null").distinct()
 
 
 def _each(df: DataFrame, key: str, one) -> Column:
@@ -275,10 +245,10 @@ def _bucket(value: Column, boundaries: Sequence[float]) -> Column:
     return F.when(value.isNotNull(), count)
 
 
-def _or_unknown(place: Column, text: Column, step: S.Vocabulary, vocab: Vocab) -> Column:
+def _or_unknown(place: Column, text: Column, step: S.Vocabulary, size: int) -> Column:
     """The id; for a value outside the vocabulary its default or hashed id; null for null."""
     if step.num_oov_buckets:
-        unknown = F.lit(vocab.size).cast("bigint") + hash_bucket(text, step.num_oov_buckets)
+        unknown = F.lit(size).cast("bigint") + hash_bucket(text, step.num_oov_buckets)
     else:
         unknown = F.lit(step.default_value).cast("bigint")
     return F.when(text.isNotNull(), F.coalesce(place, unknown))

@@ -10,22 +10,42 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ordinate.functions.hashing import uniform
 from ordinate.operators.mapping import as_column
-from ordinate.order import BUCKET, as_list, build_index, comparable, require_batch, running
+from ordinate.order import BUCKET, as_list, build_index, comparable, require_batch, require_new, running
 
 
-def reduce_rows(df: DataFrame, aggregates: dict[str, Column]) -> DataFrame:
-    """Reduce to one row with Column aggregates (partial sums first, then one merge)."""
-    return df.agg(*[c.alias(n) for n, c in aggregates.items()])
+#: how a starting value joins an aggregate
+_START = {"sum": lambda a, b: F.coalesce(a + b, a), "min": F.least, "max": F.greatest}
+
+
+def reduce_rows(df: DataFrame, aggregates: dict[str, Column], initial: dict[str, tuple[str, object]] | None = None) -> DataFrame:
+    """Reduce to one row with Column aggregates (partial sums first, then one merge).
+
+    ``initial`` gives aggregates a value to start from, used once: its name, and ``sum``, ``min`` or ``max`` with the value.
+    """
+    started = dict(aggregates)
+    for name, (kind, value) in (initial or {}).items():
+        started[name] = _START[kind](F.lit(value), aggregates[name])
+    return df.agg(*[c.alias(n) for n, c in started.items()])
 
 
 def _in_order(df: DataFrame, order_by):
     """Rows brought together by key range and sorted, ranges numbered in ``BUCKET``."""
     names = as_list(order_by)
     index = build_index(df, names)
-    placed = index.place(df).sortWithinPartitions(BUCKET, *names)
+    placed = index.place(df)
+    placed = placed.withColumn(BUCKET, index.without_ties(placed, F.col(BUCKET))).sortWithinPartitions(BUCKET, *names)
     return index, placed
 
 
+def _zero(initial, zero, merge: Callable):
+    """What ranges are folded from: a value that changes nothing when it is merged."""
+    if zero is not None:
+        return zero
+    if merge(initial, initial) != initial:
+        raise ValueError("initial changes what it is merged with: give zero, a state that does not, for the ranges to start from")
+    return initial
+
+
 def _by_range(frames):
     """Split a stream of pandas frames where the key range changes."""
     for frame in frames:
@@ -35,6 +55,17 @@ def _by_range(frames):
                 yield int(part[BUCKET].iloc[0]), part.drop(columns=BUCKET).reset_index(drop=True)
 
 
+#: the largest state of a fold: one for each range reaches the driver
+STATE_BYTES = 1 << 20
+
+
+def _packed_state(state) -> bytes:
+    data = pickle.dumps(state)
+    if len(data) > STATE_BYTES:
+        raise ValueError(f"a state of {len(data)} bytes: folds are for states of at most {STATE_BYTES}")
+    return data
+
+
 def _range_states(placed: DataFrame, initial, step) -> dict[int, object]:
     """Fold every key range on its own, in parallel; one small state per range."""
 
@@ -43,28 +74,32 @@ def _range_states(placed: DataFrame, initial, step) -> dict[int, object]:
         for bucket, part in _by_range(frames):
             if bucket != at:
                 if at is not None:
-                    yield pd.DataFrame({"bucket": [at], "state": [pickle.dumps(state)]})
+                    yield pd.DataFrame({"bucket": [at], "state": [_packed_state(state)]})
                 at, state = bucket, initial
             state = step(state, part)
         if at is not None:
-            yield pd.DataFrame({"bucket": [at], "state": [pickle.dumps(state)]})
+            yield pd.DataFrame({"bucket": [at], "state": [_packed_state(state)]})
 
     states = placed.mapInPandas(fold, "bucket int, state binary").collect()
     return {r["bucket"]: pickle.loads(bytes(r["state"])) for r in states}
 
 
-def fold_rows(df: DataFrame, order_by, initial, step: Callable, merge: Callable, finish: Callable | None = None):
+def fold_rows(df: DataFrame, order_by, initial, step: Callable, merge: Callable, finish: Callable | None = None, zero=None):
     """Fold the rows in order with Python functions and return the final state.
 
     ``step(state, frame)`` takes in a pandas frame of consecutive rows and
     ``merge(earlier, later)`` joins the states of neighbouring key ranges, so the
     rows are folded in parallel and only one state per range reaches the driver.
     A fold that cannot be merged has no parallel form and is not accepted.
+
+    ``initial`` is used once, before the first row.  Ranges start from ``zero``, a state that
+    changes nothing when merged; it may be left out if ``initial`` is one.  States must stay
+    small: one that pickles to more than ``STATE_BYTES`` is an error.
     """
     if merge is None:
         raise ValueError("a fold needs merge(earlier, later) to run on more than one task")
     _, placed = _in_order(df, order_by)
-    states = _range_states(placed, initial, step)
+    states = _range_states(placed, _zero(initial, zero, merge), step)
     total = initial
     for bucket in sorted(states):
         total = merge(total, states[bucket])
@@ -83,7 +118,7 @@ def scan(
 
 
 def scan_rows(
-    df: DataFrame, order_by, initial, step: Callable, merge: Callable, emit: Callable, schema
+    df: DataFrame, order_by, initial, step: Callable, merge: Callable, emit: Callable, schema, zero=None
 ) -> DataFrame:
     """Stateful map over the rows in order with Python functions.
 
@@ -92,7 +127,7 @@ def scan_rows(
     ``emit(state, frame) -> (state, out)`` runs over each range from its own start.
     """
     index, placed = _in_order(df, order_by)
-    states = _range_states(placed, initial, step)
+    states = _range_states(placed, _zero(initial, zero, merge), step)
     starts, state = {}, initial
     for bucket in range(len(index.lower)):
         starts[bucket] = state
@@ -113,8 +148,8 @@ def scan_rows(
 def unique(df: DataFrame, columns: Sequence[str] | None = None, order_by=None) -> DataFrame:
     """Distinct rows, or one row per distinct ``columns``.
 
-    With ``order_by`` it is the first in order that stays; the choice is an aggregate
-    with partial results before the shuffle, so a value of any frequency is cheap.
+    With ``order_by`` it is the first in order that stays: the smallest key of each value, found by
+    an aggregate with partial results before the shuffle, chooses the rows.
     """
     if columns is None and order_by is None:
         return df.dropDuplicates()
@@ -122,10 +157,14 @@ def unique(df: DataFrame, columns: Sequence[str] | None = None, order_by=None) -
     if order_by is None:
         return df.dropDuplicates(columns)
     require_batch(df, "unique with order_by")
-    key = F.struct(*as_list(order_by))
-    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), key).alias("__first")
-    kept = df.groupBy(*columns).agg(first)
-    return kept.select(*[F.col("__first")[c].alias(c) for c in df.columns])
+    keys = {f"__k{i}": comparable(df, c) for i, c in enumerate(as_list(order_by))}
+    groups = {f"__g{i}": F.col(f"`{c}`") for i, c in enumerate(columns)}
+    narrow = df.select(*[c.alias(n) for n, c in groups.items()], F.struct(*[c.alias(n) for n, c in keys.items()]).alias("__key"))
+    first = narrow.groupBy(*groups).agg(F.min("__key").alias("__key")).select(*groups, "__key.*")
+    same = F.lit(True)
+    for name, c in {**groups, **keys}.items():
+        same = same & c.eqNullSafe(F.col(name))
+    return df.join(first, same, "left_semi")
 
 
 def rejection_resample(
@@ -144,6 +183,10 @@ def rejection_resample(
     stays depends on the seed and its order key only.
     """
     require_batch(df, "rejection_resample")
+    require_new(df, name)
+    for dist in (target_dist, initial_dist):
+        if dist is not None and (len(dist) != len(target_dist) or min(dist) < 0 or abs(sum(dist) - 1) > 1e-6):
+            raise ValueError("distributions need one share per class, not negative, that add up to 1")
     classed = df.withColumn(name, as_column(df, class_of).cast("int"))
     k = len(target_dist)
     if initial_dist is None:

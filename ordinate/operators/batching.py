@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ordinate.operators.mapping import as_column
-from ordinate.order import BUCKET, as_list, build_index, with_ordinal
+from ordinate.order import BUCKET, Ordinal, as_list, build_index, require_batch, require_new, with_ordinal
 
 
 def _gather(df: DataFrame, keys: Sequence, order: str, columns: Sequence[str], extra=()):
@@ -223,6 +223,7 @@ def bucket_by_sequence_length(
     if len(bucket_batch_sizes) != len(bucket_boundaries) + 1:
         raise ValueError("one batch size per bucket: one more than there are boundaries")
     columns = list(columns or df.columns)
+    require_new(df, "bucket", "batch")
     edges = [int(b) for b in bucket_boundaries]
     sized = df.withColumn("__length", as_column(df, length))  # evaluated once, compared several times
     bucket = sum((F.when(F.col("__length") >= b, 1).otherwise(0) for b in edges), F.lit(0))
@@ -262,23 +263,25 @@ def window(
     One row per window and member, with its place ``window_pos``.  Windows begin as
     long as there is a row to begin with; short ones go if ``drop_remainder``.
     """
+    require_batch(df, "window")
     shift = size if shift is None else shift
     if min(size, shift, stride) < 1:
         raise ValueError("size, shift and stride must be at least 1")
-    ranked = with_ordinal(df, order_by, "__ord")
+    require_new(df, name, "window_pos")
     reach = (size - 1) * stride
-    # the windows whose span covers a row run from `first` to `last`
-    first = F.expr(f"greatest(0L, __ord - {reach} + {shift - 1}) div {shift}")
-    last = F.expr(f"__ord div {shift}")
-    spans = ranked.where(first <= last).withColumn(name, F.explode(F.sequence(first, last)))
-    offset = F.col("__ord") - F.col(name) * shift
-    members = spans.withColumn("__off", offset).where((F.col("__off") % stride == 0) & (F.col("__off") <= reach))
-    members = members.withColumn("window_pos", F.expr(f"__off div {stride}").cast("int"))
-    if drop_remainder:
-        # a window is full when there is a row at its last place
-        total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    if isinstance(order_by, Ordinal):
+        ranked, total = with_ordinal(df, order_by, "__ord"), df.count() if drop_remainder else 0
+    else:
+        index = build_index(df, order_by)
+        ranked, total = index.ranked(df, "__ord").drop(BUCKET), index.total
+    # one row for each window in which the row has a place
+    start = lambda i: F.col("__ord") - i * stride
+    places = F.filter(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (start(i) >= 0) & (start(i) % shift == 0))
+    members = ranked.withColumn("window_pos", F.explode(places))
+    members = members.withColumn(name, F.expr(f"(__ord - window_pos * {stride}) div {shift}"))
+    if drop_remainder:  # a window is full when there is a row at its last place
         members = members.where(F.col(name) * shift + reach < total)
-    return members.drop("__ord", "__off")
+    return members.select(*[F.col(f"`{c}`") for c in df.columns], name, "window_pos")
 
 
 def group_by_window(
@@ -301,6 +304,9 @@ def group_by_window(
     if (window_size is None) == (window_size_func is None):
         raise ValueError("give exactly one of window_size and window_size_func")
     columns = list(columns or df.columns)
+    if not (isinstance(key, str) and key == key_name):
+        require_new(df, key_name)
+    require_new(df, "window")
     keyed = df.withColumn(key_name, as_column(df, key))
     size = F.lit(window_size) if window_size is not None else window_size_func(F.col(key_name))
     ranked = with_ordinal(keyed, order_by, "__in_key", partition_by=key_name, align=size, keep_bucket=True)

@@ -15,14 +15,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ordinate.functions.hashing import seeded_hash, uniform
 from ordinate.operators.mapping import as_column
 from ordinate.operators.position import concatenate, repeat
-from ordinate.order import Ordinal, as_list, comparable, require_batch, running, with_ordinal
+from ordinate.order import Ordinal, as_list, comparable, require_batch, require_new, running, with_ordinal
 from ordinate.scratch import written
 
 #: arrival times are whole numbers of this fraction, so that sums are exact
 ARRIVAL_SCALE = 1_000_000
 
-#: the turns of up to this many sources are sent to every task, those of more are joined
-BROADCAST_SOURCES = 100_000
+#: sources of which the turns can be found, if not all are open at a time: one task walks over them
+MOST_SOURCES = 10_000_000
 
 
 def _keys(df: DataFrame, order_by) -> list[Column]:
@@ -39,6 +39,7 @@ def shuffle(
     many; sort by ``name + "_block"`` first.
     """
     require_batch(df, "shuffle")
+    require_new(df, name)
     parts = _keys(df, order_by)
     if epoch is not None:
         parts = [as_column(df, epoch) if isinstance(epoch, (str, Column)) else F.lit(epoch), *parts]
@@ -61,14 +62,16 @@ def shuffle_and_repeat(
 
 
 def interleave(
-    df: DataFrame, source, order_by, source_order=None, cycle_length: int = 1, block_length: int = 1
+    df: DataFrame, source, order_by, source_order=None, cycle_length: int = 1, block_length: int = 1, sources: Sequence | None = None
 ) -> DataFrame:
     """Take rows from several sources in turn.
 
     ``cycle_length`` sources are open at a time; each turn takes ``block_length``
     rows from one.  When a source runs out, the next unopened one takes its place in
     the following round.  Sources open in order of ``source`` (or of the aggregate
-    ``source_order`` over their rows).
+    ``source_order`` over their rows), or as listed in ``sources``, which may name empty
+    ones: an empty source takes up its turn.  If not all sources are open at a time, there
+    may be ``MOST_SOURCES`` of them at most.
 
     The result is ordered by ``(round, slot, block_pos)``.  A row's round is its
     source's first round plus its rank in the source over ``block_length``, so the
@@ -77,14 +80,26 @@ def interleave(
     if cycle_length < 1 or block_length < 1:
         raise ValueError("cycle_length and block_length must be at least 1")
     require_batch(df, "interleave")
+    require_new(df, "round", "slot", "block_pos")
     keyed = df.withColumn("__source", as_column(df, source))
     rank = F.col("__source") if source_order is None else source_order
     counts = keyed.groupBy("__source").agg(F.count(F.lit(1)).alias("rows"), F.min(rank).alias("rank"))
+    if sources is not None:
+        kind = keyed.schema["__source"].dataType.simpleString()
+        given = df.sparkSession.createDataFrame([(s, i) for i, s in enumerate(dict.fromkeys(sources))], f"__given {kind}, rank bigint")
+        held = counts.select("__source", "rows")
+        counts = given.join(held, F.col("__given").eqNullSafe(F.col("__source")), "left").select(
+            F.col("__given").alias("__source"), F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"), "rank")
     # a source is found to be empty only on the turn after its last full block
-    turns = counts.withColumn("turns", F.expr(f"rows div {int(block_length)}") + 1)
-    plan = written(_open_sources(turns, cycle_length), "interleave")
-    if plan.count() <= BROADCAST_SOURCES:
-        plan = F.broadcast(plan)
+    turns = written(counts.withColumn("turns", F.expr(f"rows div {int(block_length)}") + 1), "interleave")
+    number = turns.count()
+    if number <= cycle_length:  # all are open from the start
+        places = with_ordinal(turns, ["rank", "__source"], "slot")
+        plan = places.select(F.col("__source").alias("__opened"), F.lit(0).cast("bigint").alias("first_round"), F.col("slot").cast("int").alias("slot"))
+    elif number <= MOST_SOURCES:
+        plan = written(_open_sources(turns, cycle_length), "interleave")
+    else:
+        raise ValueError(f"{number} sources, {cycle_length} open at a time: at most {MOST_SOURCES} can be planned")
     ranked = with_ordinal(keyed, order_by, "__k", partition_by="__source")
     out = ranked.join(plan, F.col("__source").eqNullSafe(F.col("__opened")))
     return out.select(
@@ -137,7 +152,7 @@ def choose_from_datasets(
     tagged = [df.withColumns({f"__o{j}": c for j, c in enumerate(_keys(df, order))}) for df, order in inputs]
     pool = concatenate(*tagged)
     keys = [f"__o{j}" for j in range(len(as_list(inputs[0][1])))]
-    counted = {r["source_id"]: r["count"] for r in pool.groupBy("source_id").count().collect()}  # one row per input
+    counted = {i: df.count() for i, (df, _) in enumerate(inputs)} if stop_on_empty else {}
     pool = with_ordinal(pool, keys, "__k", partition_by="source_id").drop(*keys)
     columns = [c for c in pool.columns if c not in ("source_id", "__k")]
 
@@ -196,6 +211,8 @@ def sample_from_datasets(
     rates = [1.0] * n if weights is None else [float(w) for w in weights]
     if len(rates) != n or min(rates) < 0 or max(rates) == 0:
         raise ValueError("one non-negative weight per input, not all zero")
+    total = sum(rates)
+    rates = [r / total for r in rates]  # only their ratios count
     live = [i for i in range(n) if rates[i] > 0]
     tagged = []
     for i in live:

@@ -50,8 +50,11 @@ def snapshot(
     if found is None:
         out, writer_cols = df, []
         if shard_func is not None:
-            out = df.withColumn("shard", shard_func(df) if callable(shard_func) and not isinstance(shard_func, Column) else shard_func)
-            writer_cols = ["shard"]
+            name = "shard"
+            while name in df.columns:  # the data's own columns stay as they are
+                name = f"_{name}"
+            out = df.withColumn(name, shard_func(df) if callable(shard_func) and not isinstance(shard_func, Column) else shard_func)
+            writer_cols = [name]
         out.write.mode("overwrite").partitionBy(*writer_cols).option("compression", CODECS[compression]).parquet(data)
         # written last: without it the data directory is unfinished and is written again
         spark.createDataFrame([(made_of,)], "made_of string").coalesce(1).write.mode("overwrite").parquet(note)

@@ -8,33 +8,26 @@ from pyspark.sql import DataFrame, functions as F
 
 from ordinate.operators.mapping import as_condition
 from ordinate.order import (
-    BUCKET, Ordinal, as_list, before_key, build_index, comparable, from_key, key_at, prefix, require_batch, with_ordinal, _pack,
+    BUCKET, OrderIndex, Ordinal, as_list, before_key, build_index, comparable, from_key, key_at, key_types, require_batch, require_new, with_ordinal, _pack,
 )
 
-#: up to this many rows are taken with a plain top-k sort, in which every task sends
-#: that many to one task
-TOP_K_ROWS = 100
-#: up to this many, with a top-k sort of the rows that can be among them; for more, the
-#: key of the first row not taken is found, and filtered on
-SORTED_ROWS = 100_000
-
 
 def enumerate_rows(df: DataFrame, order_by, start: int = 0, name: str = "index") -> DataFrame:
     """Number the rows in order, from ``start``, as a bigint column."""
+    require_new(df, name)
     return with_ordinal(df, order_by, name, start=start)
 
 
 def take(df: DataFrame, count: int, order_by) -> DataFrame:
-    """The first ``count`` rows; -1 takes them all."""
+    """The first ``count`` rows, in no order; -1 takes them all.
+
+    Finds the key of the first row to leave and filters on it, so rows are neither moved nor sorted.
+    """
     require_batch(df, "take")
     if count < 0:
         return df
     if isinstance(order_by, Ordinal):
         return df.where(F.col(order_by) < count)
-    if count <= TOP_K_ROWS:
-        return df.orderBy(*as_list(order_by)).limit(count)
-    if count <= SORTED_ROWS:
-        return prefix(df, order_by, count).orderBy(*as_list(order_by)).limit(count)
     index, bound = key_at(df, order_by, count)
     return df if bound is None else df.where(before_key(df, index, bound))
 
@@ -68,12 +61,11 @@ def take_while(df: DataFrame, predicate, order_by) -> DataFrame:
     stop = df.where(fails).agg(F.min(key).alias("stop")).first()["stop"]
     if stop is None:
         return df
-    values = tuple(stop) if len(names) > 1 else (stop,)
-    ddl = [df.select(comparable(df, c).alias("v")).schema["v"].dataType.simpleString() for c in names]
-    kept = df.where(key < _pack([F.lit(v).cast(t) for v, t in zip(values, ddl)]))
-    if len(names) > 1:  # the plain test is the one Parquet can prune on
-        kept = kept.where(comparable(df, names[0]) <= F.lit(values[0]).cast(ddl[0]))
-    return kept
+    index = OrderIndex(tuple(names), (), key_types(df, names), [], {"n": []}, 0, 1)
+    here = from_key(df, index, tuple(stop)) & (key <= index.key_literal(tuple(stop)))
+    if len(df.where(here).select(F.lit(1)).limit(2).collect()) > 1:
+        raise ValueError(f"{names} do not order the rows: {tuple(stop)} stands twice")
+    return df.where(before_key(df, index, tuple(stop)))
 
 
 def shard(df: DataFrame, num_shards: int, index: int, order_by) -> DataFrame:
@@ -92,6 +84,7 @@ def repeat(df: DataFrame, count: int, name: str = "epoch") -> DataFrame:
     """
     if count is None or count < 0:
         raise ValueError("an endless repeat cannot be a table; give a count")
+    require_new(df, name)
     if count == 0:
         return df.withColumn(name, F.lit(0)).where(F.lit(False))
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
@@ -103,6 +96,7 @@ def concatenate(*dfs: DataFrame, name: str = "source_id") -> DataFrame:
     Inputs must have the same columns and types.  The result is ordered by
     ``name`` and then each input's order.
     """
+    require_new(dfs[0], name)
     first = dfs[0].schema
     kinds = {f.name: f.dataType for f in first.fields}
     for other in dfs[1:]:

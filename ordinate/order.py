@@ -1,7 +1,8 @@
 """Positions for rows that have none.
 
 A DataFrame is unordered, so every positional operator in this package names
-the columns that order it.  Those columns must be non-null and unique together.
+the columns that order it.  Nulls come first; the columns must be unique together, and
+operators that meet two rows of one key raise.
 
 ``build_index`` reads only the ordering columns and learns, for a fixed number
 of key ranges ("buckets"), where each range starts and what came before it.
@@ -52,11 +53,17 @@ def require_batch(df: DataFrame, op: str) -> None:
         )
 
 
+def require_new(df: DataFrame, *names: str) -> None:
+    """Raise if a column that an operator adds is there already."""
+    taken = [n for n in names if n in df.columns]
+    if taken:
+        raise ValueError(f"there are columns {taken} already: rename them or give another name")
+
+
 def check_order(df: DataFrame, order_by) -> None:
-    """Raise unless the columns are non-null and unique together (reads only them)."""
+    """Raise unless the columns are unique together (reads only them)."""
     names = as_list(order_by)
-    wrong = df.groupBy(*names).count().where(
-        " OR ".join(["count > 1", *[f"`{n}` IS NULL" for n in names]])).limit(1).collect()
+    wrong = df.groupBy(*names).count().where("count > 1").limit(1).collect()
     if wrong:
         raise ValueError(f"{names} do not order the rows: {wrong[0].asDict()}")
 
@@ -110,7 +117,7 @@ class OrderIndex:
         return len(self.partition_by)
 
     def key(self, df: DataFrame) -> Column:
-        """The sort key of a row: one value, or a struct for several columns."""
+        """The sort key of a row: a struct, which compares like the sort, nulls first."""
         parts = [comparable(df, c) for c in (*self.partition_by, *self.order_by)]
         return _pack(parts)
 
@@ -118,8 +125,6 @@ class OrderIndex:
         return _pack([F.lit(v).cast(t) for v, t in zip(values, self.key_ddl)])
 
     def _key_table(self, keys: list[tuple], ddl: Sequence[str]) -> Column:
-        if len(ddl) == 1:
-            return _table([k[0] for k in keys], ddl[0])
         fields = ",".join(f"f{i}:{t}" for i, t in enumerate(ddl))
         return _table([{f"f{i}": v for i, v in enumerate(k)} for k in keys], f"struct<{fields}>")
 
@@ -207,17 +212,21 @@ class OrderIndex:
             {"n": [0, *positions]}, self.total, self.partitions,
         )
 
+    def without_ties(self, placed: DataFrame, value: Column) -> Column:
+        """The value, or an error on a row whose key its predecessor has, too: equal keys share a bucket."""
+        key = _pack([comparable(placed, c) for c in self.order_by])
+        tie = F.lag(key).over(self.window()).eqNullSafe(key)
+        return F.when(tie, F.raise_error(F.lit(f"{list(self.order_by)} do not order the rows: two have the same key"))).otherwise(value)
+
     def ranked(self, df: DataFrame, name: str, start: int = 0) -> DataFrame:
-        """Rows placed by bucket, with their position in order as ``name``."""
+        """Rows placed by bucket, with their position in order as ``name``; equal keys raise."""
         placed = self.place(df)
-        position = F.row_number().over(self.window()).cast("bigint") - 1
+        position = self.without_ties(placed, F.row_number().over(self.window()).cast("bigint") - 1)
         ahead = F.coalesce(self.before(placed, "n", "bigint"), F.lit(0).cast("bigint"))
         return placed.withColumn(name, position + ahead + F.lit(start).cast("bigint"))
 
 
 def _pack(parts: Sequence[Column]) -> Column:
-    if len(parts) == 1:
-        return parts[0]
     return F.struct(*[p.alias(f"f{i}") for i, p in enumerate(parts)])
 
 
@@ -278,10 +287,7 @@ def build_index(
     lower, carry = [], {name: [] for name in kinds}
     previous = None
     for row in found:
-        low = tuple(row["lo"]) if len(k) > 1 and not groups else (row["lo"],) if not groups else None
-        if groups:
-            head = row["head"]
-            low = tuple(head[n] for n in g) + (tuple(head["lo"]) if len(k) > 1 else (head["lo"],))
+        low = tuple(row["lo"]) if not groups else tuple(row["head"][n] for n in g) + tuple(row["head"]["lo"])
         for name, kind in kinds.items():
             if previous is None:
                 value = None
@@ -342,7 +348,7 @@ def running(
     frame = index.window().rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
     added = {}
     for name, (kind, col) in measures.items():
-        here = getattr(F, kind)(col).over(frame)
+        here = index.without_ties(placed, getattr(F, kind)(col).over(frame))
         ddl = placed.select(getattr(F, kind)(col).alias("v")).schema["v"].dataType.simpleString()
         ahead = index.before(placed, name, ddl)
         if kind in ("sum", "count"):
@@ -355,71 +361,73 @@ def running(
     return placed.withColumns(added).drop(BUCKET)
 
 
-#: up to this position a key is found among the few that can stand there
-PREFIX_ROWS = 1_000_000
+#: a range of keys that is sorted at once, and ranges of one step
+SORTED_KEYS, STEP_RANGES = 4096, 16
 
 
 def key_at(df: DataFrame, order_by, position: int) -> tuple[OrderIndex, tuple | None]:
     """The sort key of the row at ``position`` (from 0), or None if there are fewer rows.
 
-    Comes with an index that can compare keys with it.
+    Comes with an index that can compare keys with it.  The range of keys that holds the
+    position is divided again until it is short; every step reads that range's keys only.
+    A key that stands twice at the position raises.
     """
     names = as_list(order_by)
-    cols = [f"k{i}" for i in range(len(names))]
+    cols = [f"f{i}" for i in range(len(names))]
     keys = df.select(*[comparable(df, c).alias(n) for c, n in zip(names, cols)])
-    if position < PREFIX_ROWS:
-        ddl = tuple(keys.schema[n].dataType.simpleString() for n in cols)
-        near = prefix(df, order_by, position + 1).select(*[comparable(df, c).alias(n) for c, n in zip(names, cols)])
-        found = near.orderBy(*cols).offset(position).limit(1).collect()
-        return OrderIndex(tuple(names), (), ddl, [], {"n": []}, 0, 1), tuple(found[0]) if found else None
-    index = build_index(df, order_by)
-    if position >= index.total:
-        return index, None
-    # rank the keys of the one bucket that holds the row
-    bucket = max(b for b, s in enumerate(index.starts) if s <= position)
-    packed = _pack([F.col(n) for n in cols])
-    inside = keys.where(packed >= index.key_literal(index.lower[bucket])) if bucket else keys
-    if bucket + 1 < len(index.lower):
-        inside = inside.where(packed < index.key_literal(index.lower[bucket + 1]))
-    ranked = inside.withColumn(
-        "r", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*cols)) - 1
-    ).where(F.col("r") == position - index.starts[bucket])
-    return index, tuple(ranked.select(*cols).first())
-
-
-def prefix(df: DataFrame, order_by, count: int) -> DataFrame:
-    """The first ``count`` rows and a few more: what is left can be sorted at once.
-
-    Keys fall into four times as many hash groups as rows are wanted.  Of the groups'
-    smallest keys, the ``count``-th is at or after the last wanted row, for that many
-    rows are known not to follow it.  About 1.15 ``count`` rows pass the filter, and
-    tasks send on one key per group to find it.
-    """
-    require_batch(df, "an ordered operator")
-    order = as_list(order_by)
-    parts = [comparable(df, c) for c in order]
-    ddl = [df.select(p.alias("v")).schema["v"].dataType.simpleString() for p in parts]
-    group = F.pmod(F.xxhash64(*parts), F.lit(4 * count))
-    smallest = df.select(group.alias("g"), _pack(parts).alias("key")).groupBy("g").agg(F.min("key").alias("key"))
-    found = smallest.orderBy("key").offset(count - 1).limit(1).collect()
-    if not found:
-        return df
-    bound = tuple(found[0]["key"]) if len(order) > 1 else (found[0]["key"],)
-    kept = df.where(_pack(parts) <= _pack([F.lit(v).cast(t) for v, t in zip(bound, ddl)]))
-    return kept.where(parts[0] <= F.lit(bound[0]).cast(ddl[0])) if len(order) > 1 else kept
+    ranges = max(STEP_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    whole, inside, index = None, keys, build_index(df, names, buckets=ranges)
+    while True:
+        whole = whole or index
+        if position >= index.total:
+            return whole, None
+        at = max(b for b, start in enumerate(index.starts) if start <= position)
+        upper = index.lower[at + 1] if at + 1 < len(index.lower) else None
+        size = (index.starts[at + 1] if upper else index.total) - index.starts[at]
+        if at:
+            inside = inside.where(_after(inside, cols, index, index.lower[at]))
+        if upper:
+            inside = inside.where(_ahead(inside, cols, index, upper))
+        position -= index.starts[at]
+        if size <= SORTED_KEYS:
+            break
+        if size == index.total:
+            raise ValueError(f"{names} do not order the rows: {size} keys cannot be told apart")
+        index = build_index(inside, cols, buckets=ranges)
+    first = max(0, position - 1)
+    near = [tuple(r) for r in inside.orderBy(*cols).offset(first).limit(position - first + 2).collect()]
+    found = near[position - first]
+    if near.count(found) > 1:
+        raise ValueError(f"{names} do not order the rows: {found} stands twice")
+    return whole, found
+
+
+def _after(df: DataFrame, names: Sequence[str], index: OrderIndex, bound: tuple) -> Column:
+    """Rows at or after ``bound``; the plain first-column test is what Parquet can prune on."""
+    whole = _pack([comparable(df, n) for n in names]) >= index.key_literal(bound)
+    if bound[0] is None:
+        return whole
+    return whole & (comparable(df, names[0]) >= F.lit(bound[0]).cast(index.key_ddl[0]))
+
+
+def _ahead(df: DataFrame, names: Sequence[str], index: OrderIndex, bound: tuple) -> Column:
+    """Rows strictly before ``bound``."""
+    first = comparable(df, names[0])
+    whole = _pack([comparable(df, n) for n in names]) < index.key_literal(bound)
+    if bound[0] is None:
+        return whole & first.isNull()
+    return whole & (first.isNull() | (first <= F.lit(bound[0]).cast(index.key_ddl[0])))
 
 
 def from_key(df: DataFrame, index: OrderIndex, bound: tuple) -> Column:
-    """Rows at or after ``bound``; the plain first-column test is what Parquet can prune on."""
-    whole = index.key(df) >= index.key_literal(bound)
-    if len(bound) == 1:
-        return whole
-    return whole & (comparable(df, index.order_by[0]) >= F.lit(bound[0]).cast(index.key_ddl[0]))
+    """Rows at or after ``bound``."""
+    return _after(df, index.order_by, index, bound)
 
 
 def before_key(df: DataFrame, index: OrderIndex, bound: tuple) -> Column:
     """Rows strictly before ``bound``."""
-    whole = index.key(df) < index.key_literal(bound)
-    if len(bound) == 1:
-        return whole
-    return whole & (comparable(df, index.order_by[0]) <= F.lit(bound[0]).cast(index.key_ddl[0]))
+    return _ahead(df, index.order_by, index, bound)
+
+
+def key_types(df: DataFrame, order_by) -> tuple[str, ...]:
+    return tuple(df.select(comparable(df, c).alias("v")).schema["v"].dataType.simpleString() for c in as_list(order_by))

@@ -3,11 +3,7 @@
 from pyspark.sql import functions as F
 
 import ordinate as o
-from ordinate.plans.registry import query
-
-
-def cents():
-    return F.round(F.col("value") * 100).cast("bigint")
+from ordinate.plans.registry import cents, query
 
 
 def joined(col, sep=","):
@@ -115,6 +111,17 @@ def window_events(t):
         F.max("event_id").alias("last_event"), F.sum("window_pos").alias("places"))
 
 
+@query("""
+WITH s AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS ord FROM orders),
+     w AS (SELECT ord // 7 AS window_id FROM s WHERE ord % 7 = 0)
+SELECT window_id, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM w JOIN s ON ord BETWEEN window_id * 7 AND window_id * 7 + 19 GROUP BY 1
+""")
+def window_sliding_orders(t):
+    """Windows that overlap, the short ones at the end with them."""
+    members = o.window(t.orders.select("o_orderkey"), 20, "o_orderkey", shift=7)
+    return members.groupBy("window_id").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
 @query("""
 WITH s AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS ord FROM orders)
 SELECT ord // 40 AS window_id, CAST(ord % 40 AS INTEGER) AS window_pos, o_orderkey FROM s

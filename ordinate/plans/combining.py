@@ -8,13 +8,14 @@ from ordinate.plans.registry import query
 
 def segments(t):
     rows = t.customer.select("c_custkey", "c_name", "c_mktsegment")
-    return [(rows.where(F.col("c_mktsegment") == s), "c_custkey") for s in ("BUILDING", "MACHINERY", "HOUSEHOLD")]
+    return [(rows.where(F.col("c_mktsegment") == s), "c_custkey") for s in ("BUILDING", "MACHINERY", "HOUSEHOLD", "AUTOMOBILE", "FURNITURE")]
 
 
 _CHOSEN = """
-WITH c AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS step, CAST(o_custkey % 3 AS INTEGER) AS source_id FROM orders),
+WITH c AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS step, CAST(o_custkey % 5 AS INTEGER) AS source_id FROM orders),
      k AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY step) - 1 AS k FROM c),
-     s AS (SELECT *, CASE c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'MACHINERY' THEN 1 WHEN 'HOUSEHOLD' THEN 2 END AS source_id FROM customer),
+     s AS (SELECT *, CASE c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'MACHINERY' THEN 1 WHEN 'HOUSEHOLD' THEN 2
+                            WHEN 'AUTOMOBILE' THEN 3 WHEN 'FURNITURE' THEN 4 END AS source_id FROM customer),
      p AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY c_custkey) - 1 AS k FROM s WHERE source_id IS NOT NULL),
      j AS (SELECT k.step, k.source_id, p.c_custkey, p.c_name FROM k LEFT JOIN p ON k.source_id = p.source_id AND k.k = p.k)
 """
@@ -24,13 +25,13 @@ WITH c AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS step, CAST(o_cu
 SELECT * FROM j WHERE step < coalesce((SELECT min(step) FROM j WHERE c_custkey IS NULL), 9223372036854775807)
 """)
 def choose_until_empty(t):
-    choices = t.orders.select("o_orderkey", (F.col("o_custkey") % 3).alias("choice"))
+    choices = t.orders.select("o_orderkey", (F.col("o_custkey") % 5).alias("choice"))
     return o.choose_from_datasets(segments(t), choices, "choice", "o_orderkey").drop("c_mktsegment")
 
 
 @query(_CHOSEN + "SELECT * FROM j WHERE c_custkey IS NOT NULL")
 def choose_all(t):
-    choices = t.orders.select("o_orderkey", (F.col("o_custkey") % 3).alias("choice"))
+    choices = t.orders.select("o_orderkey", (F.col("o_custkey") % 5).alias("choice"))
     picked = o.choose_from_datasets(segments(t), choices, "choice", "o_orderkey", stop_on_empty=False)
     return picked.drop("c_mktsegment")
 
@@ -68,6 +69,12 @@ def sample_all(t):
     return o.sample_from_datasets(parties(t), seed=5, weights=[0.5, 0.2, 0.3], stop_on_empty=False)
 
 
+@query(_SAMPLED + "SELECT arrival, source_id, source_pos, key, name FROM r")
+def sample_large_weights(t):
+    """Only the ratios of weights count."""
+    return o.sample_from_datasets(parties(t), seed=5, weights=[5e8, 2e8, 3e8], stop_on_empty=False)
+
+
 @query("""
 WITH w AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS step, o_custkey % 4 + 1 AS a, o_custkey % 3 AS b, o_custkey % 5 AS c FROM orders),
      u AS (SELECT *, CAST(('0x' || substr(md5('9|' || step), 1, 15)) AS BIGINT) / 1152921504606846976.0::DOUBLE * (a + b + c) AS point FROM w),

@@ -138,15 +138,24 @@ def features_dense(t):
         F.array_position(F.slice("x", 3, 5), 1.0).alias("segment"), F.array_position(F.slice("x", 8, 4), 1.0).alias("bucket"))
 
 
+def _digest(vector):
+    """All components in millionths, as one digest."""
+    return F.md5(F.array_join(F.transform(vector, lambda v: F.round(v * 1000000).cast("bigint").cast("string")), ","))
+
+
+_DIGEST = "md5(array_to_string(list_transform(%s, lambda a: CAST(CAST(round(a * 1000000) AS BIGINT) AS VARCHAR)), ','))"
+_ZEROS = "list_transform(range(64), lambda i: 0.0::DOUBLE)"
+
+
 def _vectors(t):
     return t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
 
 
-@query("""
+@query(f"""
 WITH w AS (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE) AS v FROM embeddings),
      n AS (SELECT vec_id, v, sqrt(list_sum(list_transform(v, lambda a: a * a))) AS norm FROM w),
      c AS (SELECT vec_id, CASE WHEN norm > 0.9 THEN list_transform(v, lambda a: a * 0.9 / norm) ELSE v END AS v FROM n)
-SELECT o_orderkey, round(coalesce(v[1], 0), 6) + 0.0 AS e0, round(coalesce(v[2], 0), 6) + 0.0 AS e1, round(coalesce(v[64], 0), 6) + 0.0 AS e63
+SELECT o_orderkey, {_DIGEST % f"coalesce(v, {_ZEROS})"} AS vector
 FROM orders LEFT JOIN c ON vec_id = CASE WHEN o_custkey < 600 THEN o_custkey ELSE 599 END
 """)
 def features_embedding(t):
@@ -154,15 +163,16 @@ def features_embedding(t):
             .step_categorical_column_with_identity("o_custkey", num_buckets=600, default_value=599)
             .step_embedding_column("o_custkey", dimension=64, max_norm=0.9, weights=_vectors(t))).fit()
     out = use_spec(t.orders, spec, keep=["o_orderkey"])
-    e = F.col("x.embedding_o_custkey")
-    return out.select("o_orderkey", *[(F.round(F.get(e, F.lit(i)), 6) + 0.0).alias(f"e{i}") for i in (0, 1, 63)])
+    return out.select("o_orderkey", _digest(F.col("x.embedding_o_custkey")).alias("vector"))
 
 
 @query(f"""
 WITH w AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word FROM conversations),
      i AS (SELECT conv_id, turn, {_hash('word', 400)} AS id FROM w),
-     s AS (SELECT conv_id, turn, count(*) AS n, sum(embedding[1]::DOUBLE) AS s0, sum(embedding[33]::DOUBLE) AS s32 FROM i JOIN embeddings ON vec_id = id GROUP BY 1, 2)
-SELECT conv_id, turn, round(s0 / sqrt(n), 6) + 0.0 AS e0, round(s32 / sqrt(n), 6) + 0.0 AS e32 FROM s
+     n AS (SELECT conv_id, turn, count(*) AS n FROM i JOIN embeddings ON vec_id = id GROUP BY 1, 2),
+     p AS (SELECT conv_id, turn, d, sum(embedding[d]::DOUBLE) AS s FROM i JOIN embeddings ON vec_id = id, range(1, 65) r(d) GROUP BY 1, 2, 3),
+     v AS (SELECT conv_id, turn, list(s / sqrt(n) ORDER BY d) AS v FROM p JOIN n USING (conv_id, turn) GROUP BY 1, 2)
+SELECT conv_id, turn, {_DIGEST % f"coalesce(v, {_ZEROS})"} AS vector FROM conversations LEFT JOIN v USING (conv_id, turn)
 """)
 def features_embedding_words(t):
     words = t.conversations.select("conv_id", "turn", F.split("text", " ").alias("words"))
@@ -170,14 +180,58 @@ def features_embedding_words(t):
             .step_categorical_column_with_hash_bucket("words", hash_bucket_size=400)
             .step_embedding_column("words", dimension=64, combiner="sqrtn", weights=_vectors(t))
             .step_remove_column("words")).fit()
-    out = use_spec(words, spec, keep=["conv_id", "turn"], row_key=["conv_id", "turn"])
-    e = F.col("x.embedding_words")
-    return out.select("conv_id", "turn", *[(F.round(F.get(e, F.lit(i)), 6) + 0.0).alias(f"e{i}") for i in (0, 32)])
+    out = use_spec(words, spec, keep=["conv_id", "turn"])
+    return out.select("conv_id", "turn", _digest(F.col("x.embedding_words")).alias("vector"))
+
+
+@query("""
+WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS words FROM conversations),
+     i AS (SELECT conv_id, turn, unnest(words) AS word, unnest(range(len(words))) AS pos FROM w),
+     v AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS id FROM (SELECT DISTINCT word FROM i))
+SELECT conv_id, turn, string_agg(id, ',' ORDER BY pos) AS ids FROM i JOIN v USING (word) GROUP BY 1, 2
+""")
+def features_vocabulary_of_arrays(t):
+    words = t.conversations.select("conv_id", "turn", F.split("text", " ").alias("words"))
+    spec = feature_spec(words, ["words"]).step_categorical_column_with_vocabulary_list("words").fit()
+    out = use_spec(words, spec, keep=["conv_id", "turn"])
+    return out.select("conv_id", "turn", F.array_join(F.col("x.words").cast("array<string>"), ",").alias("ids"))
+
+
+@query(f"""
+WITH w AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word FROM conversations),
+     n AS (SELECT conv_id, turn, {_hash('word', 16)} AS id, count(*) AS n FROM w GROUP BY 1, 2, 3),
+     a AS (SELECT conv_id, turn, i, coalesce(n, 0) AS n FROM (SELECT conv_id, turn, i FROM conversations, range(16) r(i)) LEFT JOIN (SELECT conv_id, turn, id AS i, n FROM n) USING (conv_id, turn, i))
+SELECT conv_id, turn, string_agg(n, ',' ORDER BY i) AS counts FROM a GROUP BY 1, 2
+""")
+def features_multi_hot(t):
+    words = t.conversations.select("conv_id", "turn", F.split("text", " ").alias("words"))
+    spec = (feature_spec(words, ["words"])
+            .step_categorical_column_with_hash_bucket("words", hash_bucket_size=16)
+            .step_indicator_column("words")).fit()
+    out = use_spec(words, spec, keep=["conv_id", "turn"])
+    counts = F.col("x.indicator_words").cast("array<int>").cast("array<string>")
+    return out.select("conv_id", "turn", F.array_join(counts, ",").alias("counts"))
 
 
 @query("""
+SELECT o_orderkey,
+       CAST(CASE o_orderpriority WHEN '5-LOW' THEN 0 WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 3 ELSE -1 END AS BIGINT) AS priority,
+       CAST(CASE o_custkey WHEN 7 THEN 0 WHEN 3 THEN 2 ELSE -1 END AS BIGINT) AS customer
+FROM orders
+""")
+def features_repeated_vocabulary(t):
+    """An entry that is there twice has the id of its first place; 7.0 is 7."""
+    rows = t.orders.withColumn("customer", F.col("o_custkey").cast("double"))
+    spec = (feature_spec(rows, ["o_orderpriority", "customer"])
+            .step_categorical_column_with_vocabulary_list("o_orderpriority", vocabulary_list=["5-LOW", "1-URGENT", "5-LOW", "2-HIGH"])
+            .step_categorical_column_with_vocabulary_list("customer", vocabulary_list=[7, 7.0, 3])).fit()
+    out = use_spec(rows, spec, keep=["o_orderkey"])
+    return out.select("o_orderkey", F.col("x.o_orderpriority").alias("priority"), F.col("x.customer").alias("customer"))
+
+
+@query(f"""
 WITH i AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_partkey % 500 AS p, l_suppkey % 500 AS s FROM lineitem)
-SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, round(a.embedding[3]::DOUBLE, 6) AS part, round(b.embedding[3]::DOUBLE, 6) AS supplier
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, {_DIGEST % "a.embedding::DOUBLE[]"} AS part, {_DIGEST % "b.embedding::DOUBLE[]"} AS supplier
 FROM i JOIN embeddings a ON a.vec_id = p JOIN embeddings b ON b.vec_id = s
 """)
 def features_shared_embeddings(t):
@@ -186,5 +240,5 @@ def features_shared_embeddings(t):
             .step_categorical_column_with_identity("p", "s", num_buckets=500)
             .step_shared_embeddings_column("p", "s", dimension=64, weights=_vectors(t))).fit()
     out = use_spec(items, spec, keep=["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"])
-    third = lambda c: F.round(F.get(F.col(f"x.shared_embeddings_p_s_{c}"), F.lit(2)), 6)
-    return out.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", third("p").alias("part"), third("s").alias("supplier"))
+    vector = lambda c: _digest(F.col(f"x.shared_embeddings_p_s_{c}"))
+    return out.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", vector("p").alias("part"), vector("s").alias("supplier"))

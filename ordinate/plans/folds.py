@@ -3,11 +3,7 @@
 from pyspark.sql import functions as F
 
 import ordinate as o
-from ordinate.plans.registry import query
-
-
-def cents():
-    return F.round(F.col("value") * 100).cast("bigint")
+from ordinate.plans.registry import cents, query
 
 
 @query("""
@@ -61,6 +57,38 @@ def fold_longest_rise(t):
     return t.spark.createDataFrame([(int(found["best"]), int(found["runs"]))], "longest bigint, runs bigint")
 
 
+@query("""
+SELECT CAST(1000000 + sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, least(-5.0::DOUBLE, min(value)) AS lowest,
+       greatest(0.5::DOUBLE, max(value)) AS highest FROM events
+""")
+def reduce_from_start(t):
+    return o.reduce_rows(
+        t.events, {"cents": F.sum(cents()), "lowest": F.min("value"), "highest": F.max("value")},
+        initial={"cents": ("sum", 1000000), "lowest": ("min", -5.0), "highest": ("max", 0.5)})
+
+
+def _add_cents(total, frame):
+    return total + int((frame.value * 100).round().astype("int64").sum())
+
+
+@query("SELECT CAST(777 + sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events")
+def fold_from_start(t):
+    total = o.fold_rows(t.events.select("event_id", "value"), "event_id", 777, _add_cents, lambda a, b: a + b, zero=0)
+    return t.spark.createDataFrame([(total,)], "cents bigint")
+
+
+@query("""
+SELECT event_id, CAST(777 + sum(CAST(round(value * 100) AS BIGINT)) OVER (ORDER BY event_id) AS BIGINT) AS cents FROM events
+""")
+def scan_from_start(t):
+    def emit(total, frame):
+        running = (frame.value * 100).round().astype("int64").cumsum() + total
+        return int(running.iloc[-1]), frame[["event_id"]].assign(cents=running)
+
+    return o.scan_rows(
+        t.events.select("event_id", "value"), "event_id", 777, _add_cents, lambda a, b: a + b, emit, "event_id bigint, cents bigint", zero=0)
+
+
 @query("""
 SELECT event_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS BIGINT) AS cents, min(value) OVER w AS lowest,
        max(value) OVER w AS highest, count(value) OVER w AS n

@@ -106,6 +106,26 @@ def interleaved_files(t):
     return turns.select("value", "round", "slot", "block_pos")
 
 
+@query("""
+WITH k AS (SELECT o_orderkey, o_orderkey % 4 AS part, row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey) - 1 AS k FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS value, k // 10 AS round, CAST(CASE part WHEN 3 THEN 0 WHEN 0 THEN 2 WHEN 2 THEN 3 ELSE 4 END AS INTEGER) AS slot,
+       CAST(k % 10 AS INTEGER) AS block_pos FROM k
+""")
+def interleaved_given_files(t):
+    """Files in the order of the list, of which the second is empty."""
+    path = scratch_path(t.spark, "given")
+    rows = t.orders.select(F.col("o_orderkey").cast("string").alias("value"), (F.col("o_orderkey") % 4).alias("part"), "o_orderkey")
+    rows = rows.repartition(4, "part").sortWithinPartitions("part", "o_orderkey").drop("o_orderkey")
+    rows.write.partitionBy("part").text(path)
+    t.spark.createDataFrame([], "value string").coalesce(1).write.text(f"{path}/empty")
+    names = [f"{path}/{d}/*.txt" for d in ("part=3", "empty", "part=0", "part=2", "part=1")]
+    files = [r.path for name in names for r in o.file_list(t.spark, name, shuffle=False).collect()]
+    turns = o.read_files(
+        t.spark, files, lambda spark, paths: o.text_lines(spark, paths, with_position=True),
+        parallel_files=5, parallel_interleave=10, order_in_file="line")
+    return turns.select("value", "round", "slot", "block_pos")
+
+
 @query("SELECT CAST(o_orderkey % 8 AS INTEGER) AS part, true AS filled FROM orders GROUP BY 1")
 def listed_files(t):
     found = o.file_list(t.spark, _orders_csv(t, files=8), shuffle=True, seed=1)
@@ -153,6 +173,11 @@ def cache_customers(t):
     return o.cache(t.customer.select("c_custkey", "c_name", "c_acctbal"), path)
 
 
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def cache_in_memory(t):
+    return o.cache(t.customer.select("c_custkey", "c_name", "c_acctbal"))
+
+
 @query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 25")
 def collect_cheapest_orders(t):
     rows = o.collect(t.orders.select("o_totalprice", "o_orderkey", "o_custkey"), ["o_totalprice", "o_orderkey"], 25)
@@ -226,10 +251,27 @@ def range_beside_orders(t):
 
 
 @query("""
-WITH p AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS pos FROM events),
-     h AS (SELECT pos, CAST(('0x' || substr(md5('13|' || pos || '|low'), 1, 15)) AS BIGINT) AS low,
+WITH p AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS pos FROM events),
+     h AS (SELECT event_id, pos, CAST(('0x' || substr(md5('13|' || pos || '|low'), 1, 15)) AS BIGINT) AS low,
                   CAST(('0x' || substr(md5('13|' || pos || '|high'), 1, 15)) AS BIGINT) % 16 AS high FROM p)
-SELECT pos, (CASE WHEN high >= 8 THEN high - 16 ELSE high END) * 1152921504606846976 + low AS value FROM h
+SELECT event_id, (CASE WHEN high >= 8 THEN high - 16 ELSE high END) * 1152921504606846976 + low AS value FROM h
 """)
 def random_integers(t):
-    return o.random_integer_dataset(t.spark, o.length(t.events), seed=13)
+    """A random number beside each event."""
+    numbers = o.random_integer_dataset(t.spark, o.length(t.events), seed=13)
+    pairs = o.zip_datasets((t.events.select("event_id"), "event_id"), (numbers, "pos"))
+    return pairs.select("_0.event_id", "_1.value")
+
+
+@query("""
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 0.5::DOUBLE ELSE o_custkey::DOUBLE END AS customer
+FROM orders
+""")
+def inferred_from_all_rows(t):
+    """One value, in the last row, is no whole number."""
+    path = scratch_path(t.spark, "odd-csv")
+    last = t.orders.agg(F.max("o_orderkey").alias("last"))
+    rows = t.orders.join(F.broadcast(last)).select(  # one row
+        "o_orderkey", F.when(F.col("o_orderkey") == F.col("last"), "0.5").otherwise(F.col("o_custkey").cast("string")).alias("customer"))
+    rows.write.option("header", True).csv(path)
+    return o.text_lines(t.spark, path, o.csv_record_spec(t.spark, path))

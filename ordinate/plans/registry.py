@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,3 +32,8 @@ def query(sql: str | None = None):
         return build
 
     return register
+
+
+def cents() -> Column:
+    """An event's value in whole cents, which add up exactly in any order."""
+    return F.round(F.col("value") * 100).cast("bigint")

@@ -3,11 +3,7 @@
 from pyspark.sql import functions as F
 
 import ordinate as o
-from ordinate.plans.registry import query
-
-
-def cents():
-    return F.round(F.col("value") * 100).cast("bigint")
+from ordinate.plans.registry import cents, query
 
 
 @query("""
@@ -180,3 +176,23 @@ def prepare_named_batches(t):
         "batch_id", "size",
         F.aggregate(F.col("x.o_custkey"), F.lit(0).cast("bigint"), lambda a, b: a + b).alias("customers"),
         F.array_join(F.col("x.o_orderstatus"), "").alias("statuses"), F.array_join("y", ",").alias("y"))
+
+
+@query("""
+WITH k AS (SELECT o_orderkey, nullif(o_custkey % 7, 3) AS part FROM orders)
+SELECT o_orderkey, part, row_number() OVER (ORDER BY part NULLS FIRST, o_orderkey) - 1 AS "index" FROM k
+""")
+def enumerate_nullable(t):
+    """Nulls come first."""
+    rows = t.orders.select("o_orderkey", F.expr("nullif(o_custkey % 7, 3)").alias("part"))
+    return o.enumerate_rows(rows, ["part", "o_orderkey"])
+
+
+@query("""
+WITH k AS (SELECT o_orderkey, nullif(o_custkey % 7, 3) AS part FROM orders),
+     r AS (SELECT *, row_number() OVER (ORDER BY part NULLS FIRST, o_orderkey) - 1 AS ord FROM k)
+SELECT o_orderkey, part FROM r WHERE ord >= 100
+""")
+def skip_nullable(t):
+    rows = t.orders.select("o_orderkey", F.expr("nullif(o_custkey % 7, 3)").alias("part"))
+    return o.skip(rows, 100, ["part", "o_orderkey"])

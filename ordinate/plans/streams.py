@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 import ordinate as o
 from ordinate.plans.registry import query
-from ordinate.streaming import group_by_window_stream, run_available, scan_stream, unique_stream
+from ordinate.streaming import group_by_window_stream, per_micro_batch, run_available, scan_stream, unique_stream
+from ordinate.scratch import scratch_path
 
 
 def _events(t):
@@ -57,3 +58,13 @@ def stream_group_by_window(t):
     rows = _events(t).select("event_id", "user_id", "value")
     return run_available(group_by_window_stream(
         rows, "user_id", "event_id", 10, reduce, "key bigint, window bigint, first_event bigint, last_event bigint, cents bigint"))
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS place FROM events")
+def stream_micro_batches(t):
+    """A positional operator on every micro-batch: one file is one batch."""
+    path = scratch_path(t.spark, "micro-batches")
+    query = per_micro_batch(
+        _events(t).select("event_id"), lambda batch: o.enumerate_rows(batch, "event_id", name="place"), f"{path}/rows", f"{path}/progress")
+    query.awaitTermination()
+    return t.spark.read.parquet(f"{path}/rows").select("event_id", "place")

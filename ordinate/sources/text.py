@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ordinate.operators.batching import batch
 from ordinate.operators.combine import shuffle
 from ordinate.operators.position import repeat
-from ordinate.sources.record_spec import SPARK_TYPES, TYPE_DEFAULTS, RecordSpec
+from ordinate.sources.record_spec import SPARK_TYPES, TYPE_DEFAULTS, RecordSpec, fitting_types
 
 _BAD = "__bad"
 
@@ -91,6 +91,15 @@ def _raw_csv(spark: SparkSession, paths: list[str], spec: RecordSpec) -> DataFra
     )
 
 
+def field_texts(spark: SparkSession, path: str, delim: str, skip: int, fields: int) -> DataFrame:
+    """All records of a file as texts ``f0``, ``f1``, ... without its first lines."""
+    schema = ", ".join(f"f{i} string" for i in range(fields))
+    if skip <= 1:
+        return spark.read.schema(schema).option("sep", delim).option("header", skip == 1).csv(path)
+    lines = _numbered(spark, [path]).where(F.col("line") >= skip)
+    return lines.select(F.from_csv("value", F.lit(schema), {"sep": delim}).alias("r")).select("r.*")
+
+
 def _decode(raw: DataFrame, spec: RecordSpec) -> DataFrame:
     return raw.select(*_typed(spec, lambda i: F.col(f"f{i}"), F.col(_BAD)))
 
@@ -127,13 +136,14 @@ def make_csv_dataset(
     header: bool = True,
     num_epochs: int = 1,
     shuffle_seed: int | None = None,
-    num_rows_for_inference: int = 100,
+    num_rows_for_inference: int | None = None,
 ) -> DataFrame:
     """CSV files as features and a label, optionally shuffled, repeated and batched.
 
     A column whose default is a type name (``"integer"``, ``"double"``,
     ``"character"``) is required; one with a value is optional and gets that value
-    when missing.  Without ``batch_size`` the rows have struct ``features`` and
+    when missing.  Types that are not given are those that all rows fit, or so many as
+    ``num_rows_for_inference`` says.  Without ``batch_size`` the rows have struct ``features`` and
     ``label``; batches need ``order_by``, columns that identify a row.
     """
     paths = [file_pattern] if isinstance(file_pattern, str) else list(file_pattern)
@@ -152,8 +162,10 @@ def make_csv_dataset(
         options["quote"] = ""
     text = spark.read.schema(", ".join(f"`{c}` string" for c in column_names)).options(**options).csv(paths)
     if column_defaults is None:
-        sample = [tuple(r) for r in text.select(*[F.col(f"`{c}`") for c in chosen]).limit(num_rows_for_inference).collect()]
-        column_defaults = [TYPE_DEFAULTS[_sampled_type([r[i] for r in sample])] for i in range(len(chosen))]
+        rows = text if num_rows_for_inference is None else text.limit(num_rows_for_inference)
+        kinds = fitting_types(rows, chosen)
+        empty = {c for c, gone in zip(chosen, rows.agg(*[(F.count(f"`{c}`") == 0).alias(c) for c in chosen]).first()) if gone} if None in kinds else set()
+        column_defaults = [TYPE_DEFAULTS[k or ("integer" if c in empty else "character")] for c, k in zip(chosen, kinds)]
     if len(column_defaults) != len(chosen):
         raise ValueError("one default per selected column")
     made = {}
@@ -183,14 +195,3 @@ def make_csv_dataset(
     label = [F.col(f"`{label_name}`").alias("label")] if label_name else []
     return rows.select(*[F.col(c) for c in order if c in ("epoch", "shuffle_key")], shaped, *label)
 
-
-def _sampled_type(values: list) -> str:
-    seen = [v for v in values if v is not None]
-    for kind, convert in (("integer", int), ("double", float)):
-        try:
-            converted = [convert(v) for v in seen]
-        except ValueError:
-            continue
-        if kind == "double" or all(-(2**31) < v < 2**31 for v in converted):
-            return kind
-    return "character"

@@ -86,10 +86,9 @@ def test_take_and_skip(spark, monkeypatch):
     assert values(o.skip(df, 17, "v"), "v", "v") == [17, 18, 19]
     assert o.skip(df, 0, "v").count() == 20
     assert o.skip(df, 20, "v").count() == 0 and o.skip(df, -1, "v").count() == 0
-    for limit in ("TOP_K_ROWS", "SORTED_ROWS"):
-        monkeypatch.setattr(f"ordinate.operators.position.{limit}", 2)
-        assert values(o.take(df, 5, "v"), "v", "v") == [0, 1, 2, 3, 4]
-        assert o.take(df, 50, "v").count() == 20
+    monkeypatch.setattr("ordinate.order.SORTED_KEYS", 2)
+    assert values(o.take(df, 5, "v"), "v", "v") == [0, 1, 2, 3, 4]
+    assert o.take(df, 50, "v").count() == 20
     pairs = df.select((F.col("v") % 4).alias("a"), "v")
     assert values(o.skip(pairs, 6, ["a", "v"]), ["a", "v"], "v") == values(pairs, ["a", "v"], "v")[6:]
     assert values(o.take(pairs, 6, ["a", "v"]), ["a", "v"], "v") == values(pairs, ["a", "v"], "v")[:6]
@@ -465,3 +464,62 @@ def test_cache_collect_single(spark, tmp_path):
     for n in (0, 2):
         with pytest.raises(ValueError):
             o.single_element(seq(spark, n))
+
+
+@pytest.mark.parametrize("partitions", ["1", "8", "200"])
+def test_starting_values_count_once(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = seq(spark, 100)
+        add, step = (lambda a, b: a + b), (lambda s, f: s + int(f.v.sum()))
+        assert o.fold_rows(df, "v", 10, step, add, zero=0) == 4960
+        with pytest.raises(ValueError, match="zero"):
+            o.fold_rows(df, "v", 10, step, add)
+
+        def emit(state, frame):
+            out = frame.v.cumsum() + state
+            return int(out.iloc[-1]), frame.assign(s=out)
+
+        got = o.scan_rows(df, "v", 10, step, add, emit, "v bigint, s bigint", zero=0).orderBy("v").collect()
+        assert [r.s for r in got] == [10 + v * (v + 1) // 2 for v in range(100)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    totals = o.reduce_rows(seq(spark, 5), {"s": F.sum("v"), "m": F.min("v")}, initial={"s": ("sum", 10), "m": ("min", -3)}).first()
+    assert tuple(totals) == (20, -3)
+
+
+def test_states_of_folds_are_bounded(spark):
+    with pytest.raises(Exception, match="states of at most"):
+        o.fold_rows(seq(spark, 10), "v", b"", lambda s, f: s + bytes(2 << 20), lambda a, b: a + b)
+
+
+def test_sources_take_their_turns(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("c", 1), ("c", 2)], "s string, n int")
+    turns = o.interleave(df, "s", "n", cycle_length=2, sources=["a", "b", "c"]).orderBy("round", "slot", "block_pos").collect()
+    assert [(r.s, r.n) for r in turns] == [("a", 1), ("a", 2), ("c", 1), ("c", 2)]
+    turns = o.interleave(df, "s", "n", cycle_length=3, sources=["c", "b", "a"]).orderBy("round", "slot", "block_pos").collect()
+    assert [(r.s, r.n, r.slot) for r in turns] == [("c", 1, 0), ("a", 1, 2), ("c", 2, 0), ("a", 2, 2)]
+
+
+def test_names_that_are_taken(spark, tmp_path):
+    df = spark.range(4).selectExpr("id AS v", "id AS key", "id AS shard", "id AS epoch", "id AS index", "id AS source_id", "id AS bucket")
+    kept = o.snapshot(df, str(tmp_path / "s"), shard_func=lambda d: d.v % 2)
+    assert sorted(r.shard for r in kept.collect()) == [0, 1, 2, 3]
+    for call in (
+        lambda: o.group_by_window(df, F.col("v") % 2, None, "v", 2), lambda: o.enumerate_rows(df, "v"), lambda: o.repeat(df, 2),
+        lambda: o.concatenate(df, df), lambda: o.bucket_by_sequence_length(df, "v", [1], [2, 2], "v"),
+    ):
+        with pytest.raises(ValueError, match="already"):
+            call()
+
+
+def test_distributions_are_checked(spark):
+    df = spark.range(30).selectExpr("id", "CAST(id % 3 AS INT) AS c")
+    for target, initial in (([0.3, 0.3, 0.4], [0.5, 0.5]), ([0.5, 0.4], None), ([0.5, 0.5], [0.9, 0.3])):
+        with pytest.raises(ValueError):
+            o.rejection_resample(df, "c", target, seed=1, order_by="id", initial_dist=initial)
+    same = [
+        sorted(r.v for r in o.sample_from_datasets([(seq(spark, 40), "v"), (seq(spark, 37), "v")], seed=3, weights=w, stop_on_empty=False).collect())
+        for w in ([1, 1], [1e6, 1e6], [1e9, 1e9], [1e-9, 1e-9])]
+    assert same[0] == same[1] == same[2] == same[3] and len(same[0]) == 77

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF_SMALL
+from ordinate.plans import QUERIES, SQL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
@@ -28,13 +29,13 @@ def comparable(rows):
     return sorted([tuple(map(cell, r)) for r in rows], key=str)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    got = contract.queries()[name](spark, SF_SMALL)
+    got = QUERIES[name](spark, SF_SMALL)
     columns = sorted(got.columns)
     found = comparable(got.select(*[f"`{c}`" for c in columns]).collect())
     assert found
-    cursor = database.execute(contract.oracle_sql()[name])
+    cursor = database.execute(SQL[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     assert found == comparable([[row[names.index(c)] for c in columns] for row in cursor.fetchall()])
@@ -45,4 +46,5 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())

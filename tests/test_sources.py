@@ -31,13 +31,13 @@ def test_record_spec(spark, csv_file):
     assert csv_record_spec(names=["a", "b", "c"], defaults=[0, 0.0, ""], types="idc").skip == 0
     assert delim_record_spec(names=["a", "b"], defaults=[1, "x"]).types == ("integer", "character")
     assert tsv_record_spec(names=["a"], types=["double"]).delim == "\t"
-    with pytest.raises(ValueError, match="Incorrect number of names"):
+    with pytest.raises(ValueError, match="names for"):
         csv_record_spec(spark, csv_file, names=["a", "b"])
     with pytest.raises(ValueError, match="invalid column types"):
         csv_record_spec(spark, csv_file, types="dix")
-    with pytest.raises(ValueError, match="Incorrect number of types"):
+    with pytest.raises(ValueError, match="types for"):
         csv_record_spec(spark, csv_file, types="di")
-    with pytest.raises(ValueError, match="Incorrect number of defaults"):
+    with pytest.raises(ValueError, match="defaults for"):
         csv_record_spec(spark, csv_file, defaults=[0.0])
     with pytest.raises(TypeError):
         csv_record_spec(spark, csv_file, names="abc")
@@ -277,3 +277,30 @@ def test_sql(spark):
         o.sql_dataset(spark, "select id from t5", spec)
     with pytest.raises(ValueError):
         o.sql_record_spec(["a"], ["float32"])
+
+
+def test_types_fit_all_rows(spark, tmp_path):
+    """A value of another type in the last row counts, however far down it is."""
+    path = tmp_path / "rows.csv"
+    path.write_text("a,b,c\n" + "".join(f"{i},{i},{i}\n" for i in range(3000)) + "2.5,3000,x\n")
+    spec = csv_record_spec(spark, str(path))
+    assert spec.types == ("double", "integer", "character")
+    assert o.text_lines(spark, str(path), spec).where("a = 2.5 AND c = 'x'").count() == 1
+    rows = o.make_csv_dataset(spark, str(path), label_name="c")
+    assert rows.where("features.a = 2.5").count() == 1 and rows.count() == 3001
+    deep = tmp_path / "deep.csv"
+    deep.write_text("note\nmore\n1,2\n3,4.5\n")
+    assert csv_record_spec(spark, str(deep), skip=2, names=["a", "b"]).types == ("integer", "double")
+
+
+def test_files_in_the_given_order(spark, tmp_path):
+    for name, lines in (("a", "a1\na2\n"), ("b", ""), ("c", "c1\nc2\n")):
+        (tmp_path / f"{name}.txt").write_text(lines)
+    files = [str(tmp_path / f"{n}.txt") for n in "cba"]
+    reader = lambda s, paths: o.text_lines(s, paths, with_position=True)
+    read = lambda paths, **k: [r.value for r in o.read_files(
+        spark, paths, reader, order_in_file="line", **k).orderBy("round", "slot", "block_pos").collect()]
+    assert read(files, parallel_files=2) == ["c1", "c2", "a1", "a2"]
+    assert read(files, parallel_files=3) == ["c1", "a1", "c2", "a2"]
+    assert read(files, parallel_files=1, num_shards=3, shard_index=0) == ["c1", "c2"]
+    assert read(o.file_list(spark, str(tmp_path), shuffle=False), parallel_files=2) == ["a1", "a2", "c1", "c2"]
