@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 import ordinate as o
 from ordinate.plans.registry import query
-from ordinate.streaming import group_by_window_stream, per_micro_batch, run_available, scan_stream, unique_stream
+from ordinate.streaming import group_by_window_stream, per_micro_batch, run_available, scan_stream, short_windows, unique_stream
 from ordinate.scratch import scratch_path
 
 
 def _events(t):
-    files = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet")
+    files = t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 1)
     return files.parquet(t.folder)
 
 
@@ -27,8 +27,7 @@ def stream_rows(t):
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_unique(t):
-    timed = _events(t).withColumn("at", F.col("ts").cast("timestamp"))
-    return run_available(unique_stream(timed, ["user_id", "event_type"], "at", "3650 days").select("user_id", "event_type"))
+    return run_available(unique_stream(_events(t).select("user_id", "event_type"), ["user_id", "event_type"]))
 
 
 @query("""
@@ -47,7 +46,7 @@ def stream_scan(t):
 WITH k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS ord FROM events)
 SELECT user_id AS key, ord // 10 AS window, min(event_id) AS first_event, max(event_id) AS last_event,
        CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
-FROM k GROUP BY 1, 2 HAVING count(*) = 10
+FROM k GROUP BY 1, 2
 """)
 def stream_group_by_window(t):
     def reduce(key, number, frame):
@@ -56,8 +55,9 @@ def stream_group_by_window(t):
                              "last_event": [frame.event_id.max()], "cents": [cents]})
 
     rows = _events(t).select("event_id", "user_id", "value")
-    return run_available(group_by_window_stream(
-        rows, "user_id", "event_id", 10, reduce, "key bigint, window bigint, first_event bigint, last_event bigint, cents bigint"))
+    schema = "key bigint, window bigint, first_event bigint, last_event bigint, cents bigint"
+    windows = group_by_window_stream(rows, "user_id", "event_id", 10, reduce, schema)
+    return run_available(windows, rest=lambda checkpoint: short_windows(t.spark, checkpoint, reduce, schema))
 
 
 @query("SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS place FROM events")

@@ -13,7 +13,7 @@ import pickle
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ordinate.order import as_list
@@ -37,6 +37,24 @@ def scan_stream(df: DataFrame, key, order_by, initial, emit: Callable, schema: s
         step, schema, "held binary", "append", GroupStateTimeout.NoTimeout)
 
 
+def short_windows(spark: SparkSession, checkpoint: str, reduce: Callable, schema: str) -> DataFrame:
+    """The last windows of all keys of an ended :func:`group_by_window_stream`, from the state in its checkpoint.
+
+    Each key's waiting rows, fewer than a window, are reduced as a window of their own.
+    """
+    held = spark.read.format("statestore").load(checkpoint).select("key", "value")
+    held = held.select(F.struct("key.*").alias("key"), F.col("value.groupState.held").alias("held"))
+
+    def finish(frames):
+        for frame in frames:
+            for key, state in zip(frame["key"], frame["held"]):
+                number, rest = pickle.loads(bytes(state))
+                if rest is not None and len(rest):
+                    yield reduce(tuple(key.values()) if isinstance(key, dict) else tuple(key), number, rest)
+
+    return held.mapInPandas(finish, schema)
+
+
 def group_by_window_stream(
     df: DataFrame, key, order_by, window_size: int | Callable[[tuple], int], reduce: Callable, schema: str,
     flush_after_ms: int | None = None,
@@ -45,7 +63,8 @@ def group_by_window_stream(
 
     ``window_size`` may be a function of the key.  Rows wait in state until their window
     is full.  With ``flush_after_ms`` a key that stays quiet that long gives out its
-    short window; otherwise the last rows wait for more.
+    short window; otherwise the last rows wait for more, and :func:`short_windows` gives them when
+    the stream has ended.
     """
     order = as_list(order_by)
     waiting = GroupStateTimeout.ProcessingTimeTimeout if flush_after_ms else GroupStateTimeout.NoTimeout

@@ -16,12 +16,18 @@ from ordinate.order import as_list
 from ordinate.scratch import scratch_path
 
 
-def unique_stream(df: DataFrame, columns, event_time: str, delay: str) -> DataFrame:
+def unique_stream(df: DataFrame, columns, event_time: str | None = None, delay: str | None = None) -> DataFrame:
     """First row per distinct ``columns`` on a stream.
 
-    A value is remembered until the watermark, ``delay`` behind the latest event
-    time, has passed it; rows later than that are dropped.
+    Exact as it is: every value is remembered, so state grows with their number.  With
+    ``event_time`` and ``delay`` a value is forgotten once the watermark, ``delay`` behind the
+    latest event time, has passed it: it comes out again if it comes back after that, and
+    rows later than the watermark are dropped.
     """
+    if (event_time is None) != (delay is None):
+        raise ValueError("give both event_time and delay, or neither")
+    if delay is None:
+        return df.dropDuplicates(as_list(columns))
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(as_list(columns))
 
 
@@ -34,12 +40,16 @@ def snapshot_stream(df: DataFrame, path: str, compression: str = "snappy", avail
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def run_available(df: DataFrame, what: str = "stream") -> DataFrame:
-    """Run a stream over the data available now and return its output as a table."""
+def run_available(df: DataFrame, what: str = "stream", rest: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """Run a stream over the data available now and return its output as a table.
+
+    ``rest`` makes further rows from the checkpoint, for what is still held when the stream has ended.
+    """
     path = scratch_path(df.sparkSession, what)
     query = snapshot_stream(df, path)
     query.awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/data")
+    out = df.sparkSession.read.schema(df.schema).parquet(f"{path}/data")
+    return out.unionByName(rest(f"{path}/progress")) if rest else out
 
 
 def per_micro_batch(

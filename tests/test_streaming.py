@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import ordinate as o
 from ordinate.functions import all_numeric
 from ordinate.streaming import (
-    group_by_window_stream, per_micro_batch, run_available, scan_stream, snapshot_stream, unique_stream,
+    group_by_window_stream, per_micro_batch, run_available, scan_stream, short_windows, snapshot_stream, unique_stream,
 )
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -57,6 +57,10 @@ def test_unique(parts):
     events, stream = parts
     got = run_available(unique_stream(stream, ["user_id", "event_type"], "ts", "3650 days").select("user_id", "event_type"))
     assert rows(got) == rows(events.select("user_id", "event_type").distinct())
+    exact = run_available(unique_stream(stream.select("user_id", "event_type"), ["user_id", "event_type"]))
+    assert rows(exact) == rows(got)
+    with pytest.raises(ValueError):
+        unique_stream(stream, ["user_id"], event_time="ts")
 
 
 def test_scan(parts):
@@ -84,6 +88,10 @@ def test_group_by_window(parts):
     got = run_available(group_by_window_stream(stream, "user_id", "event_id", 5, reduce_window, SCHEMA))
     want = o.group_by_window(events, "user_id", {"first": F.min("event_id"), "last": F.max("event_id")}, "event_id", window_size=5)
     assert rows(got) == rows(want.where("size = 5"))
+    whole = run_available(
+        group_by_window_stream(stream, "user_id", "event_id", 5, reduce_window, SCHEMA),
+        rest=lambda checkpoint: short_windows(stream.sparkSession, checkpoint, reduce_window, SCHEMA))
+    assert rows(whole) == rows(want)
     sized = run_available(group_by_window_stream(stream, "user_id", "event_id", lambda k: 2 + k[0] % 2, reduce_window, SCHEMA))
     assert {(r["key"] % 2, r.size) for r in sized.collect()} == {(0, 2), (1, 3)}
 
