@@ -129,6 +129,14 @@ def test_search(spark, shard):
     assert near((r["query"], r["rank"], r.vec, r.score) for r in got) == near(set(plain_top(rows, asked, 5)))
 
 
+def test_search_query_leaves_out_odd_vectors(spark, tmp_path):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.5, -0.25]), (1, [0.1, 0.2]), (2, [nan, 1.0]), (3, [inf, 1.0]), (50, [nan, nan]), (100, None), (4, [-0.001, 0.0]), (150, [None, 1.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = [tuple(r) for r in QUERIES["op9_topk"](spark, str(tmp_path)).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 4, -128), (0, 2, 1, 25 * 128 - 51 * 64)] or got == [(0, 1, 1, 25 * 128 - 51 * 64), (0, 2, 4, -128)]
+
+
 def test_search_of_nothing(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<double>")
     one = spark.createDataFrame([(1, [1.0, 2.0])], "vec_id long, embedding array<double>")
