@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ordinate.operators.mapping import as_column
 from ordinate.order import BUCKET, Ordinal, as_list, build_index, require_batch, require_new, with_ordinal
+from ordinate.scratch import written
 
 
 def _gather(df: DataFrame, keys: Sequence, order: str, columns: Sequence[str], extra=()):
@@ -104,8 +105,8 @@ def rebatch(
                                if isinstance(f.dataType, T.ArrayType) and f.name not in order])
     cycle = sum(sizes)
     # positions of items come from the batches' sizes alone; a whole cycle stays together
-    held = F.size(f"`{columns[0]}`")
-    places = df.select(*order, F.explode(F.when(held > 0, F.sequence(F.lit(0), held - 1))).alias("__pos"))
+    sizes_of = written(df.select(*order, F.size(f"`{columns[0]}`").alias("__held")).where("__held > 0"), "sizes")
+    places = sizes_of.select(*order, F.explode(F.sequence(F.lit(0), F.col("__held") - 1)).alias("__pos"))
     index = build_index(places, [*order, "__pos"]).aligned(places, cycle)
     items = index.ranked(unbatch(df, order, columns, "__pos"), "__ord")
     within = F.col("__ord") % cycle
@@ -222,14 +223,17 @@ def bucket_by_sequence_length(
     """
     if len(bucket_batch_sizes) != len(bucket_boundaries) + 1:
         raise ValueError("one batch size per bucket: one more than there are boundaries")
+    require_batch(df, "bucket_by_sequence_length")
     columns = list(columns or df.columns)
     require_new(df, "bucket", "batch")
     edges = [int(b) for b in bucket_boundaries]
     sized = df.withColumn("__length", as_column(df, length))  # evaluated once, compared several times
     bucket = sum((F.when(F.col("__length") >= b, 1).otherwise(0) for b in edges), F.lit(0))
     batch_size = F.get(F.array(*[F.lit(int(s)) for s in bucket_batch_sizes]), F.col("bucket"))
-    ranked = with_ordinal(
-        sized.withColumn("bucket", bucket), order_by, "__in_bucket", partition_by="bucket", align=batch_size, keep_bucket=True)
+    bucketed = sized.withColumn("bucket", bucket)
+    # lengths may be costly: they are found once for ranking, and once more with the rows
+    narrow = written(bucketed.select(*[F.col(f"`{c}`") for c in as_list(order_by)], "bucket"), "lengths")
+    ranked = build_index(narrow, order_by, "bucket").aligned(narrow, batch_size).ranked(bucketed, "__in_bucket")
     ranked = ranked.withColumn("batch", F.floor(F.col("__in_bucket") / batch_size).cast("bigint"))
     out, arrays = _gather(
         ranked, [BUCKET, "bucket", "batch"], "__in_bucket", columns,
