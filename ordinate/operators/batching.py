@@ -125,6 +125,14 @@ def rebatch(
 # -- padding ---------------------------------------------------------------
 
 
+def _ranks(kind: T.DataType) -> tuple[int, T.DataType]:
+    """How many dimensions an array has, and the type of its cells."""
+    rank = 0
+    while isinstance(kind, T.ArrayType):
+        rank, kind = rank + 1, kind.elementType
+    return rank, kind
+
+
 def _default_padding(kind: T.DataType):
     return F.lit("") if isinstance(kind, T.StringType) else F.lit(0).cast(kind)
 
@@ -133,16 +141,20 @@ def _per_column(value, columns: Sequence[str]) -> dict:
     return {c: value.get(c) for c in columns} if isinstance(value, dict) else {c: value for c in columns}
 
 
-def _pad(batches: Column, width: Column, fill: Column, what: str) -> Column:
-    """Pad every array in an array of arrays to ``width``; longer ones are an error."""
+def _pad(rows: Column, widths: Sequence[Column], fill: Column, what: str) -> Column:
+    """Pad every array in an array of arrays, of any rank, to ``widths``; longer ones are an error."""
+    blank = fill
+    for width in reversed(widths[1:]):
+        blank = F.array_repeat(blank, width)
 
     def one(row):
-        short = width - F.size(row)
-        return F.when(short >= 0, F.concat(row, F.array_repeat(fill, short))).otherwise(
-            F.raise_error(F.concat(F.lit(f"{what}: an element is longer than its padded length "), width.cast("string")))
+        short = widths[0] - F.size(row)
+        inner = _pad(row, widths[1:], fill, what) if len(widths) > 1 else row
+        return F.when(short >= 0, F.concat(inner, F.array_repeat(blank, short))).otherwise(
+            F.raise_error(F.concat(F.lit(f"{what}: an element is longer than its padded length "), widths[0].cast("string")))
         )
 
-    return F.transform(batches, one)
+    return F.transform(rows, one)
 
 
 def _padded(schema, columns, arrays, padded_shapes, padding_values, boundary: Column | None = None):
@@ -150,18 +162,20 @@ def _padded(schema, columns, arrays, padded_shapes, padding_values, boundary: Co
     shapes, values = _per_column(padded_shapes, columns), _per_column(padding_values, columns)
     out = []
     for c, gathered in zip(columns, arrays):
-        kind = schema[c].dataType
-        if not isinstance(kind, T.ArrayType):
+        rank, cell = _ranks(schema[c].dataType)
+        if not rank:
             out.append(gathered)
             continue
-        fill = _default_padding(kind.elementType) if values[c] is None else F.lit(values[c]).cast(kind.elementType)
+        fill = _default_padding(cell) if values[c] is None else F.lit(values[c]).cast(cell)
+        found = [F.col(f"__width_{c}_{k}") for k in range(rank)]
         if shapes[c] is not None:
-            width = F.lit(int(shapes[c]))
-        elif boundary is not None:
-            width = boundary
+            given = [shapes[c]] if isinstance(shapes[c], int) else list(shapes[c])
+            if len(given) > rank:
+                raise ValueError(f"{c} has {rank} dimensions, not {len(given)}")
+            widths = [f if g is None else F.lit(int(g)) for g, f in zip([*given, *[None] * (rank - len(given))], found)]
         else:
-            width = F.col(f"__width_{c}")
-        out.append(_pad(gathered, width, fill, c).alias(c))
+            widths = found if boundary is None else [boundary, *found[1:]]
+        out.append(_pad(gathered, widths, fill, c).alias(c))
     return out
 
 
@@ -171,7 +185,17 @@ def _order_key(order_by) -> Column:
 
 
 def _widths(schema, columns):
-    return [F.max(F.size(f"`{c}`")).alias(f"__width_{c}") for c in columns if isinstance(schema[c].dataType, T.ArrayType)]
+    """The largest size of each dimension of each array column."""
+    out = []
+    for c in columns:
+        value = F.col(f"`{c}`")
+        for k in range(_ranks(schema[c].dataType)[0]):
+            inside = value
+            for _ in range(k - 1):
+                inside = F.flatten(inside)
+            size = F.size(value) if k == 0 else F.coalesce(F.array_max(F.transform(inside, F.size)), F.lit(0))
+            out.append(F.max(size).alias(f"__width_{c}_{k}"))
+    return out
 
 
 def padded_batch(
@@ -186,8 +210,8 @@ def padded_batch(
 ) -> DataFrame:
     """Batch rows whose arrays differ in length, padding each array column.
 
-    The padded length is ``padded_shapes`` (one number, or one per column), or the
-    longest array in the batch.  The padding is 0 or ``""`` unless given.  An array
+    The padded length is ``padded_shapes`` (one number, or one per column, or a list with
+    one for each dimension), or the longest array in the batch.  The padding is 0 or ``""`` unless given.  An array
     longer than a given length is an error, never cut.
     """
     columns = list(columns or df.columns)

@@ -8,6 +8,7 @@ ones.  Paths are opened with Arrow's file systems (local, HDFS, S3, GCS).
 from __future__ import annotations
 
 import gzip
+import io
 import struct
 import zlib
 from collections.abc import Iterator
@@ -140,7 +141,12 @@ def _masked_crcs(payloads: list[bytes]) -> list[int]:
 def _stream(path: str, compression: str | None):
     if compression == "GZIP":
         return gzip.GzipFile(fileobj=_open(path))
-    return _Inflated(_open(path)) if compression == "ZLIB" else _open(path)
+    return _Inflated(_open(path)) if compression == "ZLIB" else _buffered(path)
+
+
+def _buffered(path: str):
+    """An uncompressed file, read in pieces: one request for many small records."""
+    return io.BufferedReader(_open(path), CHUNK_BYTES)
 
 
 class _Inflated:
@@ -227,7 +233,7 @@ def framed_records(
 def _walk(frames, split_bytes: int):
     for frame in frames:
         for path, length in frame.itertuples(index=False):
-            with _open(path) as file:
+            with _buffered(path) as file:
                 start, first, at, record = 0, 0, 0, 0
                 while at < length:
                     file.seek(at)

@@ -32,17 +32,18 @@ def sql_record_spec(names: Sequence[str], types: Sequence[str]) -> SqlRecordSpec
 
 def sql_dataset(
     spark: SparkSession, query: str, record_spec: SqlRecordSpec | None = None,
-    jdbc_url: str | None = None, properties: dict | None = None,
+    jdbc_url: str | None = None, properties: dict | None = None, predicates: list[str] | None = None,
 ) -> DataFrame:
     """A query's rows, renamed and typed by position.
 
     The query runs in Spark over tables and views, or in the database at ``jdbc_url``
-    through a driver on the class path.
+    through a driver on the class path: one task for each of the ``predicates``, conditions that
+    together hold for each row once, so that a large result is read by many.
     """
     if jdbc_url is None:
         rows = spark.sql(query)
     else:
-        rows = spark.read.jdbc(jdbc_url, f"({query}) q", properties=properties or {})
+        rows = spark.read.jdbc(jdbc_url, f"({query}) q", predicates=predicates, properties=properties or {})
     if record_spec is None:
         return rows
     if len(rows.columns) != len(record_spec.names):

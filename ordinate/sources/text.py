@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ordinate.operators.batching import batch
-from ordinate.operators.combine import shuffle
+from ordinate.operators.combine import shuffle_and_repeat
 from ordinate.operators.position import repeat
 from ordinate.sources.record_spec import SPARK_TYPES, TYPE_DEFAULTS, RecordSpec, fitting_types
 
@@ -136,6 +136,7 @@ def make_csv_dataset(
     header: bool = True,
     num_epochs: int = 1,
     shuffle_seed: int | None = None,
+    shuffle_buffer_size: int | None = None,
     num_rows_for_inference: int | None = None,
 ) -> DataFrame:
     """CSV files as features and a label, optionally shuffled, repeated and batched.
@@ -143,7 +144,8 @@ def make_csv_dataset(
     A column whose default is a type name (``"integer"``, ``"double"``,
     ``"character"``) is required; one with a value is optional and gets that value
     when missing.  Types that are not given are those that all rows fit, or so many as
-    ``num_rows_for_inference`` says.  Without ``batch_size`` the rows have struct ``features`` and
+    ``num_rows_for_inference`` says.  With ``shuffle_buffer_size`` rows move only within
+    blocks of that many.  Without ``batch_size`` the rows have struct ``features`` and
     ``label``; batches need ``order_by``, columns that identify a row.
     """
     paths = [file_pattern] if isinstance(file_pattern, str) else list(file_pattern)
@@ -180,12 +182,14 @@ def make_csv_dataset(
     rows = text.select(*[v.alias(n) for n, v in made.items()])
     features = [c for c in chosen if c != label_name]
     order = [order_by] if isinstance(order_by, str) else list(order_by or [])
-    if shuffle_seed is not None or batch_size is not None or num_epochs != 1:
+    mixed = []
+    if shuffle_seed is not None:
+        rows = shuffle_and_repeat(rows, order, num_epochs, shuffle_seed, shuffle_buffer_size)
+        mixed = [*(["shuffle_key_block"] if shuffle_buffer_size else []), "shuffle_key"]
+        order = ["epoch", *mixed, *order]
+    elif batch_size is not None or num_epochs != 1:
         rows = repeat(rows, num_epochs)
         order = ["epoch", *order]
-        if shuffle_seed is not None:
-            rows = shuffle(rows, order[1:], shuffle_seed, epoch="epoch")
-            order = ["epoch", "shuffle_key", *order[1:]]
     if batch_size is not None:
         if len(order) < 2:
             raise ValueError("batches need order_by: columns that identify a row")
@@ -193,5 +197,5 @@ def make_csv_dataset(
         return batch(rows, batch_size, order, columns=keep)
     shaped = F.struct(*[F.col(f"`{c}`") for c in features]).alias("features")
     label = [F.col(f"`{label_name}`").alias("label")] if label_name else []
-    return rows.select(*[F.col(c) for c in order if c in ("epoch", "shuffle_key")], shaped, *label)
+    return rows.select(*[F.col(c) for c in order if c == "epoch" or c in mixed], shaped, *label)
 

@@ -22,6 +22,7 @@ def values(df, order, col):
 
 # -- mapping -----------------------------------------------------------------
 
+# Rows of a public table of cars, and the counts that conditions on them give.
 MPG_CYL = [(21.0, 6), (21.0, 6), (22.8, 4), (21.4, 6), (18.7, 8), (18.1, 6), (14.3, 8), (24.4, 4)]
 
 
@@ -232,6 +233,7 @@ def test_padded_batch_several_columns_and_errors(spark):
         o.padded_batch(fills(spark), 2, "id", padded_shapes=3, columns=["a"]).collect()
 
 
+# The worked example of length buckets, with its result below.
 LENGTHS = [[0], [1, 2, 3, 4], [5, 6, 7], [7, 8, 9, 10, 11], [13, 14, 15, 16, 17, 18, 19, 20], [21, 22]]
 
 
@@ -523,3 +525,13 @@ def test_distributions_are_checked(spark):
         sorted(r.v for r in o.sample_from_datasets([(seq(spark, 40), "v"), (seq(spark, 37), "v")], seed=3, weights=w, stop_on_empty=False).collect())
         for w in ([1, 1], [1e6, 1e6], [1e9, 1e9], [1e-9, 1e-9])]
     assert same[0] == same[1] == same[2] == same[3] and len(same[0]) == 77
+
+
+def test_padding_of_nested_arrays(spark):
+    df = spark.createDataFrame([(0, [[1], [2, 3]]), (1, [[4, 5, 6]]), (2, [])], "k int, v array<array<int>>")
+    got = o.padded_batch(df, 3, "k", columns=["v"]).first().v
+    assert got == [[[1, 0, 0], [2, 3, 0]], [[4, 5, 6], [0, 0, 0]], [[0, 0, 0], [0, 0, 0]]]
+    fixed = o.padded_batch(df, 3, "k", columns=["v"], padded_shapes={"v": [2, 4]}, padding_values=-1).first().v
+    assert fixed[0] == [[1, -1, -1, -1], [2, 3, -1, -1]] and fixed[2] == [[-1] * 4] * 2
+    with pytest.raises(ValueError):
+        o.padded_batch(df, 3, "k", columns=["v"], padded_shapes={"v": [1, 2, 3]})

@@ -304,3 +304,12 @@ def test_files_in_the_given_order(spark, tmp_path):
     assert read(files, parallel_files=3) == ["c1", "a1", "c2", "a2"]
     assert read(files, parallel_files=1, num_shards=3, shard_index=0) == ["c1", "c2"]
     assert read(o.file_list(spark, str(tmp_path), shuffle=False), parallel_files=2) == ["a1", "a2", "c1", "c2"]
+
+
+def test_csv_dataset_shuffled_in_blocks(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text("a,b\n" + "".join(f"{i},{i}\n" for i in range(40)))
+    batches = o.make_csv_dataset(spark, str(path), batch_size=10, order_by="a", label_name="b", num_epochs=2, shuffle_seed=4, shuffle_buffer_size=10)
+    got = [r.a for r in batches.orderBy("batch_id").collect()]
+    assert [sorted(a) for a in got] == [list(range(k, k + 10)) for k in (0, 10, 20, 30)] * 2
+    assert got[:4] != got[4:] and got[0] != sorted(got[0])
