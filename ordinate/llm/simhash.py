@@ -216,8 +216,10 @@ def wide_fingerprint(text: bytes, size: int) -> bytes:
 
 
 def bits_apart(least: float) -> int:
-    """Bits by which wide fingerprints of sets with a Jaccard similarity of ``least`` differ on average."""
-    return int(np.arccos(min(1.0, 2 * least / (1 + least))) / np.pi * 64 * WIDE)
+    """Bits by which wide fingerprints may differ: what sets with a Jaccard similarity of ``least`` differ by on average,
+    and a standard deviation more, so that few pairs at the limit are missed."""
+    share, bits = float(np.arccos(min(1.0, 2 * least / (1 + least))) / np.pi), 64 * WIDE
+    return int(bits * share + np.sqrt(bits * share * (1 - share)))
 
 
 def _bits(column: pa.Array) -> np.ndarray:
