@@ -19,7 +19,7 @@ LONGEST = 4096
 #: Batches into which documents are dealt by hash.
 BATCHES = 4
 #: Segments of one prefix that a single task compares; those of more common prefixes are compared window by window.
-TOGETHER = 512
+TOGETHER = 16384
 #: Segments that are compared at a time, as far as prefixes allow.
 STEP = 8192
 #: Bytes that are hashed at a time; longer texts are cut, with an overlap.
