@@ -34,6 +34,11 @@ def stored(df: DataFrame, what: str, partition_by: list[str] | None = None) -> t
     return spark.read.schema(df.schema).parquet(path), drop
 
 
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """From now on, let Python workers get rows in batches of so many bytes: texts are long, and both sides hold a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def release(spark: SparkSession) -> None:
     """Have Spark remove shuffle files of steps that are over, which else wait for the driver's garbage collection."""
     gc.collect()
@@ -41,11 +46,19 @@ def release(spark: SparkSession) -> None:
 
 
 def per_process(key: str, make: Callable[[], object]) -> object:
-    """A value made once per Python process, so that tasks that follow each other share it."""
-    module = sys.modules.setdefault("_ordinate_llm_kept", types.ModuleType("_ordinate_llm_kept"))
-    if key not in module.__dict__:
-        module.__dict__[key] = make()
-    return module.__dict__[key]
+    """A value made once per Python process, so that tasks that follow each other share it.
+
+    The key's first word names its operator.  A process keeps the values of one operator: those of another that
+    ran before go, so that a worker that serves one stage after the other does not fill up.
+    """
+    kept = sys.modules.setdefault("_ordinate_llm_kept", types.ModuleType("_ordinate_llm_kept")).__dict__
+    owner = key.split(" ")[0]
+    if kept.get("owner") != owner:
+        kept.clear()
+        kept["owner"] = owner
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

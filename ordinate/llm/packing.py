@@ -155,7 +155,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        ends = per_process(f"packing {path}", lambda: _sentence_ends(path))
+        ends = per_process(f"bpe sentence ends {path}", lambda: _sentence_ends(path))
         stream = _Stream(limit, ends, TaskContext.get().partitionId() << 32)
 
         def batch_of(rows: dict[str, list]) -> pa.RecordBatch:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordinate.llm.common import stored, utf8
+from ordinate.llm.common import per_process, stored, utf8
 from ordinate.llm.components import components
 
 BITS = 64
@@ -316,6 +316,7 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        per_process("simhash", bool)  # what other operators keep goes
         for batch in batches:
             data, bounds = utf8(batch.column(2))
             bits = [wide_fingerprint(data[i:j].tobytes(), shingle) for i, j in zip(bounds, bounds[1:])]
