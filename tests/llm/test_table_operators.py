@@ -268,3 +268,34 @@ def test_pipeline_runs_as_its_stages(spark, stages):
     total = got.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
     want = stages[-1][2].groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
     assert near(map(tuple, total)) == near(map(tuple, want))
+
+
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long, key long, mark string"
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Nulls, empty and repeated rows, one very long text, and tables without a row."""
+    import corpus_pipeline
+
+    folder = str(tmp_path)
+    spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(
+        spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id"), "doc_id").limit(0).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    rng = random.Random(6)
+    prose = [" ".join("".join(rng.choice("abcdeist") for _ in range(6)) for _ in range(300)) for _ in range(3)]
+    long = " ".join("".join(rng.choice("abcdeist") for _ in range(6)) for _ in range(40000))
+    rows = [(1, prose[0]), (2, prose[0]), (3, prose[1]), (3, prose[1]), (4, None), (5, ""), (None, prose[2]), (None, prose[2]), (None, prose[0]), (6, long),
+            (7, "password=hunter22 user"), (7, "quite another text of the same id, as long as a sentence is")]
+    docs = spark.createDataFrame([(i, t, None, None, None, 1, "m") for i, t in rows], DOCUMENT)
+    stages = dict(corpus_pipeline.STAGES)
+    alike = stages["near_duplicates"](spark, docs, folder)
+    assert near((r.doc_id, r.text) for r in alike.collect() if r.doc_id not in (4, 7)) == near([(1, prose[0]), (3, prose[1]), (None, prose[2]), (6, long)])
+    assert [r.doc_id for r in alike.collect()].count(4) == 1 and 5 not in [r.doc_id for r in alike.collect()]
+    left = stages["repeats"](spark, docs, folder).collect()
+    assert near((r.doc_id, r.n_chars) for r in left) == near([(6, len(long)), (7, 22), (7, 59)])
+    clean = stages["secrets"](spark, docs, folder)
+    assert clean.count() == len(rows) and "[assign] user" in {r.text for r in clean.collect()}
+    assert {r.doc_id for r in stages["packing"](spark, docs, folder).collect()} == {i for i, _ in rows}
+    assert stages["quality"](spark, docs, folder).count() == 0  # nothing is known: no text is rated good
+    for name, stage in stages.items():
+        assert stage(spark, docs.where("false"), folder).count() == 0, name
