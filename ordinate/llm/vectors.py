@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordinate.llm.common import stored
+from ordinate.llm.common import small_batches, stored
 from ordinate.llm.components import components
 from ordinate.llm.topk import usable
 
@@ -21,12 +21,14 @@ DEGREE, POOL, DETOUR = 24, 48, 1.2
 BEAM = 32
 #: A range is widened over nodes whose cosine is this much below the threshold at most.
 SLACK = 0.15
-#: Queries whose links are counted by brute force.
-AUDITED = 256
+#: Queries whose links are counted by brute force, and the share of them that must be found.
+AUDITED, LEAST_RECALL = 256, 0.99
 #: Steps of clustering.
 DEPTH = 12
 
 MEMBERS = "shard long, key long, home boolean, vector array<double>"
+PACKS = "shard long, label_id long, origin long, keys array<long>, weights array<long>, vectors binary, center array<double>, radius double"
+CROSSED = "s long, t long, a long, b long, others long, found long"
 
 
 def _matrix(table: pa.Table, column: str = "vector") -> np.ndarray:
@@ -83,7 +85,7 @@ def cluster_shards(rows: DataFrame) -> DataFrame:
 
     Larger shards are split by centers fitted on a bounded sample of each, until none is left; a row's home is the
     nearest cluster, and a copy goes to the second.  Centers travel to chunks of bounded size by a grouped join.
-    Rows of one shard that no clustering parts stay together after ``DEPTH`` steps.
+    Rows of one shard that no clustering parts are dealt out by a hash after ``DEPTH`` steps; ``origin`` is the shard before.
     """
     now, _ = stored(rows.select("shard", "key", F.lit(True).alias("home"), "vector"), "members")
     done = None
@@ -92,7 +94,7 @@ def cluster_shards(rows: DataFrame) -> DataFrame:
         ready = now.join(sizes.hint("merge"), "shard", "left_anti")
         done = ready if done is None else done.unionByName(ready)
         if sizes.isEmpty():
-            return done
+            return done.withColumn("origin", F.col("shard"))
         large = now.join(sizes.hint("merge"), "shard")
         thin = F.pmod(F.xxhash64("key", F.lit(step)), F.col("total")) < SAMPLE
         fitted = large.where(thin).groupBy("shard").applyInArrow(_fit, "shard long, chunk int, centers array<double>")
@@ -100,7 +102,12 @@ def cluster_shards(rows: DataFrame) -> DataFrame:
         chunked = large.withColumn("chunk", chunk).select("shard", "chunk", "key", "home", "vector")
         now, _ = stored(
             chunked.groupBy("shard", "chunk").cogroup(fitted.groupBy("shard", "chunk")).applyInArrow(_dealt, MEMBERS), "members")
-    return done.unionByName(now)
+    sizes, _ = stored(now.groupBy("shard").agg(F.count(F.lit(1)).alias("total")), "sizes")
+    part = F.pmod(F.xxhash64("key", F.lit("part")), F.ceil(F.col("total") / SHARD))
+    salted = now.join(sizes.hint("merge"), "shard").select(
+        F.when(F.col("total") > SHARD, F.xxhash64("shard", part)).otherwise(F.col("shard")).alias("shard"), "key", "home", "vector",
+        F.col("shard").alias("origin"))
+    return done.withColumn("origin", F.col("shard")).unionByName(salted)
 
 
 def _dealt(members: pa.Table, fitted: pa.Table) -> pa.Table:
@@ -218,10 +225,11 @@ def _range_search(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, l
 
 
 def _linked(table: pa.Table, least: float) -> pa.Table:
-    """Verified links of one shard's home rows with all rows of the shard."""
+    """Verified links of one shard's home rows with each other."""
     table = table.take(pa.array(np.argsort(table.column("key").to_numpy(), kind="stable")))
     keys, vectors = table.column("key").to_numpy(), _matrix(table)
-    home = np.flatnonzero(table.column("home").to_numpy(zero_copy_only=False))
+    inside = table.column("home").to_numpy(zero_copy_only=False)
+    home = np.flatnonzero(inside)
     lists = table.column("neighbours").combine_chunks()
     flat, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
     place = np.searchsorted(keys, flat)
@@ -235,14 +243,131 @@ def _linked(table: pa.Table, least: float) -> pa.Table:
         part = home[at:at + SHARD]
         rows, nodes = _range_search(vectors, links, part, least) if len(part) else (part, part)
         own = part[rows]
-        exact = np.einsum("ij,ij->i", vectors[own], vectors[nodes]) >= least
+        exact = inside[nodes] & (np.einsum("ij,ij->i", vectors[own], vectors[nodes]) >= least)
         a.append(keys[np.minimum(own, nodes)[exact]])
         b.append(keys[np.maximum(own, nodes)[exact]])
     none = np.zeros(0, np.int64)
     return pa.table({"a": pa.array(np.concatenate([none, *a])), "b": pa.array(np.concatenate([none, *b]))})
 
 
-def _audit(classes: DataFrame, links: DataFrame, least: float) -> float:
+def _contacts(table: pa.Table, near: float) -> pa.Table:
+    """Pairs of shards that are the homes of two rows of this one with a cosine of ``near`` or more."""
+    vectors = _matrix(table)
+    own, code = np.unique(table.column("own").to_numpy(), return_inverse=True)
+    met = np.zeros((len(own), len(own)), bool)
+    for at in range(0, len(vectors), SHARD):
+        rows, others = np.nonzero(vectors[at:at + SHARD] @ vectors.T >= near)
+        met[code[at + rows], code[others]] = True
+    s, t = np.nonzero(np.triu(met | met.T, 1))
+    low, high = np.minimum(own[s], own[t]), np.maximum(own[s], own[t])
+    return pa.table({"s": pa.array(low, pa.int64()), "t": pa.array(high, pa.int64())})
+
+
+def _pack(table: pa.Table) -> pa.Table:
+    """The home rows of a shard as one row, and a ball around them."""
+    vectors = np.ascontiguousarray(_matrix(table))
+    center = vectors.mean(axis=0)
+    center = center / max(np.linalg.norm(center), 1e-300)
+    radius = float(np.arccos(np.clip(vectors @ center, -1, 1)).max())
+    first = [table.column(name)[0].as_py() for name in ("shard", "label_id", "origin")]
+    return pa.table({
+        "shard": pa.array(first[:1], pa.int64()), "label_id": pa.array(first[1:2], pa.int64()), "origin": pa.array(first[2:], pa.int64()),
+        "keys": pa.array([table.column("key").to_numpy()], pa.list_(pa.int64())),
+        "weights": pa.array([table.column("n").to_numpy()], pa.list_(pa.int64())), "vectors": pa.array([vectors.tobytes()], pa.binary()),
+        "center": pa.array([center.tolist()], pa.list_(pa.float64())), "radius": pa.array([radius], pa.float64())})
+
+
+def _spanning(hits: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of the hits of rows with columns, those that connect what all of them connect."""
+    rows_left, columns_left = hits.any(axis=1), hits.any(axis=0)
+    rows, columns = [], []
+    while rows_left.any():
+        front = [(True, int(rows_left.argmax()))]
+        rows_left[front[0][1]] = False
+        while front:
+            is_row, at = front.pop()
+            left = columns_left if is_row else rows_left
+            new = np.flatnonzero((hits[at] if is_row else hits[:, at]) & left).tolist()
+            left[new] = False
+            rows.extend([at] * len(new) if is_row else new)
+            columns.extend(new if is_row else [at] * len(new))
+            front.extend((not is_row, k) for k in new)
+    return rows, columns
+
+
+def _compared(batches, least: float):
+    """Each pair of packs, side against side: links that connect all that are near, counts for each row, and whether any was close.
+
+    Links have ``a`` and ``b``, counts ``a`` alone, and pairs that come within the slack neither.
+    """
+    none = np.zeros(0, np.int64)
+    for batch in batches:
+        for r in pa.Table.from_batches([batch]).to_pylist():
+            keys, other = np.array(r["s_keys"], np.int64), np.array(r["t_keys"], np.int64)
+            weights, other_weights = np.array(r["s_weights"], np.int64), np.array(r["t_weights"], np.int64)
+            left = np.frombuffer(r["s_vectors"]).reshape(len(keys), -1)
+            right = np.frombuffer(r["t_vectors"]).reshape(len(other), -1)
+            cosine = left @ right.T
+            same = r["s"] == r["t"]
+            if same:
+                np.fill_diagonal(cosine, -2.0)
+            if cosine.max(initial=-2.0) < least - SLACK:
+                continue
+            hits = cosine >= least
+            # border cases as the search verifies them
+            i, j = np.nonzero(np.abs(cosine - least) < 1e-9)
+            hits[i, j] = np.einsum("ij,ij->i", left[i], right[j]) >= least
+            rows, columns = _spanning(hits)
+            some, others = np.flatnonzero(hits.any(axis=1)), none if same else np.flatnonzero(hits.any(axis=0))
+            a = np.r_[keys[rows], keys[some], other[others]]
+            b = [*other[columns].tolist(), *[None] * (len(some) + len(others))]
+            total = [*[None] * len(rows), *(hits[some] @ other_weights).tolist(), *(weights @ hits[:, others]).tolist()]
+            found = [*[None] * len(rows), *hits[some].sum(axis=1).tolist(), *hits[:, others].sum(axis=0).tolist()]
+            n = len(a) + 1
+            yield pa.RecordBatch.from_arrays([
+                pa.array([r["s"]] * n, pa.int64()), pa.array([r["t"]] * n, pa.int64()), pa.array([*a.tolist(), None], pa.int64()),
+                pa.array([*b, None], pa.int64()), pa.array([*total, None], pa.int64()), pa.array([*found, None], pa.int64())],
+                ["s", "t", "a", "b", "others", "found"])
+
+
+def _side_by_side(pairs: DataFrame, packs: DataFrame, least: float, near: float) -> DataFrame:
+    """The pairs whose balls may hold rows with a cosine of ``near``, compared."""
+    def side(x: str, names: list[str]) -> DataFrame:
+        return packs.select(F.col("shard").alias(x), *[F.col(name).alias(f"{x}_{name}") for name in names]).hint("merge")
+
+    balls, full = ["center", "radius"], ["keys", "weights", "vectors"]
+    product = F.aggregate(F.zip_with("s_center", "t_center", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    apart = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), product)))
+    may = pairs.join(side("s", balls), "s").join(side("t", balls), "t").where(
+        apart <= F.col("s_radius") + F.col("t_radius") + float(np.arccos(max(-1.0, min(1.0, near)))) + 1e-6).select("s", "t")
+    return may.join(side("s", full), "s").join(side("t", full), "t").mapInArrow(lambda b: _compared(b, least), CROSSED)
+
+
+def _crossings(packs: DataFrame, contacts: DataFrame, least: float) -> DataFrame:
+    """Links and counts between rows of different shards, in rounds.
+
+    Shards in contact are compared row by row.  Where rows came near each other, the shards near either side are compared
+    with the other, until no pair is new: the search goes on over the borders as it does inside, a shard at a time.
+    Dense groups leave a count for each row and links that connect them, not their pairs.
+    """
+    asked, _ = stored(contacts, "pairs")
+    known, out = None, None
+    while True:
+        step, _ = stored(_side_by_side(asked, packs, least, least - SLACK), "crossed")
+        out = step if out is None else out.unionByName(step)
+        known = asked if known is None else known.unionByName(asked)
+        met = out.where("a is null").select("s", "t")
+        both, _ = stored(met.unionByName(met.select(F.col("t").alias("s"), F.col("s").alias("t"))), "met")
+        fresh = step.where("a is null").select("s", "t")
+        fresh = fresh.unionByName(fresh.select(F.col("t").alias("s"), F.col("s").alias("t")))
+        ends = fresh.join(both.select(F.col("s").alias("t"), F.col("t").alias("u")), "t").where("s <> u")
+        after = ends.select(F.least("s", "u").alias("s"), F.greatest("s", "u").alias("t")).distinct()
+        asked, _ = stored(after.join(known, ["s", "t"], "left_anti"), "pairs")
+        if asked.isEmpty():
+            return out
+
+
+def _audit(classes: DataFrame, degree: DataFrame, least: float) -> float:
     """The share of the true links of a bounded sample of vectors that were found."""
     asked = classes.orderBy(F.xxhash64("key", F.lit("audit")), "key").limit(AUDITED).select("shard", "key", "vector").collect()
     if not asked:
@@ -257,18 +382,16 @@ def _audit(classes: DataFrame, links: DataFrame, least: float) -> float:
             own_shard, own_key = rows.column("shard").to_numpy(), rows.column("key").to_numpy()
             lists = rows.column("vector").combine_chunks()
             sizes = np.diff(lists.offsets.to_numpy())
-            out_a, out_b = [], []
+            counts = []
             for s, k, v in zip(shard, key, shared.value):
                 at = np.flatnonzero((own_shard == s) & (own_key != k) & (sizes == len(v)))
-                if len(at):
-                    found = np.stack([lists[i].values.to_numpy() for i in at.tolist()]) @ v >= least
-                    out_a.extend(np.minimum(k, own_key[at][found]).tolist())
-                    out_b.extend(np.maximum(k, own_key[at][found]).tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
-
-    true = classes.select("shard", "key", "vector").mapInArrow(run, "a long, b long").distinct()
-    found = links.withColumn("found", F.lit(1))
-    total, hit = true.join(found, ["a", "b"], "left").agg(F.count(F.lit(1)), F.count("found")).first()
+                near = np.stack([lists[i].values.to_numpy() for i in at.tolist()]) @ v >= least if len(at) else at
+                counts.append(int(near.sum()) if len(at) else 0)
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(counts, pa.int64())], ["key", "n"])
+
+    true = classes.select("shard", "key", "vector").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    total, hit = true.join(degree.select("key", "found"), "key", "left").agg(
+        F.sum("n"), F.sum(F.least("n", F.coalesce("found", F.lit(0))))).first()
     return hit / total if total else 1.0
 
 
@@ -279,8 +402,10 @@ def vector_groups(
 
     Equal vectors of a label are one class, which is indexed and searched once however many there are.  Classes are dealt
     into overlapping cluster shards within their label; each shard gets a robustly pruned graph, the adjacency
-    lists of a class from all its shards are united, and every class is searched in its home shard.  Links are
-    verified in double precision.  ``recall`` is what an audit of up to ``AUDITED`` classes by brute force found.
+    lists of a class from all its shards are united, and every class is searched in its home shard.  Shards in contact are
+    then compared, and those that such pairs lead to, until none is new.  Links are verified in double precision.
+    ``recall`` is what an audit of up to ``AUDITED`` classes by brute force found; below ``LEAST_RECALL`` all shards of a
+    label whose balls are near enough are compared instead, which is exact, and it is 1.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and those without a label or an id, link
     with nothing; they are components of their own.  Vectors of different widths are never compared.
@@ -304,11 +429,32 @@ def vector_groups(
     pairs = (
         members.join(united, "key").select("shard", "key", "home", "vector", "neighbours")
         .groupBy("shard").applyInArrow(lambda t: _linked(t, least), "a long, b long"))
-    links, _ = stored(pairs.distinct(), "links")
-    recall = _audit(classes, links, least)
+    inner, _ = stored(pairs.distinct(), "links")
     names = classes.select("key", "low", "n")
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = ends.join(names.select(F.col("key").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("others")).withColumnRenamed("a", "key")
+    small_batches(df.sparkSession)
+    homes = members.where("home").select("shard", "origin", "key", "vector").join(classes.select("key", "n", F.col("shard").alias("label_id")), "key")
+    packs, _ = stored(homes.groupBy("shard").applyInArrow(_pack, PACKS), "packs")
+    owned = members.select("shard", "key", "vector").join(members.where("home").select("key", F.col("shard").alias("own")), "key")
+    contacts = owned.groupBy("shard").applyInArrow(lambda t: _contacts(t, least - SLACK), "s long, t long")
+    parts = packs.select(F.col("shard").alias("s"), "origin")
+    parts = parts.join(parts.withColumnRenamed("s", "t"), "origin").where("s < t").select("s", "t")
+    crossed = _crossings(packs, contacts.unionByName(parts).distinct(), least)
+
+    def degrees(inner: DataFrame, crossed: DataFrame) -> DataFrame:
+        ends = inner.unionByName(inner.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = ends.join(names.select(F.col("key").alias("b"), "n"), "b").select("a", F.col("n").alias("others"), F.lit(1).cast("long").alias("found"))
+        counts = near.unionByName(crossed.where("found is not null").select("a", "others", "found"))
+        return stored(counts.groupBy("a").agg(F.sum("others").alias("others"), F.sum("found").alias("found")).withColumnRenamed("a", "key"), "degrees")[0]
+
+    degree = degrees(inner, crossed)
+    recall = _audit(classes, degree, least)
+    if recall < LEAST_RECALL:
+        label = packs.select("label_id", F.col("shard").alias("s"))
+        every = label.join(label.withColumnRenamed("s", "t"), "label_id").where("s <= t").select("s", "t")
+        crossed, _ = stored(_side_by_side(every, packs, least, least), "crossed")
+        inner, recall = inner.limit(0), 1.0
+        degree = degrees(inner, crossed)
+    links = inner.unionByName(crossed.where("b is not null").select("a", "b"))
     reached = components(links)
     rooted, _ = stored(
         names.join(degree, "key", "left").join(reached.withColumnRenamed("node", "key"), "key", "left")

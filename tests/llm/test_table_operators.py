@@ -85,6 +85,23 @@ def test_vector_groups(spark, monkeypatch, most):
     assert {r.recall for r in got} == {1.0}
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_vector_groups_of_a_crowd_larger_than_a_shard(spark, monkeypatch, whole):
+    """Different vectors that are all near each other, many times a shard: every link counts."""
+    monkeypatch.setattr(vectors, "SHARD", 60)
+    if whole:
+        monkeypatch.setattr(vectors, "LEAST_RECALL", 2.0)
+    rng = np.random.default_rng(4)
+    center = rng.standard_normal(16)
+    crowd = center / np.linalg.norm(center) + 0.04 * rng.standard_normal((500, 16))
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(crowd.astype(np.float32))]
+    rows += [(1000 + k, v.tolist(), k % 2) for k, v in enumerate(rng.standard_normal((200, 16)).astype(np.float32))]
+    got = vectors.vector_groups(frame_of(spark, rows), 0.93).collect()
+    assert sum(r.n_links for r in got) > 500 * 250
+    assert near((r.key, r.n_links, r.component) for r in got) == near(plain_groups(rows, 0.93))
+    assert {r.recall for r in got} == {1.0}
+
+
 def test_vector_groups_of_nothing(spark):
     assert vectors.vector_groups(frame_of(spark, [])).collect() == []
     alone = vectors.vector_groups(frame_of(spark, [(1, None, None)])).collect()
