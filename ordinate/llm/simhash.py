@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordinate.llm.common import per_process, stored, utf8
+from ordinate.llm.common import per_process, release, stored, utf8
 from ordinate.llm.components import components
 
 BITS = 64
@@ -188,23 +188,45 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return prints.join(named.hint("merge"), "fingerprint").select("key", "fingerprint", "component")
 
 
-#: A wide fingerprint's words of 64 bits, and the bits of its blocks.
-WIDE, BLOCK_BITS = 8, 16
-#: Rows of a wide block that are compared with each other; larger blocks are split by a second block.
+#: A wide fingerprint's words of 64 bits.  Bands of least hashes, and how many of these must agree for two texts to meet.
+WIDE, BANDS, LEAST_HASHES = 8, 32, 6
+#: Rows of a band's value that are compared with each other in one piece; more are compared part against part.
 WIDE_ROWS = 8192
-BLOCKS = "block int, value int, bits binary"
-WIDE_FOUND = "a binary, b binary, block int, value int"
+#: Sets of one side that are verified together, and candidates for which it pays to bring them together.
+SETS, CANDIDATES = 512, 500
+PRINTS = "key long, mark long, id long, bits binary, bands array<long>, hashes binary"
+BANDED = "block int, value long, id long, root long, bits binary"
+MET = "a long, b long, block int, value long, root long, bits binary"
+#: Odd factors that make one hash many.
+FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * LEAST_HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def wide_fingerprint(text: bytes, size: int) -> bytes:
-    """A SimHash of ``64 * WIDE`` bits over the set of a text's word shingles; zero if it has no word."""
+def shingle_hashes(text: bytes, size: int) -> np.ndarray:
+    """The set of a text's word shingles as sorted hashes; empty if it has no word."""
     words = text.lower().split()
     if not words:
-        return bytes(8 * WIDE)
+        return np.zeros(0, np.uint64)
     if len(words) < size:
         words, size = [b" ".join(words)], 1
     shingles = map(b" ".join, zip(*(words[k:] for k in range(size)))) if size > 1 else words
-    hashes = np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64))
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64))
+
+
+def band_values(hashes: np.ndarray) -> np.ndarray:
+    """A number for each band of least hashes: sets of similarity J agree in a band with a probability of J ** LEAST_HASHES."""
+    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        mixed = hashes[at:at + 1024]
+        mixed = mixed ^ (mixed >> np.uint64(29))
+        least = np.minimum(least, (FACTORS[:, None] * mixed[None, :]).min(axis=1))
+    rows = least.reshape(BANDS, LEAST_HASHES)
+    return np.array([xxhash.xxh64_intdigest(row.tobytes(), SEED) for row in rows], np.uint64).view(np.int64)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """A SimHash of ``64 * WIDE`` bits over a set of hashes; zero if it is empty."""
+    if not len(hashes):
+        return bytes(8 * WIDE)
     ones = np.zeros(64 * WIDE, np.int64)
     for at in range(0, len(hashes), HELD // WIDE):
         x = hashes[at:at + HELD // WIDE, None] + np.arange(1, WIDE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -216,10 +238,10 @@ def wide_fingerprint(text: bytes, size: int) -> bytes:
 
 
 def bits_apart(least: float) -> int:
-    """Bits by which wide fingerprints may differ: what sets with a Jaccard similarity of ``least`` differ by on average,
-    and a standard deviation more, so that few pairs at the limit are missed."""
+    """Bits by which wide fingerprints of candidates may differ: what sets with a Jaccard similarity of ``least`` differ by
+    on average, and three standard deviations more."""
     share, bits = float(np.arccos(min(1.0, 2 * least / (1 + least))) / np.pi), 64 * WIDE
-    return int(bits * share + np.sqrt(bits * share * (1 - share)))
+    return int(bits * share + 3 * np.sqrt(bits * share * (1 - share)))
 
 
 def _bits(column: pa.Array) -> np.ndarray:
@@ -230,48 +252,58 @@ def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
 
-def _wide_forest(rows: np.ndarray, distance: int) -> list[tuple[bytes, bytes]]:
-    found, rest = [], np.unique(rows, axis=0)
-    while len(rest):
-        root, front, rest = rest[0], [rest[0]], rest[1:]
-        while front and len(rest):
-            near = _apart(rest, front.pop()) <= distance
-            if near.any():
-                front.extend(rest[near])
-                found.extend((root.tobytes(), v.tobytes()) for v in rest[near])
-                rest = rest[~near]
-    return found
+def _met(a, b) -> pa.RecordBatch:
+    n = len(a)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+         pa.nulls(n, pa.binary())], ["a", "b", "block", "value", "root", "bits"])
+
+
+def _starred(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of blocks and values: candidates with the first row of a value in the batch and with the row before."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block, value, ids = (batch.column(k).to_numpy() for k in range(3))
+        rows = _bits(batch.column(4))
+        new = np.r_[True, (block[1:] != block[:-1]) | (value[1:] != value[:-1])]
+        start = np.flatnonzero(new)[np.cumsum(new) - 1]
+        at = np.flatnonzero(~new)
+        i, j = np.r_[start[at], at - 1], np.r_[at, at]
+        near = _apart(rows[i], rows[j]) <= distance
+        yield _met(np.minimum(ids[i], ids[j])[near], np.maximum(ids[i], ids[j])[near])
+
+
+def _pairs_of(table: pa.Table, distance: int) -> Iterator[pa.RecordBatch]:
+    """Every two rows of one block and value whose fingerprints are near and whose roots differ."""
+    block, value, ids, root = (table.column(name).to_numpy() for name in ("block", "value", "id", "root"))
+    rows = _bits(table.column("bits").combine_chunks())
+    starts = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (value[1:] != value[:-1])])
+    sizes = np.diff(np.r_[starts, len(rows)])
+    group = np.repeat(np.arange(len(starts)), sizes)
+    for lag in range(1, min(64, int(sizes.max(initial=1)))):
+        i = np.flatnonzero((group[lag:] == group[:-lag]) & (root[lag:] != root[:-lag]))
+        i = i[_apart(rows[i], rows[i + lag]) <= distance]
+        if len(i):
+            yield _met(np.minimum(ids[i], ids[i + lag]), np.maximum(ids[i], ids[i + lag]))
+    for g in np.flatnonzero(sizes > 64):
+        end = starts[g] + sizes[g]
+        for i in range(starts[g], end - 64):
+            j = np.flatnonzero(root[i + 64:end] != root[i]) + i + 64
+            j = j[_apart(rows[j], rows[i]) <= distance]
+            if len(j):
+                yield _met(np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]))
 
 
 def _wide_compared(batches: Iterator[pa.RecordBatch], distance: int, narrow: bool) -> Iterator[pa.RecordBatch]:
-    """Rows ``(block, value, bits)`` in the order of blocks and values: links, or rows for a second block."""
-
-    def links_of(table: pa.Table):
-        rows = _bits(table.column("bits").combine_chunks())
-        keys = np.stack([table.column("block").to_numpy(), table.column("value").to_numpy()], 1)
-        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-        sizes = np.diff(np.r_[starts, len(rows)])
-        group = np.repeat(np.arange(len(starts)), sizes)
-        some = sizes > 64
-        for lag in range(1, min(64, int(sizes.max(initial=1)))):  # which blocks hold any link at all
-            i = np.flatnonzero(group[lag:] == group[:-lag])
-            some[group[i[_apart(rows[i], rows[i + lag]) <= distance]]] = True
-        found = []
-        for g in np.flatnonzero(some & (sizes > 1)):
-            found.extend(_wide_forest(rows[starts[g]:starts[g] + sizes[g]], distance))
-        a, b = zip(*found) if found else ((), ())
-        none = pa.nulls(len(a), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), none, none], ["a", "b", "block", "value"])
+    """Rows ``(block, value, id, root, bits)`` in the order of blocks and values: candidates, or the rows of a large value again."""
 
     def deferred(table: pa.Table):
-        """The rows dealt out by each further block, under a number for both blocks."""
-        first = table.column("block")[0].as_py()
-        bits, rows = table.column("bits").combine_chunks(), _bits(table.column("bits").combine_chunks()).view("<u2")
-        for other in range(rows.shape[1]):
-            if other != first:
-                yield pa.RecordBatch.from_arrays(
-                    [bits, pa.nulls(len(bits), pa.binary()), pa.array(np.full(len(bits), first * 64 + other + 64, np.int32)),
-                     pa.array(rows[:, first].astype(np.int32) * 31337 ^ rows[:, other].astype(np.int32))], ["a", "b", "block", "value"])
+        n = table.num_rows
+        columns = {name: table.column(name).combine_chunks() for name in table.column_names}
+        yield pa.RecordBatch.from_arrays(
+            [columns["id"], pa.nulls(n, pa.int64()), columns["block"], columns["value"], columns["root"], columns["bits"]],
+            ["a", "b", "block", "value", "root", "bits"])
 
     held, wide = None, None
     for batch in batches:
@@ -286,13 +318,13 @@ def _wide_compared(batches: Iterator[pa.RecordBatch], distance: int, narrow: boo
         mark = (int(block[-1]), int(value[-1]))
         if cut:
             head = table.slice(0, cut)
-            if wide is not None:  # the rest of a block whose rows were dealt out
+            if wide is not None:  # the rest of a value whose rows were put off
                 own = int(((block[:cut] == wide[0]) & (value[:cut] == wide[1])).sum())
                 if own:
                     yield from deferred(head.slice(0, own))
                 head, wide = head.slice(own), None
             if head.num_rows:
-                yield links_of(head)
+                yield from _pairs_of(head, distance)
         held = table.slice(cut)
         if narrow and (held.num_rows > WIDE_ROWS or wide == mark):
             yield from deferred(held)
@@ -301,53 +333,99 @@ def _wide_compared(batches: Iterator[pa.RecordBatch], distance: int, narrow: boo
         if wide is not None and wide == (held.column("block")[0].as_py(), held.column("value")[0].as_py()):
             yield from deferred(held)
         else:
-            yield links_of(held)
+            yield from _pairs_of(held, distance)
+
+
+def _verified(pairs: DataFrame, prints: DataFrame, n: int, least: float) -> DataFrame:
+    """The candidates ``(a, b)`` whose sets have a Jaccard similarity of ``least`` or more.
+
+    Pairs are dealt out by a part of either side; each set goes once to every two parts that need it.
+    """
+
+    def run(asked: pa.Table, sets: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(x, np.uint64) for x in sets.column("hashes").to_pylist()] if sets.num_rows else []
+        at = {k: i for i, k in enumerate(sets.column("id").to_pylist())} if sets.num_rows else {}
+        a, b = [], []
+        for x, y in zip(asked.column("a").to_pylist(), asked.column("b").to_pylist()):
+            one, two = hashes[at[x]], hashes[at[y]]
+            if min(len(one), len(two)) < least * max(len(one), len(two)):
+                continue
+            common = len(np.intersect1d(one, two, assume_unique=True))
+            if common >= least * (len(one) + len(two) - common):
+                a.append(x)
+                b.append(y)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    count = pairs.count()
+    parts = max(1, min(-(-n // SETS), int(np.ceil(np.sqrt(count / CANDIDATES)))))
+    one, two = (F.pmod(F.xxhash64(x, F.lit("set")), F.lit(parts)) for x in ("a", "b"))
+    dealt, drop_dealt = stored(pairs.withColumn("piece", F.least(one, two) * parts + F.greatest(one, two)), "candidates")
+    needed, drop_needed = stored(dealt.select("piece", F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
+    sets, drop_sets = stored(prints.select("id", "hashes").join(needed.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "sets")
+    found = dealt.groupBy("piece").cogroup(needed.join(sets, "id").groupBy("piece")).applyInArrow(run, "a long, b long")
+    links, _ = stored(found, "verified")
+    for drop in (drop_dealt, drop_needed, drop_sets):
+        drop()
+    release(prints.sparkSession)
+    return links
 
 
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """Groups of texts whose sets of word shingles have a Jaccard similarity of about ``least`` or more, by chains.
+    """Groups of texts whose sets of word shingles have a Jaccard similarity of ``least`` or more, by chains.
 
-    For similarities that a few bits cannot tell, fingerprints have 512 bits, in blocks of 16.  Pairs that agree in a
-    block meet there (98 of 100 at a similarity of 0.85, 99.8 at 0.9), and link if they differ in at most the
-    bits that ``least`` stands for.  Blocks of more than ``WIDE_ROWS`` different fingerprints are dealt out
-    again by a second block.  Copies meet as one fingerprint first.  Texts without a word are alike.
+    Texts that agree in one of ``BANDS`` bands of least hashes meet, and those whose fingerprints of 512 bits are near
+    are candidates; a link is what the sets themselves verify.  First candidates are few for each text; then
+    every candidate whose ends these did not join.  Values of more than ``WIDE_ROWS`` texts are compared part against
+    part, so that all of theirs meet too.  Copies meet as one set first.  Texts without a word are alike.
 
-    :returns: ``(key, mark, component)`` for each row; ``mark`` is the text's hash, ``component`` the smallest key.
+    :returns: ``(key, mark, component, root)`` for each row; ``mark`` is the text's hash, ``component`` the smallest key,
+        ``root`` the number of the group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         per_process("simhash", bool)  # what other operators keep goes
         for batch in batches:
             data, bounds = utf8(batch.column(2))
-            bits = [wide_fingerprint(data[i:j].tobytes(), shingle) for i, j in zip(bounds, bounds[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], ["key", "mark", "bits"])
+            sets = [shingle_hashes(data[i:j].tobytes(), shingle) for i, j in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), batch.column(1), pa.array([xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in sets], pa.int64()),
+                pa.array([wide_fingerprint(x) for x in sets], pa.binary()), pa.array([band_values(x) for x in sets], pa.list_(pa.int64())),
+                pa.array([x.tobytes() for x in sets], pa.binary())], ["key", "mark", "id", "bits", "bands", "hashes"])
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = _bits(batch.column(0)).view("<u2")
-            for block in range(values.shape[1]):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(values), block, np.int32)), pa.array(values[:, block].astype(np.int32)), batch.column(0)],
-                    ["block", "value", "bits"])
+    def banded(rows: DataFrame) -> DataFrame:
+        return rows.select(F.posexplode("bands").alias("block", "value"), "id", "root", "bits").select("block", "value", "id", "root", "bits")
+
+    def ordered(rows: DataFrame) -> DataFrame:
+        return rows.repartition("block", "value").sortWithinPartitions("block", "value")
+
+    def rooted(links: DataFrame) -> DataFrame:
+        reached = components(links).withColumnRenamed("node", "id")
+        return distinct.join(reached, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
     distance = bits_apart(least)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     docs = df.select(F.col(id_col).cast("long").alias("key"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    prints, _ = stored(docs.mapInArrow(run, "key long, mark long, bits binary"), "fingerprints")
-    distinct, _ = stored(prints.groupBy("bits").agg(F.min("key").alias("low")), "distinct")
-    rows, found = distinct.select("bits").mapInArrow(split, BLOCKS), None
-    for narrow in (True, False):
-        ordered = rows.repartition("block", "value").sortWithinPartitions("block", "value")
-        step, _ = stored(ordered.mapInArrow(lambda b, narrow=narrow: _wide_compared(b, distance, narrow), WIDE_FOUND), "blocks")
-        near = step.where("b is not null").select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"))
-        found = near if found is None else found.unionByName(near)
-        rows = step.where("b is null").select("block", "value", F.col("a").alias("bits"))
-        if rows.isEmpty():
-            break
-    reached = components(found).withColumnRenamed("node", "number")
-    roots, _ = stored(
-        distinct.withColumn("number", F.xxhash64("bits")).join(reached, "number", "left")
-        .select("bits", "low", F.coalesce("root", "number").alias("root")), "roots")
-    lows = roots.groupBy("root").agg(F.min("low").alias("component"))
-    named, _ = stored(roots.join(lows, "root").select("bits", "component"), "named")
-    return prints.join(named.hint("merge"), "bits").select("key", "mark", "component")
+    prints, _ = stored(docs.mapInArrow(run, PRINTS), "fingerprints")
+    distinct, _ = stored(
+        prints.groupBy("id").agg(F.min("key").alias("low"), F.first("bits").alias("bits"), F.first("bands").alias("bands")), "distinct")
+    n = distinct.count()
+    release(df.sparkSession)
+    first = ordered(banded(distinct.withColumn("root", F.col("id")))).mapInArrow(lambda b: _starred(b, distance), MET)
+    some, _ = stored(first.select("a", "b").distinct(), "candidates")
+    release(df.sparkSession)
+    found = _verified(some, prints, n, least)
+    now, drop_now = stored(rooted(found), "roots")
+    release(df.sparkSession)
+    met, drop_met = stored(ordered(banded(now)).mapInArrow(lambda b: _wide_compared(b, distance, False), MET), "met")
+    pairs = met.where("b is not null").select("a", "b")
+    release(df.sparkSession)
+    rest, _ = stored(pairs.distinct().join(some, ["a", "b"], "left_anti"), "candidates")
+    drop_met()
+    release(df.sparkSession)
+    if not rest.isEmpty():
+        found = found.unionByName(_verified(rest, prints, n, least))
+        drop_now()
+        now, _ = stored(rooted(found), "roots")
+    lows = now.groupBy("root").agg(F.min("low").alias("component"))
+    named, _ = stored(now.select("id", "root").join(lows, "root").select("id", "component", "root"), "named")
+    return prints.select("key", "mark", "id").join(named.hint("merge"), "id").select("key", "mark", "component", "root")

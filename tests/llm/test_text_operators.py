@@ -144,6 +144,41 @@ def test_similar_groups_of_a_crowd(spark, monkeypatch, most):
     assert all(got[k] == k for k in range(100, 140))
 
 
+def alike(base, least, seed):
+    """A text of as many words whose set of five-word shingles has about the given similarity."""
+    rng, own = random.Random(seed), list(base)
+    shingles = {tuple(base[k:k + 5]) for k in range(len(base) - 4)}
+    while True:
+        after = list(own)
+        after[rng.randrange(len(own))] = f"x{rng.randrange(10 ** 9)}"
+        new = {tuple(after[k:k + 5]) for k in range(len(after) - 4)}
+        if len(shingles & new) / len(shingles | new) < least:
+            return own
+        own = after
+
+
+def jaccard(a, b):
+    a, b = ({tuple(x[k:k + 5]) for k in range(len(x) - 4)} for x in (a, b))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("most", [8192, 64])
+def test_similar_groups_links_just_the_similar(spark, monkeypatch, most):
+    """Planted pairs that are alike to at least 0.8, 0.85 and 0.9 are linked, those below 0.8 never."""
+    monkeypatch.setattr(simhash, "WIDE_ROWS", most)
+    rows, pairs = [], []
+    for k in range(600):
+        base = words(10 ** 4 + k, 300)
+        other = alike(base, (0.75, 0.8, 0.85, 0.9)[k % 4], k)
+        pairs.append(jaccard(base, other))
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    got = {r.key: r.component for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    linked = [got[2 * k] == got[2 * k + 1] for k in range(600)]
+    assert not any(x for x, j in zip(linked, pairs) if j < 0.8)
+    should = [x for x, j in zip(linked, pairs) if j >= 0.8]
+    assert len(should) > 440 and sum(should) >= 0.98 * len(should)
+
+
 # --- shards
 
 TREE = sharding.even_tree(2, 2, 4)
