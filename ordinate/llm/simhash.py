@@ -336,6 +336,17 @@ def _wide_compared(batches: Iterator[pa.RecordBatch], distance: int, narrow: boo
             yield from _pairs_of(held, distance)
 
 
+def _in_parts(rows: DataFrame) -> DataFrame:
+    """The rows of large values dealt out so that any two of a value meet, in pieces of about ``WIDE_ROWS``."""
+    sizes, _ = stored(rows.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")), "large")
+    parts = F.ceil(2 * F.col("n") / WIDE_ROWS).cast("int")
+    own = F.pmod(F.xxhash64("id", F.lit("part")), parts).cast("int")
+    dealt = rows.join(sizes.hint("merge"), ["block", "value"]).withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.greatest(parts - 1, F.lit(0)))))
+    piece = F.xxhash64("value", F.least("own", "other"), F.greatest("own", "other"))
+    return dealt.select("block", piece.alias("value"), "id", "root", "bits")
+
+
 def _verified(pairs: DataFrame, prints: DataFrame, n: int, least: float) -> DataFrame:
     """The candidates ``(a, b)`` whose sets have a Jaccard similarity of ``least`` or more.
 
@@ -416,8 +427,12 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = _verified(some, prints, n, least)
     now, drop_now = stored(rooted(found), "roots")
     release(df.sparkSession)
-    met, drop_met = stored(ordered(banded(now)).mapInArrow(lambda b: _wide_compared(b, distance, False), MET), "met")
+    met, drop_met = stored(ordered(banded(now)).mapInArrow(lambda b: _wide_compared(b, distance, True), MET), "met")
+    large = met.where("b is null").select("block", "value", F.col("a").alias("id"), "root", "bits")
     pairs = met.where("b is not null").select("a", "b")
+    if not large.isEmpty():
+        pairs = pairs.unionByName(
+            ordered(_in_parts(large)).mapInArrow(lambda b: _wide_compared(b, distance, False), MET).select("a", "b"))
     release(df.sparkSession)
     rest, _ = stored(pairs.distinct().join(some, ["a", "b"], "left_anti"), "candidates")
     drop_met()

@@ -179,6 +179,20 @@ def test_similar_groups_links_just_the_similar(spark, monkeypatch, most):
     assert len(should) > 440 and sum(should) >= 0.98 * len(should)
 
 
+def test_similar_groups_of_a_crowd_around_one_template(spark, monkeypatch):
+    """Pairs whose texts all share a passage, in values of many times the rows that are compared in one piece."""
+    monkeypatch.setattr(simhash, "WIDE_ROWS", 16)
+    monkeypatch.setattr(simhash, "BANDS", 32)
+    template, rows = words(77, 150), []
+    for k in range(150):
+        base = template + words(2 * 10 ** 4 + k, 150)
+        own = alike(base, 0.82, k)
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(own))]
+    got = {r.key: r.component for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert sum(got[2 * k] == got[2 * k + 1] for k in range(150)) >= 148
+    assert len(set(got.values())) >= 150
+
+
 # --- shards
 
 TREE = sharding.even_tree(2, 2, 4)
