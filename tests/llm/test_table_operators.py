@@ -316,3 +316,16 @@ def test_pipeline_stages_on_odd_rows(spark, tmp_path):
     assert stages["quality"](spark, docs, folder).count() == 0  # nothing is known: no text is rated good
     for name, stage in stages.items():
         assert stage(spark, docs.where("false"), folder).count() == 0, name
+
+
+def test_pipeline_near_duplicates_of_repeated_ids(spark):
+    """Groups whose smallest ids are equal keep one row each, and always the same one."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    a, b, c = (" ".join("".join(rng.choice("abcdeist") for _ in range(6)) for _ in range(200)) for _ in range(3))
+    rows = [(5, a), (5, b), (9, b + " more"), (5, c), (5, c + " end"), (None, a + " more")]
+    docs = spark.createDataFrame([(i, t, None, None, None, 1, "m") for i, t in rows], DOCUMENT)
+    kept = [near((r.doc_id, r.text) for r in corpus_pipeline.distinct(spark, docs.repartition(n), "").collect()) for n in (1, 5)]
+    assert kept[0] == kept[1] and len(kept[0]) == 3
+    assert {(5, a), (5, b)} < set(kept[0]) and {t for _, t in kept[0]} & {c, c + " end"}
