@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordinate.llm import bpe, credentials, packing, quality, repeats, sharding, simhash, topk, vectors, warc
+from ordinate.llm import (
+    bpe, credentials, infill, packing, quality, repeats, sharding, simhash, spelling, token_counts, topk, vectors, warc)
 from ordinate.llm.common import table
 
 #: The shards that documents are dealt to: two regions of two racks of four.
@@ -91,8 +92,25 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of the documents with the frequent words one edit away that they are variants of."""
+    return spelling.variants(table(spark, folder, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many tokens every document has."""
+    rows = token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
+    return rows.withColumnRenamed("key", "doc_id")
+
+
+def op13_infill(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with a middle part moved to the end, and put back."""
+    return infill.fill_in_middle(table(spark, folder, "documents"), texts=False).withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op2_sharding, op3_secrets, op4_bpe, op5_vectors, op6_quality, op7_packing, op8_repeats, op9_topk, op10_warc)}
+    op1_simhash, op2_sharding, op3_secrets, op4_bpe, op5_vectors, op6_quality, op7_packing, op8_repeats, op9_topk, op10_warc,
+    op11_spelling, op12_token_counts, op13_infill)}
 
 SQL = {
     "op9_topk": """
@@ -113,4 +131,24 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
 FROM f""".strip(),
+    "op13_infill": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w
+  FROM documents),
+u AS (
+  SELECT *, CAST(len(w) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(w) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(w) + 1) AS y,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50
+              THEN 'plain' WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+c AS (
+  SELECT *, array_to_string(w[1:least(x, y)], '') AS p, array_to_string(w[least(x, y) + 1:greatest(x, y)], '') AS m,
+         array_to_string(w[greatest(x, y) + 1:], '') AS s
+  FROM u)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c""".strip(),
 }
