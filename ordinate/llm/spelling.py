@@ -55,6 +55,26 @@ def _points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return points, np.searchsorted(leads, bounds)
 
 
+def _outlines(points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each word its first two and last two code points, a set of its letters by remainder, and its length."""
+    starts, sizes = bounds[:-1], np.diff(bounds)
+    long = sizes > 1
+    heads, tails, letters = np.zeros((3, len(sizes)), np.int64)
+    at, stop = starts[long], bounds[1:][long]
+    heads[long], tails[long] = points[at] << 21 | points[at + 1], points[stop - 2] << 21 | points[stop - 1]
+    some = sizes > 0
+    if some.any():
+        letters[some] = np.bitwise_or.reduceat(np.int64(1) << points % 64, starts[some])
+    return heads, tails, letters, sizes
+
+
+def _possible(x: tuple[np.ndarray, ...], a: np.ndarray, y: tuple[np.ndarray, ...], b: np.ndarray) -> np.ndarray:
+    """The pairs that one edit may part: two code points or more are common at the start or at the end, unless a word has fewer
+    than four, and at most two letters are in one word only."""
+    ends = (x[0][a] == y[0][b]) | (x[1][a] == y[1][b]) | (np.minimum(x[3][a], y[3][b]) < 4)
+    return np.flatnonzero(ends & (np.bitwise_count(x[2][a] ^ y[2][b]) <= 2))
+
+
 def _vectors(points: np.ndarray, bounds: np.ndarray, order: np.ndarray) -> np.ndarray:
     """For each word how many of its letters each group has, the groups in the order of the trie's levels."""
     n = len(bounds) - 1
@@ -210,6 +230,7 @@ class _Shard:
         first = sorted(range(len(words)), key=lambda i: (-n[i], words[i]))
         self.words, self.n = [words[i] for i in first], n[first]
         self.points, self.bounds = _points(pa.array(self.words, pa.binary()))
+        self.outlines = _outlines(self.points, self.bounds)
         counts = _vectors(self.points, self.bounds, order)
         self.base = int(counts.max(initial=0)) + 2
         self.sorted = np.lexsort(counts.T[::-1])
@@ -225,7 +246,7 @@ class _Shard:
 
     def search(self, points: np.ndarray, bounds: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each word that asks: how many words are one edit away, and the number of the first of them (or that of all)."""
-        counts = _vectors(points, bounds, order)
+        counts, outlines = _vectors(points, bounds, order), _outlines(points, bounds)
         n = len(counts)
         near, best = np.zeros(n, np.int64), np.full(n, len(self.words), np.int64)
         row = np.arange(n)
@@ -233,7 +254,7 @@ class _Shard:
         while stack:  # depth first, many searches side by side; what is too much at once waits on the stack
             depth, row, node, more, less = stack.pop()
             if depth == GROUPS:
-                self._verify(points, bounds, row, node, near, best)
+                self._verify(points, bounds, outlines, row, node, near, best)
                 continue
             if len(row) > FRONTIER:
                 stack.append((depth, *(x[FRONTIER:] for x in (row, node, more, less))))
@@ -246,13 +267,18 @@ class _Shard:
                 stack.append((depth + 1, row[there], child[there], more[there], less[there]))
         return near, best
 
-    def _verify(self, points, bounds, row, leaf, near, best) -> None:
+    def _verify(self, points, bounds, outlines, row, leaf, near, best) -> None:
         sizes = self.starts[leaf + 1] - self.starts[leaf]
         ends = np.cumsum(sizes)
-        for low in range(0, int(ends[-1]), PAIRS):
-            at = np.arange(low, min(low + PAIRS, int(ends[-1])))
-            which = np.searchsorted(ends, at, "right")
-            asks, word = row[which], self.sorted[self.starts[leaf[which]] + at - (ends[which] - sizes[which])]
+        cuts = np.searchsorted(ends, np.arange(PAIRS, ends[-1] + PAIRS, PAIRS), "left")  # leaves of about so many pairs together
+        for i, j in zip([0, *(cuts + 1).tolist()], [*(cuts + 1).tolist(), len(leaf)]):
+            if i >= j:
+                continue
+            n, first = sizes[i:j], self.starts[leaf[i:j]]
+            asks = np.repeat(row[i:j], n)
+            word = self.sorted[np.arange(len(asks)) + np.repeat(first - (np.cumsum(n) - n), n)]
+            some = _possible(outlines, asks, self.outlines, word)
+            asks, word = asks[some], word[some]
             good = one_edit(points, bounds, asks, self.points, self.bounds, word)
             np.add.at(near, asks[good], 1)
             np.minimum.at(best, asks[good], word[good])
