@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ordinate.operators.mapping import as_column
-from ordinate.order import BUCKET, Ordinal, as_list, build_index, require_batch, require_new, with_ordinal
+from ordinate.order import BUCKET, Ordinal, Runs, as_list, build_index, require_batch, require_new, with_ordinal
 from ordinate.scratch import written
 
 
@@ -103,23 +104,34 @@ def rebatch(
     order = as_list(order_by)
     columns = list(columns or [f.name for f in df.schema.fields
                                if isinstance(f.dataType, T.ArrayType) and f.name not in order])
-    cycle = sum(sizes)
-    # positions of items come from the batches' sizes alone; a whole cycle stays together
-    sizes_of = written(df.select(*order, F.size(f"`{columns[0]}`").alias("__held")).where("__held > 0"), "sizes")
-    places = sizes_of.select(*order, F.explode(F.sequence(F.lit(0), F.col("__held") - 1)).alias("__pos"))
-    index = build_index(places, [*order, "__pos"]).aligned(places, cycle)
-    items = index.ranked(unbatch(df, order, columns, "__pos"), "__ord")
-    within = F.col("__ord") % cycle
-    starts = [sum(sizes[:i]) for i in range(len(sizes))]
-    slot = sum((F.when(within >= s, 1).otherwise(0) for s in starts[1:]), F.lit(0))
-    items = items.withColumn("__slot", slot).withColumn(
-        name, F.expr(f"__ord div {cycle}") * len(sizes) + F.col("__slot")
-    )
-    out, arrays = _gather(items, [BUCKET, name], "__ord", columns, [F.first("__slot").alias("__slot")])
+    cycle, ends = sum(sizes), [sum(sizes[:i + 1]) for i in range(len(sizes))]
+    held = df.where(F.size(f"`{columns[0]}`") > 0).withColumn("__held", F.size(f"`{columns[0]}`").cast("bigint"))
+    lengths = F.array(*[F.size(f"`{c}`") for c in columns])
+    held = held.withColumn("__held", F.when(F.array_min(lengths) == F.array_max(lengths), F.col("__held")).otherwise(
+        F.raise_error(F.lit("arrays of a batch differ in length"))))
+    # items are counted by the batches' sizes; each batch is cut where a new one begins, and only the pieces come together
+    index = build_index(held, order, measures={"weight": ("sum", F.col("__held"))}, runs=cycle)
+    runs = index.in_runs(held, "__first", F.col("__held"))
+    last = F.col("__first") + F.col("__held") - 1
+    slot = lambda within: sum((F.when(within >= e, 1).otherwise(0) for e in ends[:-1]), F.lit(0)).cast("bigint")
+    number = lambda at: F.floor(at / cycle).cast("bigint") * len(sizes) + slot(F.pmod(at, F.lit(cycle)))
+    rows = runs.rows.withColumns({"__low": number(F.col("__first")), "__high": number(last)})
+    rows = rows.withColumn(name, F.explode(F.sequence("__low", "__high")))
+    turn, place = F.expr(f"`{name}` div {len(sizes)}") * cycle, F.pmod(F.col(name), F.lit(len(sizes))).cast("int")
+    rows = rows.withColumns({
+        "__turn": turn, "__start": turn + F.get(F.array(*[F.lit(e) for e in [0, *ends[:-1]]]), place),
+        "__stop": turn + F.get(F.array(*[F.lit(e) for e in ends]), place)})
+    rows = Runs(index, rows, runs.carried).kept(F.col("__turn"))
+    begin = (F.greatest("__start", "__first") - F.col("__first")).cast("int")
+    count = (F.least(F.col("__stop"), last + 1) - F.greatest("__start", "__first")).cast("int")
+    rows = rows.withColumns({"__begin": begin, "__count": count})
+    parts = [F.slice(F.col(f"`{c}`"), F.col("__begin") + 1, F.col("__count")).alias(c) for c in columns]
+    pieces = F.sort_array(F.collect_list(F.struct(F.col("__first").alias("__at"), *parts)))
+    out = rows.groupBy(BUCKET, name).agg(pieces.alias("__items"), F.sum("__count").cast("int").alias("size"))
     if drop_remainder:
         wanted = F.array(*[F.lit(s) for s in sizes])
-        out = out.where(F.col("size") == F.get(wanted, F.col("__slot")))
-    return out.select(name, "size", *arrays)
+        out = out.where(F.col("size") == F.get(wanted, place))
+    return out.select(name, "size", *[F.flatten(F.col("__items").getField(c)).alias(c) for c in columns])
 
 
 # -- padding ---------------------------------------------------------------
@@ -257,7 +269,8 @@ def bucket_by_sequence_length(
     bucketed = sized.withColumn("bucket", bucket)
     # lengths may be costly: they are found once for ranking, and once more with the rows
     narrow = written(bucketed.select(*[F.col(f"`{c}`") for c in as_list(order_by)], "bucket"), "lengths")
-    ranked = build_index(narrow, order_by, "bucket").aligned(narrow, batch_size).ranked(bucketed, "__in_bucket")
+    runs = build_index(narrow, order_by, "bucket", runs=batch_size).in_runs(bucketed, "__in_bucket")
+    ranked = runs.kept(F.col("__in_bucket") - F.pmod("__in_bucket", batch_size.cast("bigint")))
     ranked = ranked.withColumn("batch", F.floor(F.col("__in_bucket") / batch_size).cast("bigint"))
     out, arrays = _gather(
         ranked, [BUCKET, "bucket", "batch"], "__in_bucket", columns,
@@ -302,11 +315,16 @@ def window(
     else:
         index = build_index(df, order_by)
         ranked, total = index.ranked(df, "__ord").drop(BUCKET), index.total
-    # one row for each window in which the row has a place
-    start = lambda i: F.col("__ord") - i * stride
-    places = F.filter(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (start(i) >= 0) & (start(i) % shift == 0))
-    members = ranked.withColumn("window_pos", F.explode(places))
-    members = members.withColumn(name, F.expr(f"(__ord - window_pos * {stride}) div {shift}"))
+    # place * stride = row (mod shift): the first place follows from an inverse, the others from the period
+    common = gcd(stride, shift)
+    period = shift // common
+    inverse = pow(stride // common, -1, period)
+    first = F.pmod(F.pmod(F.expr(f"__ord div {common}"), F.lit(period)) * inverse, F.lit(period)).cast("int")
+    last = F.least(F.lit(size - 1), F.expr(f"__ord div {stride}")).cast("int")
+    placed = ranked.withColumns({"__first": first, "__last": last}).where(
+        (F.pmod("__ord", F.lit(common)) == 0) & (F.col("__first") <= F.col("__last")))
+    members = placed.withColumn("window_pos", F.explode(F.sequence("__first", "__last", F.lit(period))))
+    members = members.withColumn(name, F.expr(f"(__ord - cast(window_pos as bigint) * {stride}) div {shift}"))
     if drop_remainder:  # a window is full when there is a row at its last place
         members = members.where(F.col(name) * shift + reach < total)
     return members.select(*[F.col(f"`{c}`") for c in df.columns], name, "window_pos")

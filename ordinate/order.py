@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 BUCKET = "__bucket"
+#: the range that a row's key lies in, where ``BUCKET`` is the one that it was put in
+HOME = "__home"
 
 #: how two partial results of a running measure combine
 _COMBINE = {
@@ -111,6 +113,8 @@ class OrderIndex:
     carry: dict[str, list]  # measure -> value accumulated before the bucket; "n" counts rows
     total: int
     partitions: int
+    steps: list[int | None] | None = None  # length of runs in each bucket's first group
+    head_ends: list[tuple | None] | None = None  # first key after as many rows of the bucket's first group as a run has
 
     @property
     def _group_width(self) -> int:
@@ -164,38 +168,64 @@ class OrderIndex:
         if not self.partition_by:
             return found
         # only the first group of a bucket can have begun in an earlier one
-        width = self._group_width
-        heads = self._key_table([k[:width] for k in self.lower], self.key_ddl[:width])
-        group = _pack([comparable(df, c) for c in self.partition_by])
-        return F.when(F.get(heads, F.col(BUCKET)).eqNullSafe(group), found)
+        return F.when(self._in_first_group(df, BUCKET), found)
 
     @property
     def starts(self) -> list[int]:
         """Position of the first row of each bucket (without groups)."""
         return [n or 0 for n in self.carry["n"]]
 
-    def aligned(self, df: DataFrame, every: int | Column) -> "OrderIndex":
-        """Move each lower bound up to the next position (in its group) divisible by ``every``.
+    def in_runs(self, df: DataFrame, name: str, weight: Column | None = None) -> "Runs":
+        """Rows ranked as by :meth:`ranked`, so that each run of positions can be put together in one bucket.
 
-        Runs of ``every`` rows, which may depend on the group, then never straddle two
-        buckets, so grouping them after ranking needs no second shuffle.  Reads only the
-        ordering columns.
+        The index must know its runs' lengths.  A run belongs to the bucket that holds its first position.  Where a
+        bucket begins inside a run, its first rows, as many as a run may have, also go to the bucket of that run.  So the
+        rows are moved once, and nothing else is read.  With ``weight`` a row takes as many positions as that says, and
+        ``name`` is the first of them.
         """
-        if len(self.lower) < 2:
-            return self
-        step = every if isinstance(every, Column) else F.lit(every)
-        names = dict.fromkeys([*self.partition_by, *self.order_by])
-        ranked = self.ranked(df.select(*[F.col(f"`{c}`") for c in names], step.cast("bigint").alias("__step")), "__at")
-        parts = [comparable(df, c) for c in (*self.partition_by, *self.order_by)]
-        first = F.struct(*[p.alias(f"f{i}") for i, p in enumerate(parts)], "__at")
-        heads = ranked.where(F.pmod("__at", "__step") == 0).groupBy(BUCKET).agg(F.min(first).alias("head")).collect()
-        found = {r[BUCKET]: tuple(r["head"]) for r in heads}
-        kept = [b for b in range(1, len(self.lower)) if b in found]
-        return OrderIndex(
-            self.order_by, self.partition_by, self.key_ddl,
-            [self.lower[0], *[found[b][:-1] for b in kept]], {"n": [None, *[found[b][-1] for b in kept]]},
-            self.total, self.partitions,
-        )
+        placed = self.with_bucket(df, self.key(df)).withColumn(HOME, F.col(BUCKET))
+        owners = self._owners()
+        if any(o is not None for o in owners):
+            here = F.get(_table(owners, "int"), F.col(HOME))
+            first = here.isNotNull()
+            ends = [None if k is None else {f"f{i}": v for i, v in enumerate(k)} for k in self.head_ends]
+            if any(e is not None for e in ends):
+                end = F.get(_table(ends, "struct<" + ",".join(f"f{i}:{t}" for i, t in enumerate(self.key_ddl)) + ">"), F.col(HOME))
+                first = first & (end.isNull() | (self.key(df) < end))
+            if self.partition_by:
+                first = first & self._in_first_group(placed, HOME)
+            both = F.when(first, F.array(F.col(HOME), here)).otherwise(F.array(F.col(HOME)))
+            placed = placed.withColumn(BUCKET, F.explode(both))
+        placed = placed.repartitionById(self.partitions, F.col(BUCKET))
+        if weight is None:
+            position, carried = F.row_number().over(self.window()).cast("bigint") - 1, "n"
+        else:
+            frame = self.window().rowsBetween(Window.unboundedPreceding, -1)
+            position, carried = F.coalesce(F.sum(weight).over(frame), F.lit(0)).cast("bigint"), "weight"
+        ahead = F.coalesce(self.before(placed, carried, "bigint"), F.lit(0).cast("bigint"))
+        return Runs(self, placed.withColumn(name, self.without_ties(placed, position) + ahead), carried)
+
+    def _owners(self) -> list[int | None]:
+        """For each bucket that begins inside a run: the bucket that holds the run's first position."""
+        carried, out = self.carry["weight" if "weight" in self.carry else "n"], []
+        for b, at in enumerate(carried):
+            step = self.steps[b]
+            if not at or at % step == 0:
+                out.append(None)
+                continue
+            owner = b - 1
+            while owner and (carried[owner] or 0) > at - at % step and self._first_group(owner) == self._first_group(b):
+                owner -= 1
+            out.append(owner)
+        return out
+
+    def _first_group(self, bucket: int) -> tuple:
+        return self.lower[bucket][:self._group_width]
+
+    def _in_first_group(self, df: DataFrame, bucket: str) -> Column:
+        width = self._group_width
+        heads = self._key_table([k[:width] for k in self.lower], self.key_ddl[:width])
+        return F.get(heads, F.col(bucket)).eqNullSafe(_pack([comparable(df, c) for c in self.partition_by]))
 
     def cut_at(self, df: DataFrame, positions: Sequence[int]) -> "OrderIndex":
         """The index (without groups) whose buckets begin at the given positions."""
@@ -226,6 +256,24 @@ class OrderIndex:
         return placed.withColumn(name, position + ahead + F.lit(start).cast("bigint"))
 
 
+@dataclass(frozen=True)
+class Runs:
+    """Ranked rows of which some stand in two buckets, and which runs of them count in a bucket."""
+
+    index: OrderIndex
+    rows: DataFrame
+    carried: str
+
+    def kept(self, first: Column) -> DataFrame:
+        """The rows without those whose run, beginning at position ``first``, belongs to another bucket."""
+        carried = self.index.carry[self.carried]
+        if len(carried) < 2:
+            return self.rows.drop(HOME)
+        own = F.coalesce(first >= self.index.before(self.rows, self.carried, "bigint"), F.lit(True))
+        guest = first < F.get(_table([*carried[1:], None], "bigint"), F.col(BUCKET))
+        return self.rows.where(F.when(F.col(BUCKET) == F.col(HOME), own).otherwise(guest)).drop(HOME)
+
+
 def _pack(parts: Sequence[Column]) -> Column:
     return F.struct(*[p.alias(f"f{i}") for i, p in enumerate(parts)])
 
@@ -236,9 +284,13 @@ def build_index(
     partition_by=(),
     measures: dict[str, tuple[str, Column]] | None = None,
     buckets: int | None = None,
+    runs: int | Column | None = None,
 ) -> OrderIndex:
     """Learn the key ranges of ``df`` in one job over its ordering columns.
 
+    With ``runs``, the length of runs of positions (a column of the group, if it depends on that), each range also
+    returns the key that so many of its rows precede; a measure named ``weight`` then counts instead of rows.
+
     ``measures`` maps a name to ``(kind, column)`` with kind ``sum``, ``min``,
     ``max`` or ``count``; the index then also carries their running totals.
     With ``partition_by`` everything restarts for each group, and a group of any
@@ -257,9 +309,19 @@ def build_index(
     keys = df.select(
         *[comparable(df, c).alias(n) for c, n in zip(groups + order, g + k)],
         *[col.alias(n) for (_, col), n in zip(measures.values(), m)],
+        *([] if runs is None else [(runs if isinstance(runs, Column) else F.lit(runs)).cast("bigint").alias("step")]),
     )
     key_ddl = tuple(keys.schema[n].dataType.simpleString() for n in g + k)
     ranged = keys.repartitionByRange(count, *g, *k).withColumn("pid", F.spark_partition_id())
+    heads = []
+    if runs is not None:
+        if "weight" in measures:
+            frame = Window.partitionBy("pid").orderBy(*g, *k).rowsBetween(Window.unboundedPreceding, -1)
+            ranged = ranged.withColumn("at", F.coalesce(F.sum(m[list(measures).index("weight")]).over(frame), F.lit(0)))
+        else:  # the lower bits of such an id number the rows of a sorted partition
+            ranged = ranged.sortWithinPartitions(*g, *k).withColumn("id", F.monotonically_increasing_id())
+            ranged = ranged.withColumns({"pid": F.shiftright("id", 33).cast("int"), "at": F.col("id").bitwiseAND((1 << 33) - 1)})
+        heads = [F.min(F.when(F.col("at") >= F.col("step"), _pack([F.col(c) for c in g + k]))).alias("after"), F.min("step").alias("step")]
     partial = [
         F.count(F.lit(1)).alias("n"),
         (F.min(_pack([F.col(c) for c in k]))).alias("lo"),
@@ -269,8 +331,9 @@ def build_index(
         group = F.struct(*g)
         tail = F.struct("n", *m)
         stats = (
-            ranged.groupBy("pid", *g).agg(*partial).groupBy("pid")
+            ranged.groupBy("pid", *g).agg(*partial, *heads).groupBy("pid")
             .agg(
+                *([] if runs is None else [F.min("after").alias("after"), F.min_by("step", group).alias("step")]),
                 F.sum("n").alias("n"),
                 F.count(F.lit(1)).alias("groups"),
                 F.min_by(F.struct(*g, "lo"), group).alias("head"),
@@ -279,7 +342,7 @@ def build_index(
             )
         )
     else:
-        stats = ranged.groupBy("pid").agg(*partial)
+        stats = ranged.groupBy("pid").agg(*partial, *heads)
     found = sorted(stats.collect(), key=lambda r: r["pid"])
 
     kinds = {"n": "count", **{name: kind for name, (kind, _) in measures.items()}}
@@ -302,7 +365,11 @@ def build_index(
         lower.append(low)
         previous = row
     total = sum(row["n"] for row in found)
-    return OrderIndex(tuple(order), tuple(groups), key_ddl, lower, carry, total, count)
+    if runs is None:
+        return OrderIndex(tuple(order), tuple(groups), key_ddl, lower, carry, total, count)
+    # a key of another group follows all rows of the first one
+    ends = [None if r["after"] is None or tuple(r["after"])[:len(g)] != low[:len(g)] else tuple(r["after"]) for r, low in zip(found, lower)]
+    return OrderIndex(tuple(order), tuple(groups), key_ddl, lower, carry, total, count, [r["step"] for r in found], ends)
 
 
 def with_ordinal(
@@ -323,10 +390,13 @@ def with_ordinal(
     if isinstance(order_by, Ordinal) and not as_list(partition_by):
         require_batch(df, "an ordered operator")
         return df.withColumn(name, (F.col(order_by) + start).cast("bigint"))
-    index = build_index(df, order_by, partition_by, buckets=buckets)
-    if align is not None:
-        index = index.aligned(df, align)
-    out = index.ranked(df, name, start)
+    index = build_index(df, order_by, partition_by, buckets=buckets, runs=align)
+    if align is None:
+        out = index.ranked(df, name, start)
+    else:
+        runs = index.in_runs(df, "__at")
+        step = (align if isinstance(align, Column) else F.lit(align)).cast("bigint")
+        out = runs.kept(F.col("__at") - F.pmod(F.col("__at"), step)).withColumn(name, F.col("__at") + start).drop("__at")
     return out if keep_bucket else out.drop(BUCKET)
 
 
@@ -362,7 +432,7 @@ def running(
 
 
 #: a range of keys that is sorted at once, and ranges of one step
-SORTED_KEYS, STEP_RANGES = 4096, 16
+SORTED_KEYS, STEP_RANGES = 1 << 18, 16
 
 
 def key_at(df: DataFrame, order_by, position: int) -> tuple[OrderIndex, tuple | None]:
