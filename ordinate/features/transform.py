@@ -60,8 +60,9 @@ class FittedSpec:
     ) -> DataFrame:
         """Columns ``x`` (a struct of all features, or one array if ``dense``) and ``y``.
 
-        ``keep`` adds input columns.  Vocabularies and embeddings of any size are joined.  Of arrays,
-        each different one is looked up once, by an aggregate: on a stream they are an error.
+        ``keep`` adds input columns.  Vocabularies and embeddings of any size are joined.  A digest stands for each
+        different array; its items travel with that, never with the array, and each different one is looked up once.
+        That takes an aggregate: on a stream, look-ups of arrays are an error.
         """
         out = df
         made: dict[str, Column] = {}
@@ -76,11 +77,17 @@ class FittedSpec:
                 out = self._embedded(out, step, column)
             elif isinstance(step, S.Vocabulary):
                 out = self._joined(out, step, column)
+            elif isinstance(step, S.Indicator) and self._is_array(df, step.source):
+                counted = _with_counts(out, F.col(f"`__f_{step.source}`"), "__counts", self.size(step.source))
+                out = counted.withColumn(column, _multi_hot(F.col("__counts"), self.size(step.source), step.sparse)).drop("__counts")
             else:
                 out = out.withColumn(column, self._expression(df, step))
             made[step.name] = F.col(f"`{column}`")
         kept = [F.col(f"`{c}`") for c in keep]
         if dense:
+            for n, s in self.dense_features().items():
+                if isinstance(s, S.Bucketized) and self._is_array(df, n):
+                    out = _with_counts(out, F.col(f"`__f_{n}`"), f"__n_{n}", self.size(n))
             parts = [self._dense(out, n, s) for n, s in self.dense_features().items()]
             x = F.concat(*parts)
         else:
@@ -114,7 +121,7 @@ class FittedSpec:
             for a in absent[1:]:
                 missing = missing | a
             return F.when(~missing, hash_bucket(whole, step.buckets))
-        return self._one_hot(F.col(f"`__f_{step.source}`"), self.size(step.source), self._is_array(df, step.source), step.sparse)
+        return _one_hot(F.col(f"`__f_{step.source}`"), self.size(step.source), step.sparse)
 
     def _is_array(self, df: DataFrame, name: str) -> bool:
         step = self.spec._step(name)
@@ -159,13 +166,15 @@ class FittedSpec:
             text = key.cast("string")
             found = df.join(table, text == F.col("__value"), "left")
             return found.withColumn(column, _or_unknown(F.col("__id"), text, step, vocab.size)).drop("__id", "__value")
-        items = _different(df, step.name, key).select("__array", F.posexplode("__array").alias("__pos", "__item"))
-        text = F.col("__item").cast("string")
-        items = items.join(table, text == F.col("__value"), "left")
-        ids = _or_unknown(F.col("__id"), text, step, vocab.size)
+        narrow = _narrow(df, step.name, key)
+        # (outer, as the optimizer would else compute arrays twice, to leave out empty ones before they are split)
+        items = narrow.select("__digest", F.posexplode_outer("__array").alias("__pos", "__item")).where("__pos is not null")
+        items = items.select("__digest", "__pos", F.col("__item").cast("string").alias("__text")).distinct()
+        items = items.join(table, F.col("__text") == F.col("__value"), "left")
+        ids = _or_unknown(F.col("__id"), F.col("__text"), step, vocab.size)
         gathered = F.sort_array(F.collect_list(F.struct("__pos", ids.alias("id"))))
-        rows = items.groupBy("__array").agg(gathered.getField("id").alias(column))
-        out = df.join(rows, key == F.col("__array"), "left").drop("__array")
+        rows = items.groupBy("__digest").agg(gathered.getField("id").alias(column))
+        out = df.withColumn("__digest", _digest(key)).join(rows, "__digest", "left").drop("__digest")
         return out.withColumn(column, F.when(key.isNotNull(), F.coalesce(F.col(f"`{column}`"), F.array().cast("array<bigint>"))))
 
     def _embedded(self, df: DataFrame, step: S.Embedding, column: str) -> DataFrame:
@@ -182,40 +191,23 @@ class FittedSpec:
             # only ids that can be in a table take part; Spark's skew handling spreads a common one
             found = df.join(table, F.when(ids >= 0, ids.cast("bigint")) == F.col("__id"), "left")
             return found.withColumn(column, F.coalesce("__vector", zeros)).drop("__id", "__vector")
-        # equal ids of an array are counted before vectors join: one row for each, not for each item
-        items = _different(df, step.name, ids).select("__array", F.explode("__array").alias("__item")).where("__item >= 0")
-        items = items.groupBy("__array", F.col("__item").cast("bigint").alias("__item")).agg(F.count(F.lit(1)).alias("__times"))
-        items = items.join(table, F.col("__item") == F.col("__id"))
+        # equal ids of an array are counted in its row, before vectors join: one row for each, not for each item
+        # (outer as above)
+        items = _with_counts(_narrow(df, step.name, ids), F.col("__array"), "__counts").select("__digest", F.inline_outer("__counts"))
+        items = items.where("id is not null").distinct().join(table, F.col("id") == F.col("__id"))
         # one partial sum per dimension: no list of vectors is ever gathered
-        sums = [F.sum(F.get("__vector", F.lit(i)) * F.col("__times")).alias(f"__s{i}") for i in range(d)]
-        rows = items.groupBy("__array").agg(F.sum("__times").alias("__n"), *sums)
+        sums = [F.sum(F.get("__vector", F.lit(i)) * F.col("times")).alias(f"__s{i}") for i in range(d)]
+        rows = items.groupBy("__digest").agg(F.sum("times").alias("__n"), *sums)
         divisor = {"sum": F.lit(1.0), "mean": F.col("__n").cast("double"), "sqrtn": F.sqrt(F.col("__n"))}[step.combiner]
-        combined = rows.select("__array", F.array(*[F.col(f"__s{i}") / divisor for i in range(d)]).alias(column))
-        out = df.join(combined, ids == F.col("__array"), "left").drop("__array")
+        combined = rows.select("__digest", F.array(*[F.col(f"__s{i}") / divisor for i in range(d)]).alias(column))
+        out = df.withColumn("__digest", _digest(ids)).join(combined, "__digest", "left").drop("__digest")
         return out.withColumn(column, F.coalesce(F.col(f"`{column}`"), zeros))
 
-    def _one_hot(self, ids: Column, size: int, many: bool, sparse: bool = False) -> Column:
-        inside = lambda i: (i >= 0) & (i < size)
-        if not many:
-            if sparse:
-                here = F.when(inside(ids), F.array(ids.cast("int"))).otherwise(F.array().cast("array<int>"))
-                return F.struct(F.lit(size).alias("size"), here.alias("indices"), F.transform(here, lambda i: F.lit(1.0)).alias("values"))
-            return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce((i == ids).cast("double"), F.lit(0.0)))
-        kept = F.filter(F.coalesce(ids, F.array().cast("array<bigint>")), inside)
-        distinct = F.sort_array(F.array_distinct(kept)).cast("array<int>")
-        counts = F.transform(distinct, lambda i: F.size(F.filter(kept, lambda k: k == i)).cast("double"))
-        if sparse:
-            return F.struct(F.lit(size).alias("size"), distinct.alias("indices"), counts.alias("values"))
-        # zeros up to each id that is there, then its count: as long as the array and the result together
-        gaps = F.transform(distinct, lambda i, n: F.concat(
-            F.array_repeat(F.lit(0.0), (i - F.when(n > 0, F.get(distinct, n - 1)).otherwise(F.lit(-1)) - 1).cast("int")), F.array(F.get(counts, n))))
-        last = F.coalesce(F.get(distinct, F.size(distinct) - 1), F.lit(-1))
-        return F.concat(F.flatten(gaps), F.array_repeat(F.lit(0.0), (F.lit(size - 1) - last).cast("int")))
-
     def _dense(self, out: DataFrame, name: str, step: S.Step) -> Column:
         value = F.col(f"`__f_{name}`")
         if isinstance(step, S.Bucketized):
-            return self._one_hot(value, self.size(name), isinstance(out.schema[f"__f_{name}"].dataType, T.ArrayType))
+            many = isinstance(out.schema[f"__f_{name}"].dataType, T.ArrayType)
+            return _multi_hot(F.col(f"`__n_{name}`"), self.size(name)) if many else _one_hot(value, self.size(name))
         if isinstance(step, S.Indicator) and step.sparse:
             raise ValueError(f"{name} is sparse and cannot be part of a dense array")
         if isinstance(out.schema[f"__f_{name}"].dataType, T.ArrayType):
@@ -223,11 +215,61 @@ class FittedSpec:
         return F.array(value.cast("double"))
 
 
-def _different(df: DataFrame, name: str, arrays: Column) -> DataFrame:
-    """Each different array once, as ``__array``."""
+def _digest(array: Column) -> Column:
+    """What stands for an array in shuffles: 16 bytes, null for null."""
+    return F.unhex(F.md5(F.to_json(F.struct(array.alias("a")))))
+
+
+def _narrow(df: DataFrame, name: str, array: Column) -> DataFrame:
+    """The arrays, as ``__array``, with their digests."""
     if df.isStreaming:
         raise ValueError(f"{name} looks up arrays by an aggregate, which a stream does not allow: use per_micro_batch")
-    return df.select(arrays.alias("__array")).where("__array is not null").distinct()
+    return df.select(_digest(array).alias("__digest"), array.alias("__array"))
+
+
+def _with_counts(df: DataFrame, ids: Column, name: str, size: int | None = None) -> DataFrame:
+    """Add the different ids of an array from 0 up to ``size``, in order, as ``(id, times)``.
+
+    One sort of the array, one pass for where a new id begins, and one for the distances between.  No lambda refers to
+    anything but its own arguments: wherever the optimizer moves these expressions to, none is computed once for each item.
+    """
+    inside = lambda i: (i >= 0) & (i < size) if size is not None else i >= 0
+    there = F.filter(F.coalesce(ids, F.array().cast("array<bigint>")), inside)
+    out = df.withColumn("__sorted", F.sort_array(there).cast("array<bigint>"))
+    ordered = F.col("__sorted")
+    pairs = F.zip_with(ordered, _shifted(ordered, F.lit(None).cast("bigint")), lambda x, before: F.struct(x.alias("id"), before.alias("before")))
+    marked = F.transform(pairs, lambda p, i: F.when(~p["id"].eqNullSafe(p["before"]), F.struct(p["id"].alias("id"), i.alias("at"))))
+    out = out.withColumn("__starts", F.filter(marked, lambda s: s.isNotNull()))
+    starts = F.col("__starts")
+    stops = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.struct(F.lit(None).cast("bigint").alias("id"), F.size(ordered).alias("at"))))
+    counts = F.zip_with(starts, stops, lambda s, stop: F.struct(s["id"].alias("id"), (stop["at"] - s["at"]).alias("times")))
+    return out.withColumn(name, F.filter(counts, lambda c: c["id"].isNotNull())).drop("__sorted", "__starts")
+
+
+def _shifted(array: Column, first: Column) -> Column:
+    """The items one place further on, ``first`` at the start."""
+    return F.concat(F.array(first), F.slice(array, 1, F.greatest(F.size(array) - 1, F.lit(0))))
+
+
+def _multi_hot(counts: Column, size: int, sparse: bool = False) -> Column:
+    """How often each id occurs, from the ``(id, times)`` that do."""
+    if sparse:
+        return F.struct(F.lit(size).alias("size"), F.transform(counts, lambda c: c["id"].cast("int")).alias("indices"),
+                        F.transform(counts, lambda c: c["times"].cast("double")).alias("values"))
+    # zeros up to each id that is there, then its count: as long as the array and the result together
+    before = _shifted(counts, F.struct(F.lit(-1).cast("bigint").alias("id"), F.lit(0).alias("times")))
+    gaps = F.zip_with(counts, before, lambda c, b: F.concat(
+        F.array_repeat(F.lit(0.0), (c["id"] - b["id"] - 1).cast("int")), F.array(c["times"].cast("double"))))
+    last = F.coalesce(F.get(counts, F.size(counts) - 1)["id"], F.lit(-1))
+    found = F.when(F.size(counts) > 0, F.flatten(gaps)).otherwise(F.array().cast("array<double>"))
+    return F.concat(found, F.array_repeat(F.lit(0.0), (F.lit(size - 1) - last).cast("int")))
+
+
+def _one_hot(ids: Column, size: int, sparse: bool = False) -> Column:
+    if sparse:
+        here = F.when((ids >= 0) & (ids < size), F.array(ids.cast("int"))).otherwise(F.array().cast("array<int>"))
+        return F.struct(F.lit(size).alias("size"), here.alias("indices"), F.transform(here, lambda i: F.lit(1.0)).alias("values"))
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce((i == ids).cast("double"), F.lit(0.0)))
 
 
 def _each(df: DataFrame, key: str, one) -> Column:

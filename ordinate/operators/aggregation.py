@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Sequence
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ordinate.functions.hashing import uniform
 from ordinate.operators.mapping import as_column
 from ordinate.order import BUCKET, as_list, build_index, comparable, require_batch, require_new, running
+from ordinate.scratch import written
+
+#: the state that a range starts from, beside its first row
+START = "__start"
 
 
 #: how a starting value joins an aggregate
@@ -37,15 +43,6 @@ def _in_order(df: DataFrame, order_by):
     return index, placed
 
 
-def _zero(initial, zero, merge: Callable):
-    """What ranges are folded from: a value that changes nothing when it is merged."""
-    if zero is not None:
-        return zero
-    if merge(initial, initial) != initial:
-        raise ValueError("initial changes what it is merged with: give zero, a state that does not, for the ranges to start from")
-    return initial
-
-
 def _by_range(frames):
     """Split a stream of pandas frames where the key range changes."""
     for frame in frames:
@@ -55,33 +52,85 @@ def _by_range(frames):
                 yield int(part[BUCKET].iloc[0]), part.drop(columns=BUCKET).reset_index(drop=True)
 
 
-#: the largest state of a fold: one for each range reaches the driver
-STATE_BYTES = 1 << 20
+#: states that are merged at a time
+TOGETHER = 4
+STATES = "bucket int, state binary"
 
 
-def _packed_state(state) -> bytes:
-    data = pickle.dumps(state)
-    if len(data) > STATE_BYTES:
-        raise ValueError(f"a state of {len(data)} bytes: folds are for states of at most {STATE_BYTES}")
-    return data
+def _same(a, b) -> bool:
+    """Whether two states of any kind are equal, arrays among them."""
+    if pickle.dumps(a) == pickle.dumps(b):
+        return True
+    try:
+        return bool(np.all(np.equal(a, b))) if isinstance(a, np.ndarray) else bool(a == b)
+    except ValueError:
+        return False
 
 
-def _range_states(placed: DataFrame, initial, step) -> dict[int, object]:
-    """Fold every key range on its own, in parallel; one small state per range."""
+def _range_states(placed: DataFrame, initial, zero, step: Callable, merge: Callable) -> DataFrame:
+    """Fold every key range on its own, in parallel, to a table of one state for each range.
+
+    Without ``zero`` ranges start from ``initial``, which each state that it is merged with must leave as it was.
+    """
+    unlike = "initial changes what it is merged with: give zero, a state that does not, for the ranges to start from"
+    if zero is None and not _same(merge(initial, initial), initial):
+        raise ValueError(unlike)
+
+    def ended(at: int, state) -> pd.DataFrame:
+        if zero is None and not (_same(merge(initial, state), state) and _same(merge(state, initial), state)):
+            raise ValueError(unlike)
+        return pd.DataFrame({"bucket": [at], "state": [pickle.dumps(state)]})
 
     def fold(frames):
         at, state = None, None
         for bucket, part in _by_range(frames):
             if bucket != at:
                 if at is not None:
-                    yield pd.DataFrame({"bucket": [at], "state": [_packed_state(state)]})
-                at, state = bucket, initial
+                    yield ended(at, state)
+                at, state = bucket, initial if zero is None else zero
             state = step(state, part)
         if at is not None:
-            yield pd.DataFrame({"bucket": [at], "state": [_packed_state(state)]})
+            yield ended(at, state)
+
+    return written(placed.mapInPandas(fold, STATES), "states")
+
+
+def _merged(states: DataFrame, ranges: int, merge: Callable) -> list[DataFrame]:
+    """The states of ranges, of every few neighbouring ranges, of as many of those, and so on up to all: a table each."""
 
-    states = placed.mapInPandas(fold, "bucket int, state binary").collect()
-    return {r["bucket"]: pickle.loads(bytes(r["state"])) for r in states}
+    def join(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("bucket")
+        state = reduce(merge, map(pickle.loads, frame["state"]))
+        return pd.DataFrame({"bucket": [int(frame["bucket"].iloc[0]) // TOGETHER], "state": [pickle.dumps(state)]})
+
+    levels = [states]
+    while ranges > 1:
+        levels.append(written(levels[-1].groupBy(F.expr(f"bucket div {TOGETHER}")).applyInPandas(join, STATES), "states"))
+        ranges = -(-ranges // TOGETHER)
+    return levels
+
+
+def _starts(levels: list[DataFrame], initial, merge: Callable) -> DataFrame:
+    """The state that each range starts from: that of the few ranges around it, merged with its neighbours' before it."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("bucket")
+        first = frame["start"].iloc[0]
+        state, out = initial if first is None else pickle.loads(first), []
+        for own in frame["state"]:
+            out.append(pickle.dumps(state))
+            state = merge(state, pickle.loads(own))
+        return pd.DataFrame({"bucket": frame["bucket"], "state": out})
+
+    starts = None
+    for level in reversed(levels):
+        here = level.withColumn("above", F.expr(f"bucket div {TOGETHER}"))
+        if starts is None:
+            here = here.withColumn("start", F.lit(None).cast("binary"))
+        else:
+            here = here.join(starts.select(F.col("bucket").alias("above"), F.col("state").alias("start")), "above")
+        starts = written(here.groupBy("above").applyInPandas(run, STATES), "starts")
+    return starts
 
 
 def fold_rows(df: DataFrame, order_by, initial, step: Callable, merge: Callable, finish: Callable | None = None, zero=None):
@@ -89,20 +138,23 @@ def fold_rows(df: DataFrame, order_by, initial, step: Callable, merge: Callable,
 
     ``step(state, frame)`` takes in a pandas frame of consecutive rows and
     ``merge(earlier, later)`` joins the states of neighbouring key ranges, so the
-    rows are folded in parallel and only one state per range reaches the driver.
+    rows are folded in parallel.  States of any size are merged a few at a time by tasks, in
+    rounds, and the driver gets the last one only.
     A fold that cannot be merged has no parallel form and is not accepted.
 
     ``initial`` is used once, before the first row.  Ranges start from ``zero``, a state that
-    changes nothing when merged; it may be left out if ``initial`` is one.  States must stay
-    small: one that pickles to more than ``STATE_BYTES`` is an error.
+    changes nothing when merged; it may be left out if ``initial`` is one, which is checked against
+    the state of every range.
     """
     if merge is None:
         raise ValueError("a fold needs merge(earlier, later) to run on more than one task")
-    _, placed = _in_order(df, order_by)
-    states = _range_states(placed, _zero(initial, zero, merge), step)
-    total = initial
-    for bucket in sorted(states):
-        total = merge(total, states[bucket])
+    index, placed = _in_order(df, order_by)
+    if index.total:
+        states = _range_states(placed, initial, zero, step, merge)
+        last = _merged(states, len(index.lower), merge)[-1].first()
+        total = merge(initial, pickle.loads(bytes(last["state"])))
+    else:
+        total = initial
     return finish(total) if finish else total
 
 
@@ -123,23 +175,29 @@ def scan_rows(
     """Stateful map over the rows in order with Python functions.
 
     First every key range is folded (``step``, as in :func:`fold_rows`) to learn the
-    state it ends with; merging those gives the state each range starts from.  Then
-    ``emit(state, frame) -> (state, out)`` runs over each range from its own start.
+    state it ends with; merging those, by tasks in rounds, gives the state each range starts from, which
+    comes with the range's first row.  Then ``emit(state, frame) -> (state, out)`` runs over each range from its own start.
     """
+    require_new(df, START)
     index, placed = _in_order(df, order_by)
-    states = _range_states(placed, _zero(initial, zero, merge), step)
-    starts, state = {}, initial
-    for bucket in range(len(index.lower)):
-        starts[bucket] = state
-        if bucket in states:
-            state = merge(state, states[bucket])
+    if not index.total:
+        return df.sparkSession.createDataFrame([], schema)
+    states = _range_states(placed, initial, zero, step, merge)
+    starts = _starts(_merged(states, len(index.lower), merge), initial, merge)
+    starts = starts.select(F.col("bucket").alias(BUCKET), F.col("state").alias(START))
+    rows = index.with_bucket(df, index.key(df))
+    first = index.key(df).eqNullSafe(F.get(index.lower_keys(), F.col(BUCKET)))
+    heads = rows.where(first).join(starts, BUCKET, "left")
+    rows = heads.unionByName(rows.where(~first).withColumn(START, F.lit(None).cast("binary"))).select(*df.columns, BUCKET, START)
+    placed = rows.repartitionById(index.partitions, F.col(BUCKET))
+    placed = placed.withColumn(BUCKET, index.without_ties(placed, F.col(BUCKET))).sortWithinPartitions(BUCKET, *as_list(order_by))
 
     def run(frames):
-        at, state = None, None
-        for bucket, part in _by_range(frames):
-            if bucket != at:
-                at, state = bucket, starts[bucket]
-            state, out = emit(state, part)
+        state = None
+        for _, part in _by_range(frames):
+            if part[START].iloc[0] is not None:
+                state = pickle.loads(part[START].iloc[0])
+            state, out = emit(state, part.drop(columns=START))
             yield out
 
     return placed.mapInPandas(run, schema)
@@ -149,7 +207,7 @@ def unique(df: DataFrame, columns: Sequence[str] | None = None, order_by=None) -
     """Distinct rows, or one row per distinct ``columns``.
 
     With ``order_by`` it is the first in order that stays: the smallest key of each value, found by
-    an aggregate with partial results before the shuffle, chooses the rows.
+    an aggregate with partial results before the shuffle, chooses the rows.  Two rows of a value that share that key raise.
     """
     if columns is None and order_by is None:
         return df.dropDuplicates()
@@ -159,8 +217,14 @@ def unique(df: DataFrame, columns: Sequence[str] | None = None, order_by=None) -
     require_batch(df, "unique with order_by")
     keys = {f"__k{i}": comparable(df, c) for i, c in enumerate(as_list(order_by))}
     groups = {f"__g{i}": F.col(f"`{c}`") for i, c in enumerate(columns)}
-    narrow = df.select(*[c.alias(n) for n, c in groups.items()], F.struct(*[c.alias(n) for n, c in keys.items()]).alias("__key"))
-    first = narrow.groupBy(*groups).agg(F.min("__key").alias("__key")).select(*groups, "__key.*")
+    narrow = df.select(*[c.alias(n) for n, c in groups.items()], F.struct(*[c.alias(n) for n, c in keys.items()]).alias("__key"),
+                       F.monotonically_increasing_id().alias("__row"))
+    # of rows that share the smallest key one has the smallest number and another the largest
+    ends = [F.min(F.struct("__key", row.alias("row"))).alias(name) for name, row in (("__low", F.col("__row")), ("__high", -F.col("__row")))]
+    first = narrow.groupBy(*groups).agg(*ends)
+    one = F.col("__low.row") == -F.col("__high.row")
+    tie = F.raise_error(F.lit(f"{as_list(order_by)} do not order the rows: two rows of one value have the same key"))
+    first = first.select(*groups, F.when(one, F.col("__low").getField("__key")).otherwise(tie).alias("__key")).select(*groups, "__key.*")
     same = F.lit(True)
     for name, c in {**groups, **keys}.items():
         same = same & c.eqNullSafe(F.col(name))

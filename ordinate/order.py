@@ -132,6 +132,10 @@ class OrderIndex:
         fields = ",".join(f"f{i}:{t}" for i, t in enumerate(ddl))
         return _table([{f"f{i}": v for i, v in enumerate(k)} for k in keys], f"struct<{fields}>")
 
+    def lower_keys(self) -> Column:
+        """The smallest key of each bucket."""
+        return self._key_table(self.lower, self.key_ddl)
+
     def with_bucket(self, df: DataFrame, key: Column) -> DataFrame:
         """Add the number of lower bounds at or below ``key``: a binary search per row.
 

@@ -197,6 +197,43 @@ def features_vocabulary_of_arrays(t):
     return out.select("conv_id", "turn", F.array_join(F.col("x.words").cast("array<string>"), ",").alias("ids"))
 
 
+@query("""
+WITH w AS (SELECT doc_id, string_split(text, ' ') AS words FROM documents),
+     i AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM w),
+     v AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS id FROM (SELECT DISTINCT word FROM i))
+SELECT doc_id, count(*) AS items, md5(string_agg(id, ',' ORDER BY pos)) AS ids FROM i JOIN v USING (word) GROUP BY 1
+""")
+def features_vocabulary_of_documents(t):
+    """Words of whole documents, however long."""
+    words = t.documents.select("doc_id", F.split("text", " ").alias("words"))
+    spec = feature_spec(words, ["words"]).step_categorical_column_with_vocabulary_list("words").fit()
+    out = use_spec(words, spec, keep=["doc_id"])
+    ids = F.col("x.words")
+    return out.select("doc_id", F.size(ids).cast("bigint").alias("items"), F.md5(F.array_join(ids.cast("array<string>"), ",")).alias("ids"))
+
+
+@query(f"""
+WITH w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents),
+     n AS (SELECT doc_id, {_hash('word', 1000)} AS id, count(*) AS n FROM w GROUP BY 1, 2),
+     p AS (SELECT doc_id, sum(n * floor(embedding[1]::DOUBLE * 1024)) AS s, sum(n) AS n FROM n JOIN embeddings ON vec_id = id GROUP BY 1)
+SELECT doc_id, (SELECT count(*) FROM n WHERE n.doc_id = d.doc_id) AS different, (SELECT max(n) FROM n WHERE n.doc_id = d.doc_id) AS most,
+       coalesce(s / n, 0) AS mean
+FROM documents d LEFT JOIN p USING (doc_id)
+""")
+def features_counts_of_documents(t):
+    """How often words of whole documents occur, and the mean of their vectors (of whole numbers, which add up exactly)."""
+    words = t.documents.select("doc_id", F.split("text", " ").alias("words"))
+    whole = t.embeddings.select(F.col("vec_id").alias("id"), F.array(F.floor(F.get("embedding", F.lit(0)).cast("double") * 1024)).alias("vector"))
+    spec = (feature_spec(words, ["words"])
+            .step_categorical_column_with_hash_bucket("words", hash_bucket_size=1000)
+            .step_indicator_column(sparse=True, counts="words")
+            .step_embedding_column("words", dimension=1, combiner="mean", weights=whole)
+            .step_remove_column("words")).fit()
+    out = use_spec(words, spec, keep=["doc_id"])
+    return out.select("doc_id", F.size("x.counts.indices").cast("bigint").alias("different"),
+                      F.array_max("x.counts.values").cast("bigint").alias("most"), F.get("x.embedding_words", F.lit(0)).alias("mean"))
+
+
 @query(f"""
 WITH w AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS word FROM conversations),
      n AS (SELECT conv_id, turn, {_hash('word', 16)} AS id, count(*) AS n FROM w GROUP BY 1, 2, 3),
@@ -229,9 +266,18 @@ def features_repeated_vocabulary(t):
     return out.select("o_orderkey", F.col("x.o_orderpriority").alias("priority"), F.col("x.customer").alias("customer"))
 
 
+_SUM = "CAST(list_sum(list_transform(%s, lambda v, i: CAST(floor(v::DOUBLE * 1000000 + 0.5) AS BIGINT) * i)) AS BIGINT)"
+
+
+def _sum(vector):
+    """All components in millionths, each times its place, added up: a check of every one that costs little."""
+    terms = F.transform(vector, lambda v, i: F.floor(v * 1000000 + 0.5) * (i + 1))
+    return F.aggregate(terms, F.lit(0).cast("bigint"), lambda total, v: total + v)
+
+
 @query(f"""
 WITH i AS (SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_partkey % 500 AS p, l_suppkey % 500 AS s FROM lineitem)
-SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, {_DIGEST % "a.embedding::DOUBLE[]"} AS part, {_DIGEST % "b.embedding::DOUBLE[]"} AS supplier
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, {_SUM % "a.embedding"} AS part, {_SUM % "b.embedding"} AS supplier
 FROM i JOIN embeddings a ON a.vec_id = p JOIN embeddings b ON b.vec_id = s
 """)
 def features_shared_embeddings(t):
@@ -240,5 +286,5 @@ def features_shared_embeddings(t):
             .step_categorical_column_with_identity("p", "s", num_buckets=500)
             .step_shared_embeddings_column("p", "s", dimension=64, weights=_vectors(t))).fit()
     out = use_spec(items, spec, keep=["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"])
-    vector = lambda c: _digest(F.col(f"x.shared_embeddings_p_s_{c}"))
+    vector = lambda c: _sum(F.col(f"x.shared_embeddings_p_s_{c}"))
     return out.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", vector("p").alias("part"), vector("s").alias("supplier"))

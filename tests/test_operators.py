@@ -1,5 +1,6 @@
 """Worked examples of every operator, with exact expected sequences."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -491,9 +492,98 @@ def test_starting_values_count_once(spark, partitions):
     assert tuple(totals) == (20, -3)
 
 
-def test_states_of_folds_are_bounded(spark):
-    with pytest.raises(Exception, match="states of at most"):
-        o.fold_rows(seq(spark, 10), "v", b"", lambda s, f: s + bytes(2 << 20), lambda a, b: a + b)
+def test_states_of_folds_may_be_large(spark):
+    grown = o.fold_rows(seq(spark, 10), "v", b"", lambda s, f: s + bytes(2 << 20) + bytes(map(int, f.v)), lambda a, b: a + b)
+    assert len(grown) > 2 << 20 and bytes(b for b in grown if b) == bytes(range(1, 10))
+    large = o.fold_rows(seq(spark, 40), "v", np.zeros(7_000_000), lambda s, f: s + int(f.v.sum()), lambda a, b: a + b)
+    assert large.nbytes > 50_000_000 and (large == 780).all()
+
+
+@pytest.mark.parametrize("partitions", ["1", "8", "40"])
+def test_starting_values_that_are_not_neutral(spark, partitions):
+    """Of the last known value a range that has none must not take the starting value for one."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.range(200).select(F.col("id").alias("k"), F.when(F.col("id") < 10, F.col("id").cast("double")).alias("v"))
+        last = lambda s, f: f.v.dropna().iloc[-1] if f.v.notna().any() else s
+        if partitions != "1":
+            with pytest.raises(Exception, match="give zero"):
+                o.fold_rows(df, "k", 0.0, last, lambda a, b: b)
+        none = "nothing"  # a state of its own for ranges without a value
+        later = lambda a, b: a if isinstance(b, str) else b
+        assert o.fold_rows(df, "k", 0.0, last, later, zero=none) == 9.0
+
+        def emit(state, frame):
+            out = frame.v.ffill().fillna(state)
+            return float(out.iloc[-1]), frame.assign(v=out)
+
+        got = o.scan_rows(df, "k", 0.0, last, later, emit, "k bigint, v double", zero=none).orderBy("k").collect()
+        assert [r.v for r in got] == [min(float(k), 9.0) for k in range(200)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_folds_and_scans_of_nothing(spark):
+    assert o.fold_rows(seq(spark, 0), "v", 5, lambda s, f: s + len(f), lambda a, b: a + b, zero=0) == 5
+    assert o.scan_rows(seq(spark, 0), "v", 0, lambda s, f: s, lambda a, b: a, lambda s, f: (s, f), "v bigint").collect() == []
+
+
+def test_unique_refuses_ties(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (3, "b")], "k int, v string")
+    with pytest.raises(Exception, match="do not order the rows"):
+        o.unique(rows, ["v"], order_by="k").collect()
+    later = spark.createDataFrame([(0, "a"), (1, "a"), (1, "a"), (3, "b")], "k int, v string")
+    assert sorted(tuple(r) for r in o.unique(later, ["v"], order_by="k").collect()) == [(0, "a"), (3, "b")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rebatch_of_uneven_batches(spark, seed):
+    """Batches of any sizes, also empty ones and ones longer than a cycle, over more ranges than there are batches."""
+    rng = np.random.default_rng(seed)
+    batches, at = [], 0
+    for k in range(60):
+        n = int(rng.choice([0, 1, 2, 3, 40]))
+        batches.append((k, list(range(at, at + n)), [str(x) for x in range(at, at + n)]))
+        at += n
+    df = spark.createDataFrame(batches, "k int, a array<int>, b array<string>").repartition(7)
+    sizes = [[5], [3, 1, 2], [100], [1]][seed]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str([4, 30, 90][seed]))
+    try:
+        got = o.rebatch(df, sizes, "k").orderBy("batch_id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want, turn = [], 0
+    while sum(map(len, want)) < at:
+        start = sum(map(len, want))
+        want.append(list(range(start, min(at, start + sizes[turn % len(sizes)]))))
+        turn += 1
+    assert [r.a for r in got] == want and [r.b for r in got] == [[str(x) for x in w] for w in want]
+    assert [r.batch_id for r in got] == list(range(len(want))) and [r["size"] for r in got] == [len(w) for w in want]
+
+
+def test_rebatch_cuts_slices(table):
+    """Batches are cut, not taken apart: nothing is made for an item, and the arrays move once."""
+    batches = table("events").select("event_id", F.array("value").alias("v"))
+    plan = plan_of(o.rebatch(batches, [3, 2], "event_id"))
+    assert plan.count("Exchange") == 1 and "posexplode" not in plan and "slice(" in plan
+
+
+def test_building_a_batch_takes_few_jobs(spark, table):
+    tracker = spark.sparkContext.statusTracker()
+    for make in (lambda: o.batch(table("orders"), 32, "o_orderkey"), lambda: o.take(table("orders"), 1000, "o_orderkey")):
+        spark.sparkContext.setJobGroup("building", "")
+        earlier = len(tracker.getJobIdsForGroup("building"))
+        make()
+        assert len(tracker.getJobIdsForGroup("building")) - earlier <= 6
+    spark.sparkContext.setJobGroup("others", "")
+
+
+def test_window_places_are_arithmetic(spark):
+    """A row makes its own members only: no list as long as the window."""
+    plan = plan_of(o.window(seq(spark, 10), 5000, "v"))
+    assert "sequence(__first" in plan and "filter(" not in plan
 
 
 def test_sources_take_their_turns(spark):
