@@ -100,6 +100,7 @@ class Model:
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """Votes of the nearest labelled vectors, by exact cosines over blocks of rows."""
         out = np.full(len(counts), float(self.labels.mean()) if len(self.labels) else 0.5)
+        out[~counts.any(axis=1)] = min(out[0], 0.5) if len(out) else 0.0  # nothing speaks for them
         some = np.flatnonzero(counts.any(axis=1))
         if len(set(self.labels.tolist())) < 2:
             return out
@@ -164,7 +165,8 @@ def score(df: DataFrame, model: Model, text_col: str = "text", name: str = "scor
     """The rows with a score from 0 to 1, higher where label 1 is likelier, in one pass without a shuffle.
 
     The text is all that the score depends on.  Texts without two bytes, empty and null ones get the share of label 1 among
-    the voters; so do all, if the voters have one label only (0.5 without voters).  A column that has the score's name
+    the voters, but no more than 0.5, so that what says nothing never counts as good; if the voters have one label only, the others
+    get that share (0.5 without voters).  A column that has the score's name
     already is an error.
     """
     if name in df.columns:

@@ -194,7 +194,7 @@ WIDE, BANDS, LEAST_HASHES = 8, 32, 6
 WIDE_ROWS = 8192
 #: Sets of one side that are verified together, and candidates for which it pays to bring them together.
 SETS, CANDIDATES = 512, 500
-PRINTS = "key long, mark long, id long, bits binary, bands array<long>, hashes binary"
+PRINTS = "key long, mark long, id long, bits binary, bands array<long>"
 BANDED = "block int, value long, id long, root long, bits binary"
 MET = "a long, b long, block int, value long, root long, bits binary"
 #: Odd factors that make one hash many.
@@ -347,12 +347,20 @@ def _in_parts(rows: DataFrame) -> DataFrame:
     return dealt.select("block", piece.alias("value"), "id", "root", "bits")
 
 
-def _verified(pairs: DataFrame, prints: DataFrame, n: int, least: float) -> DataFrame:
+def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: int, n: int, least: float) -> DataFrame:
     """The candidates ``(a, b)`` whose sets have a Jaccard similarity of ``least`` or more.
 
+    Sets are made again from the texts of those that are candidates: kept for all, they would be larger than the texts.
     Pairs are dealt out by a part of either side; each set goes once to every two parts that need it.
     """
 
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        per_process("simhash", bool)
+        for batch in batches:
+            data, bounds = utf8(batch.column(1))
+            sets = [shingle_hashes(data[i:j].tobytes(), shingle).tobytes() for i, j in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "hashes"])
+
     def run(asked: pa.Table, sets: pa.Table) -> pa.Table:
         hashes = [np.frombuffer(x, np.uint64) for x in sets.column("hashes").to_pylist()] if sets.num_rows else []
         at = {k: i for i, k in enumerate(sets.column("id").to_pylist())} if sets.num_rows else {}
@@ -372,12 +380,15 @@ def _verified(pairs: DataFrame, prints: DataFrame, n: int, least: float) -> Data
     one, two = (F.pmod(F.xxhash64(x, F.lit("set")), F.lit(parts)) for x in ("a", "b"))
     dealt, drop_dealt = stored(pairs.withColumn("piece", F.least(one, two) * parts + F.greatest(one, two)), "candidates")
     needed, drop_needed = stored(dealt.select("piece", F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
-    sets, drop_sets = stored(prints.select("id", "hashes").join(needed.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "sets")
+    chosen = distinct.select("id", "first.key", "first.mark").join(needed.select("id").distinct(), "id", "left_semi")
+    texts = docs.join(chosen.hint("merge"), docs["mark"].eqNullSafe(chosen["mark"]) & docs["key"].eqNullSafe(chosen["key"])).select("id", "text")
+    sets, drop_sets = stored(texts.mapInArrow(shingled, "id long, hashes binary").dropDuplicates(["id"]), "sets")
+    release(docs.sparkSession)
     found = dealt.groupBy("piece").cogroup(needed.join(sets, "id").groupBy("piece")).applyInArrow(run, "a long, b long")
     links, _ = stored(found, "verified")
     for drop in (drop_dealt, drop_needed, drop_sets):
         drop()
-    release(prints.sparkSession)
+    release(docs.sparkSession)
     return links
 
 
@@ -400,8 +411,8 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             sets = [shingle_hashes(data[i:j].tobytes(), shingle) for i, j in zip(bounds, bounds[1:])]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array([xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in sets], pa.int64()),
-                pa.array([wide_fingerprint(x) for x in sets], pa.binary()), pa.array([band_values(x) for x in sets], pa.list_(pa.int64())),
-                pa.array([x.tobytes() for x in sets], pa.binary())], ["key", "mark", "id", "bits", "bands", "hashes"])
+                pa.array([wide_fingerprint(x) for x in sets], pa.binary()), pa.array([band_values(x) for x in sets], pa.list_(pa.int64()))],
+                ["key", "mark", "id", "bits", "bands"])
 
     def banded(rows: DataFrame) -> DataFrame:
         return rows.select(F.posexplode("bands").alias("block", "value"), "id", "root", "bits").select("block", "value", "id", "root", "bits")
@@ -417,14 +428,15 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     docs = df.select(F.col(id_col).cast("long").alias("key"), F.xxhash64(text).alias("mark"), text.alias("text"))
     prints, _ = stored(docs.mapInArrow(run, PRINTS), "fingerprints")
-    distinct, _ = stored(
-        prints.groupBy("id").agg(F.min("key").alias("low"), F.first("bits").alias("bits"), F.first("bands").alias("bands")), "distinct")
+    first_row = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("first")
+    distinct, drop_distinct = stored(
+        prints.groupBy("id").agg(F.min("key").alias("low"), first_row, F.first("bits").alias("bits"), F.first("bands").alias("bands")), "distinct")
     n = distinct.count()
     release(df.sparkSession)
     first = ordered(banded(distinct.withColumn("root", F.col("id")))).mapInArrow(lambda b: _starred(b, distance), MET)
-    some, _ = stored(first.select("a", "b").distinct(), "candidates")
+    some, drop_some = stored(first.select("a", "b").distinct(), "candidates")
     release(df.sparkSession)
-    found = _verified(some, prints, n, least)
+    found = _verified(some, distinct, docs, shingle, n, least)
     now, drop_now = stored(rooted(found), "roots")
     release(df.sparkSession)
     met, drop_met = stored(ordered(banded(now)).mapInArrow(lambda b: _wide_compared(b, distance, True), MET), "met")
@@ -434,13 +446,17 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         pairs = pairs.unionByName(
             ordered(_in_parts(large)).mapInArrow(lambda b: _wide_compared(b, distance, False), MET).select("a", "b"))
     release(df.sparkSession)
-    rest, _ = stored(pairs.distinct().join(some, ["a", "b"], "left_anti"), "candidates")
+    rest, drop_rest = stored(pairs.distinct().join(some, ["a", "b"], "left_anti"), "candidates")
     drop_met()
+    drop_some()
     release(df.sparkSession)
     if not rest.isEmpty():
-        found = found.unionByName(_verified(rest, prints, n, least))
+        found = found.unionByName(_verified(rest, distinct, docs, shingle, n, least))
         drop_now()
         now, _ = stored(rooted(found), "roots")
     lows = now.groupBy("root").agg(F.min("low").alias("component"))
     named, _ = stored(now.select("id", "root").join(lows, "root").select("id", "component", "root"), "named")
+    drop_rest()
+    drop_distinct()
+    release(df.sparkSession)
     return prints.select("key", "mark", "id").join(named.hint("merge"), "id").select("key", "mark", "component", "root")

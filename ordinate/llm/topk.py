@@ -17,7 +17,7 @@ SHARD, LEAF, BLOCK = 4096, 128, 4096
 EXACT = float(1 << 53)
 
 TREE = "shard int, ids binary, vectors binary, width int, starts binary, stops binary, centers binary, radii binary, children binary"
-FOUND = "query long, vec long, score long"
+FOUND = "query long, ask long, vec long, score long"
 
 
 def usable(vector: Column) -> Column:
@@ -150,33 +150,33 @@ def _built(batches: Iterator[pa.RecordBatch], leaf: int) -> Iterator[pa.RecordBa
 
 
 def _searched(trees: DataFrame, block: DataFrame, k: int, greedy: bool) -> DataFrame:
-    """Candidates of every shard for one block of queries ``(query, vector, least)``, which is broadcast: at most BLOCK rows."""
+    """Candidates of every shard for one block of queries ``(query, ask, vector, least)``, which is broadcast: at most BLOCK rows."""
     by_width: dict[int, list] = {}
     for r in block.collect():
-        by_width.setdefault(len(r["vector"]), []).append((r["query"], -np.inf if r["least"] is None else r["least"], r["vector"]))
+        by_width.setdefault(len(r["vector"]), []).append((r["query"], r["ask"], -np.inf if r["least"] is None else r["least"], r["vector"]))
     asked = {}
     for width, rows in by_width.items():
-        names, least, queries = zip(*rows)
-        asked[width] = np.array(names, np.int64), np.array(queries, np.float64), np.array(least, np.float64)
+        names, asks, least, queries = zip(*rows)
+        asked[width] = np.array(names, np.int64), np.array(asks, np.int64), np.array(queries, np.float64), np.array(least, np.float64)
     shared = trees.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 if row["width"] in shared.value:
-                    names, queries, least = shared.value[row["width"]]
+                    names, asks, queries, least = shared.value[row["width"]]
                     best, ids = Ball(row).search(queries, names, least, k, greedy)
                     there = best > -np.inf
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(names, k).reshape(best.shape)[there]), pa.array(ids[there]), pa.array(best[there].astype(np.int64))],
-                        ["query", "vec", "score"])
+                        [*(pa.array(np.repeat(x, k).reshape(best.shape)[there]) for x in (names, asks)), pa.array(ids[there]),
+                         pa.array(best[there].astype(np.int64))], ["query", "ask", "vec", "score"])
 
     return trees.mapInArrow(run, FOUND)
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
     """The k best of each query: first within groups of shards, so that no task sees all of a query's candidates at once."""
-    return found.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec"))).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("query", "ask").orderBy(F.desc("score"), "vec"))).where(F.col("rank") <= k)
 
 
 def search(
@@ -191,7 +191,7 @@ def search(
     share; then every shard searches the nodes that can still reach it, best bound first.
 
     Vectors that are null or empty, or hold null or non-finite components, take no part, nor do null ids.  Ties go to
-    smaller ids; different vectors under one id are candidates each, repeated rows count once.  Components must be whole numbers, with inner products
+    smaller ids; different vectors under one id are candidates each, and queries each, with ``k`` results of their own; repeated rows count once.  Components must be whole numbers, with inner products
     below 2**53; others raise.  Vectors of another width than a query's are no candidates of it.
 
     :returns: ``(query, rank, vec, score)``, ranks from 1; fewer than ``k`` rows if there are fewer candidates.
@@ -212,14 +212,15 @@ def search(
         dealt.repartition("shard", "width").sortWithinPartitions("shard", "width").select("shard", "width", "key", "vector")
         .mapInArrow(lambda b: _built(b, leaf), TREE).repartition(min(shards, 4096)), "trees")
     drop()
-    asked = valid(queries).select(F.col("key").alias("query"), "vector")
+    # an id and a vector are a query: different vectors under one id each have their own answer
+    asked = valid(queries).select(F.col("key").alias("query"), "vector").distinct().withColumn("ask", F.xxhash64("vector"))
     blocks = max(1, -(-asked.count() // (block // 2)))
     asked, _ = stored(asked.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")), "queries", ["block"])
     out = None
     for number in range(blocks):
-        own = asked.where(F.col("block") == number).select("query", "vector").dropDuplicates(["query"])
+        own = asked.where(F.col("block") == number).select("query", "ask", "vector")
         first = _top(_searched(trees, own.withColumn("least", F.lit(None).cast("double")), k, True), k)
-        kth = first.where(F.col("rank") == k).select("query", F.col("score").cast("double").alias("least"))
-        found, _ = stored(_top(_searched(trees, own.join(kth, "query", "left"), k, False), k), "found")
+        kth = first.where(F.col("rank") == k).select("query", "ask", F.col("score").cast("double").alias("least"))
+        found, _ = stored(_top(_searched(trees, own.join(kth, ["query", "ask"], "left"), k, False), k), "found")
         out = found if out is None else out.unionByName(found)
     return out.select("query", "rank", "vec", "score")

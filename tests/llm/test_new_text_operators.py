@@ -196,3 +196,27 @@ def test_restored(text, x, y, form):
     p, m, s = text[:min(x, y)], text[min(x, y):max(x, y)], text[max(x, y):]
     out = f"<P>{p}<S>{s}<M>{m}" if form == "psm" else f"<S>{s}<P>{p}<M>{m}"
     assert infill.restored(out.encode(), form).decode() == text
+
+
+# --- What earlier operators do with odd rows
+
+
+def test_empty_texts_are_not_good(spark):
+    """Beside any number of good voters, a text that says nothing does not count as good."""
+    from ordinate.llm import quality
+
+    folder = "/root/testdata/sf0.001"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality.fit(spark.read.parquet(f"{folder}/documents.parquet"), labels)
+    assert model.labels.mean() > 0.7
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "\n")], "doc_id long, text string")
+    assert all(r.score <= 0.5 for r in quality.score(odd, model).collect() if r.doc_id < 3)
+
+
+def test_different_vectors_under_one_query_id(spark):
+    from ordinate.llm import topk
+
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [5.0, 1.0]), (2, [1.0, 7.0]), (3, [2.0, 2.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.search(vectors.where("vec_id = 0"), vectors, 2).collect())
+    assert got == sorted([(0, 1, 1, 5), (0, 2, 3, 2), (0, 1, 2, 7), (0, 2, 3, 2)])
