@@ -16,7 +16,7 @@ GROUPS = 16
 #: Words below a node of the trie that are searched together, and at most so many such nodes' worth of inner nodes.
 SHARD, NODES = 8192, 1 << 16
 #: Searches that one task makes in a shard; a shard that more words ask is kept several times.
-ASKED = 1 << 18
+ASKED = 1 << 15
 #: Nodes that a search holds at a time on one level, and pairs that are verified together.
 FRONTIER, PAIRS = 1 << 16, 1 << 16
 #: Levels of the trie whose nodes are counted in one job.
