@@ -12,8 +12,8 @@ from ordinate.llm.common import stored
 #: ``(region, rack, shard, weight)``: the leaves of a tree.  Shards are numbered in this order.
 Leaf = tuple[str, str, str, float]
 
-#: Buckets of a shard within which rows are ranked.
-BUCKETS = 256
+#: Buckets of a shard within which rows are ranked, and the share of rows that one text under one id can have in one of them.
+BUCKETS, SALTS = 1024, 64
 
 
 def even_tree(regions: int, racks: int, shards: int) -> list[Leaf]:
@@ -77,19 +77,23 @@ def shards(df: DataFrame, tree: Sequence[Leaf], id_col: str = "doc_id", text_col
     """Every row's place: ``(key, size, crc, shard, slot, grown_shard)``.
 
     ``size`` is the text's UTF-8 bytes plus 1 (a null text has none), ``crc`` its CRC-32.  ``slot`` numbers a
-    shard's rows from 0 without a gap, by bucket of the key's hash and then by key; repeated rows get slots
-    of their own.  ``grown_shard`` is the shard that the key would have in :func:`grown`.
+    shard's rows from 0 without a gap, by bucket and then by key; repeated rows get slots of their own.
+    ``grown_shard`` is the shard that the key would have in :func:`grown`.  An empty table gives no rows.
 
     The only rows that move are narrow ones, and no task ranks more than a bucket of a shard: counts by
-    shard and bucket, of which there are at most shards times ``BUCKETS``, give where each one starts.
+    shard and bucket, of which there are at most shards times ``BUCKETS``, give where each one starts.  A
+    row's bucket is drawn from its key, its text and its place in the input, so that rows of one id, or copies
+    of one row, are dealt over many buckets.  Buckets are in the stored table that ranks are taken from: what
+    is computed again reads the same ones.
     """
     key = F.col(id_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
     rows, _ = stored(
         df.select(
             key.alias("key"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"),
             shard_of(key, tree).alias("shard"), shard_of(key, grown(tree)).alias("grown_shard"),
-            F.pmod(F.xxhash64(key, F.lit("bucket")), F.lit(BUCKETS)).cast("int").alias("bucket"),
+            F.pmod(F.xxhash64(key, F.crc32(text), salt), F.lit(BUCKETS)).cast("int").alias("bucket"),
         ), "shards")
     counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()  # at most shards x BUCKETS rows
     starts, total = {}, dict.fromkeys(range(len(tree)), 0)
