@@ -18,8 +18,8 @@ from ordinate.llm.common import per_process, pieces
 LIMIT = 2048
 #: Id that ends a document.
 END = 1
-#: What a cut costs, in tokens of padding: after a sentence, and elsewhere.
-SENTENCE, INSIDE = 4, 16
+#: What a cut costs, in tokens of padding: after a sentence, and elsewhere as a share of the limit.
+SENTENCE, INSIDE = 4, 0.25
 #: Sentences longer than twice this may be cut every so many tokens.
 STRIDE = 16
 #: Tokens for which cuts are chosen at a time; the last windows are chosen again with what follows.
@@ -68,7 +68,7 @@ def candidates(ids: np.ndarray, ends: np.ndarray, stops: np.ndarray, limit: int)
     stride = min(STRIDE, limit)
     more = np.where(gaps > 2 * stride, (gaps - 1) // stride, 0)
     inside = np.repeat(natural[:-1], more) + (np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1) * stride
-    cost[inside] = INSIDE
+    cost[inside] = max(SENTENCE, int(INSIDE * limit))
     cost[natural] = SENTENCE
     cost[stops] = 0
     cost[0] = cost[-1] = 0
@@ -136,11 +136,12 @@ def pack(
 ) -> DataFrame:
     """Cut all documents, in their order, into sequences of at most ``limit`` tokens.
 
-    Each document's tokens are followed by the id ``end``; a null or empty text has that one only.  Sequences
-    are cut after documents or sentences where that costs little padding, and each token lies in exactly one
-    piece.  The order is that in which the rows lie in the input's partitions; every partition is packed by
+    Each document's tokens are followed by the id ``end``; a null or empty text has that one only, and an empty
+    table gives no rows.  Sequences are cut after documents or sentences; inside a sentence only where it is longer
+    than ``limit``, or a quarter of a sequence would be padding else.  Each token lies in exactly one piece.  A text
+    of any length is cut like the rest: a task holds its tokens, and at most a million tokens besides.  The order is that in which the rows lie in the input's partitions; every partition is packed by
     itself, in one pass without a shuffle, and its last window is cut to lengths that are powers of two.
-    Keys may be null or repeated.
+    Keys may be null or repeated: each row is a document of its own.
 
     :param path: the rank file, readable on every executor.
     :returns: a row for each piece: ``(key, start, length, ids_crc32, doc_tokens, sequence_id, offset)`` and, on
