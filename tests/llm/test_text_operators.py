@@ -3,8 +3,10 @@
 import base64
 import collections
 import hashlib
+import math
 import random
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -221,6 +223,45 @@ def test_shards_grow_into_themselves(spark):
     assert {(r.key, r.shard) for r in again} == {(r.key, r.grown_shard) for r in got}
 
 
+def test_shards_against_plain_draws(spark):
+    """Each level's draw, computed once more in plain Python."""
+    uneven = [(a, b, c, 1.0 + i % 3) for i, (a, b, c, _) in enumerate(TREE)]
+
+    def draw(key, options):
+        first = lambda name: xxhash.xxh64_intdigest(name.encode(), seed=xxhash.xxh64_intdigest(struct.pack("<q", key), seed=42)) >> 11
+        return min(options, key=lambda name: -math.log((first(name) + 1.0) / 2.0 ** 53) / options[name])
+
+    def plain(key):
+        left = uneven
+        for level in range(3):
+            weights = collections.Counter()
+            for leaf in left:
+                weights[leaf[level]] += leaf[3]
+            chosen = draw(key, weights) if len(weights) > 1 else next(iter(weights))
+            left = [leaf for leaf in left if leaf[level] == chosen]
+        return uneven.index(left[0])
+
+    got = spark.range(-500, 3000).selectExpr("id AS doc_id", "'t' AS text")
+    assert all(r.shard == plain(r.key) for r in sharding.shards(got, uneven).collect())
+
+
+def test_shards_of_one_id(spark):
+    """Rows of one id, copies among them, are dealt over buckets and get slots without gaps."""
+    rows = spark.range(6000).selectExpr("7L AS doc_id", "IF(id % 2 = 0, 'same', CAST(id AS string)) AS text")
+    ranked = []
+
+    def spy(rows, start):
+        ranked.append(rows.groupBy("shard", "bucket").count().agg({"count": "max"}).first()[0])
+        return sharding_ranked(rows, start)
+
+    sharding_ranked = sharding._ranked
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sharding, "_ranked", spy)
+        got = sharding.shards(rows, TREE).collect()
+    assert len({r.shard for r in got}) == 1 and sorted(r.slot for r in got) == list(range(6000))
+    assert ranked[0] < 400
+
+
 def test_shard_weights(spark):
     """Rows leave only for subtrees that gain weight, and shares follow the weights."""
     from pyspark.sql import functions as F
@@ -368,6 +409,23 @@ def test_packing_in_parts(docs, monkeypatch):
     assert sum(128 - n for n in padded) < 0.1 * sum(full.values())
 
 
+def test_cuts_lie_at_sentences():
+    """Inside a sentence only where it is longer than a window, or much would be padding."""
+    rng, limit = np.random.default_rng(3), 1024
+    ends = np.array([False, False, True])
+    lengths = [*rng.integers(2, 60, 800), 3000, *rng.integers(2, 60, 800)]
+    ids = np.concatenate([np.r_[np.ones(n - 1, int), 2] for n in lengths])
+    stops = np.cumsum(lengths)[19::20]
+    stops = np.r_[stops[stops < len(ids)], len(ids)]
+    cuts = packing.best_cuts(*packing.candidates(ids, ends, stops, limit), limit)
+    natural = set(np.cumsum([0, *lengths]).tolist())
+    inside = [c for c in cuts if c not in natural]
+    long = sum(lengths[:800])
+    assert inside and all(long < c < long + 3000 for c in inside)
+    assert max(b - a for a, b in zip(cuts, cuts[1:])) <= limit
+    assert (len(cuts) - 1) * limit - len(ids) < 0.03 * len(ids)
+
+
 def test_best_cuts():
     rng = random.Random(4)
     for _ in range(60):
