@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 import ordinate as o
 from ordinate.plans.registry import query
-from ordinate.streaming import group_by_window_stream, per_micro_batch, run_available, scan_stream, short_windows, unique_stream
+from ordinate.streaming import (
+    group_by_window_stream, per_micro_batch, reduce_stream, reduced, run_available, scan_stream, short_windows, unique_stream,
+)
 from ordinate.scratch import scratch_path
 
 
@@ -68,3 +70,33 @@ def stream_micro_batches(t):
         _events(t).select("event_id"), lambda batch: o.enumerate_rows(batch, "event_id", name="place"), f"{path}/rows", f"{path}/progress")
     query.awaitTermination()
     return t.spark.read.parquet(f"{path}/rows").select("event_id", "place")
+
+
+def _line_files(t):
+    """Line items in files by the year they shipped in, as a stream of one file per micro-batch."""
+    path = scratch_path(t.spark, "years")
+    rows = t.lineitem.select("l_quantity", "l_returnflag", F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+                             F.year("l_shipdate").alias("year"))
+    rows.repartition("year").write.partitionBy("year").parquet(path)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("""
+SELECT count(*) AS n, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents,
+       max(l_quantity) AS largest FROM lineitem
+""")
+def stream_reduce(t):
+    path = scratch_path(t.spark, "totals")
+    totals = {"n": F.count(F.lit(1)), "cents": F.sum("cents"), "largest": F.max("l_quantity")}
+    reduce_stream(_line_files(t), totals, path).awaitTermination()
+    return reduced(t.spark, path)
+
+
+@query("""
+SELECT l_returnflag, count(*) AS n, CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM lineitem GROUP BY 1
+""")
+def stream_reduce_by_key(t):
+    path = scratch_path(t.spark, "totals")
+    totals = {"n": F.count(F.lit(1)), "cents": F.sum("cents")}
+    reduce_stream(_line_files(t), totals, path, key="l_returnflag").awaitTermination()
+    return reduced(t.spark, path, key="l_returnflag")

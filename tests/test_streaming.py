@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import ordinate as o
 from ordinate.functions import all_numeric
 from ordinate.streaming import (
-    group_by_window_stream, per_micro_batch, run_available, scan_stream, short_windows, snapshot_stream, unique_stream,
+    group_by_window_stream, per_micro_batch, reduce_stream, reduced, run_available, scan_stream, short_windows, snapshot_stream, unique_stream,
 )
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -135,3 +135,23 @@ def test_fitted_spec(parts):
     spec = (o.feature_spec(events, ["value", "event_type"], y="event_id").step_numeric_column(all_numeric(), normalizer_fn=o.scaler_min_max())
             .step_categorical_column_with_vocabulary_list("event_type").step_indicator_column("event_type")).fit()
     assert rows(run_available(spec.transform(stream))) == rows(spec.transform(events))
+
+
+def test_reduce_over_micro_batches_and_restarts(spark, table, tmp_path):
+    """Totals go on where they stopped, from the state, and hold what a batch reduction gives."""
+    rows_of = table("events").select("event_id", "user_id", "value")
+    files, totals, keyed = (str(tmp_path / name) for name in ("files", "totals", "keyed"))
+    made = {"n": F.count(F.lit(1)), "last": F.max("event_id"), "cents": F.sum(F.round(F.col("value") * 100).cast("bigint"))}
+    n = rows_of.count()
+    for part in range(3):
+        rows_of.where(f"event_id % 3 = {part}").repartition(2).write.mode("append").parquet(files)
+        stream = spark.readStream.schema(rows_of.schema).option("maxFilesPerTrigger", 1).parquet(files)
+        reduce_stream(stream, made, totals).awaitTermination(120)
+        reduce_stream(stream, made, keyed, key="user_id").awaitTermination(120)
+        sofar = rows_of.where(f"event_id % 3 <= {part}")
+        assert rows(reduced(spark, totals)) == rows(o.reduce_rows(sofar, made))
+        assert rows(reduced(spark, keyed, "user_id")) == rows(sofar.groupBy("user_id").agg(*[c.alias(k) for k, c in made.items()]))
+    assert reduced(spark, totals).first()["n"] == n
+    assert spark.read.parquet(totals + "/totals").select("micro_batch").distinct().count() == 6
+    with pytest.raises(ValueError):
+        reduce_stream(stream, {"user_id": F.count("*")}, totals, key="user_id")
