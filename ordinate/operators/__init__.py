@@ -12,3 +12,4 @@ from ordinate.operators.materialize import cache, collect, single_element, snaps
 from ordinate.operators.position import (
     concatenate, enumerate_rows, repeat, shard, skip, take, take_while, zip_datasets,
 )
+from ordinate.operators.table_functions import flat_map_table, register_functions, row_function, table_function

@@ -625,3 +625,33 @@ def test_padding_of_nested_arrays(spark):
     assert fixed[0] == [[1, -1, -1, -1], [2, 3, -1, -1]] and fixed[2] == [[-1] * 4] * 2
     with pytest.raises(ValueError):
         o.padded_batch(df, 3, "k", columns=["v"], padded_shapes={"v": [1, 2, 3]})
+
+
+def test_table_functions(spark):
+    """Rows from a function of a row, of a partition with a state, and of values in SQL, typed when analyzed."""
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([("a", 2, None), ("a", 1, "x"), ("b", 3, "y"), (None, 4, "z"), (None, 5, "")], "k string, v int, t string").repartition(3)
+    twice = o.table_function(lambda row: [(row["k"], i) for i in range(row["v"] % 3)], "k string, i int")
+    assert sorted(map(tuple, o.flat_map_table(df, twice).collect()), key=str) == sorted(
+        [("a", 0), ("a", 1), ("a", 0), (None, 0), (None, 0), (None, 1)], key=str)
+    plan = o.flat_map_table(df.select("k", "v"), twice)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+    def grow(seen, row):
+        seen.append(row["v"])
+        return ()
+
+    whole = o.table_function(grow, "vs array<int>", start=list, finish=lambda seen: [(seen,)])
+    assert sorted(r.vs for r in o.flat_map_table(df, whole, "k", "v").collect()) == [[1, 2], [3], [4, 5]]
+    assert o.flat_map_table(df.where("false"), whole, "k", "v").collect() == []
+    with pytest.raises(ValueError):
+        o.flat_map_table(df, whole, order_by="v")
+    with pytest.raises(ValueError):
+        o.table_function(grow, "vs array<int>", finish=lambda seen: [])
+
+    same = o.row_function(lambda value: [] if value is None else [(value,)], lambda kind: T.StructType([T.StructField("same", kind)]))
+    o.register_functions(spark, {"test_same": same})
+    out = spark.sql("SELECT v, same FROM {df} AS d, LATERAL test_same(d.t)", df=df)
+    assert out.schema["same"].dataType == T.StringType() and sorted(map(tuple, out.collect())) == [(1, "x"), (3, "y"), (4, "z"), (5, "")]
+    assert spark.sql("SELECT same FROM test_same(7)").schema["same"].dataType == T.IntegerType()
