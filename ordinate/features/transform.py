@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ordinate.features import steps as S
+from ordinate.features import held, steps as S
 from ordinate.features.fit import Learned
 from ordinate.features.spec import FeatureSpec, default_dimension
 from ordinate.functions.hashing import hash_bucket, parts_text
@@ -62,7 +62,8 @@ class FittedSpec:
 
         ``keep`` adds input columns.  Vocabularies and embeddings of any size are joined.  A digest stands for each
         different array; its items travel with that, never with the array, and each different one is looked up once.
-        That takes an aggregate: on a stream, look-ups of arrays are an error.
+        That takes an aggregate, so on a stream arrays are looked up in tables of up to 64 MB that workers hold;
+        larger ones are an error that names ``per_micro_batch``, where there is no bound.
         """
         out = df
         made: dict[str, Column] = {}
@@ -166,7 +167,13 @@ class FittedSpec:
             text = key.cast("string")
             found = df.join(table, text == F.col("__value"), "left")
             return found.withColumn(column, _or_unknown(F.col("__id"), text, step, vocab.size)).drop("__id", "__value")
-        narrow = _narrow(df, step.name, key)
+        if df.isStreaming:
+            texts = F.transform(key, lambda v: v.cast("string"))
+            found = held.places(vocab.table.select("value", F.col("id").cast("bigint").alias("id")), step.name)
+            out = df.withColumn("__texts", texts).withColumn("__places", found(F.col("__texts")))
+            ids = F.zip_with("__places", "__texts", lambda place, text: _or_unknown(place, text, step, vocab.size))
+            return out.withColumn(column, ids).drop("__texts", "__places")
+        narrow = _narrow(df, key)
         # (outer, as the optimizer would else compute arrays twice, to leave out empty ones before they are split)
         items = narrow.select("__digest", F.posexplode_outer("__array").alias("__pos", "__item")).where("__pos is not null")
         items = items.select("__digest", "__pos", F.col("__item").cast("string").alias("__text")).distinct()
@@ -191,9 +198,12 @@ class FittedSpec:
             # only ids that can be in a table take part; Spark's skew handling spreads a common one
             found = df.join(table, F.when(ids >= 0, ids.cast("bigint")) == F.col("__id"), "left")
             return found.withColumn(column, F.coalesce("__vector", zeros)).drop("__id", "__vector")
+        if df.isStreaming:
+            weights = table.select(F.col("__id").alias("id"), F.col("__vector").alias("vector"))
+            return df.withColumn(column, held.combined(weights, step.name, d, step.combiner)(ids.cast("array<bigint>")))
         # equal ids of an array are counted in its row, before vectors join: one row for each, not for each item
         # (outer as above)
-        items = _with_counts(_narrow(df, step.name, ids), F.col("__array"), "__counts").select("__digest", F.inline_outer("__counts"))
+        items = _with_counts(_narrow(df, ids), F.col("__array"), "__counts").select("__digest", F.inline_outer("__counts"))
         items = items.where("id is not null").distinct().join(table, F.col("id") == F.col("__id"))
         # one partial sum per dimension: no list of vectors is ever gathered
         sums = [F.sum(F.get("__vector", F.lit(i)) * F.col("times")).alias(f"__s{i}") for i in range(d)]
@@ -220,10 +230,8 @@ def _digest(array: Column) -> Column:
     return F.unhex(F.md5(F.to_json(F.struct(array.alias("a")))))
 
 
-def _narrow(df: DataFrame, name: str, array: Column) -> DataFrame:
+def _narrow(df: DataFrame, array: Column) -> DataFrame:
     """The arrays, as ``__array``, with their digests."""
-    if df.isStreaming:
-        raise ValueError(f"{name} looks up arrays by an aggregate, which a stream does not allow: use per_micro_batch")
     return df.select(_digest(array).alias("__digest"), array.alias("__array"))
 
 

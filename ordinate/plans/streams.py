@@ -4,6 +4,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 import ordinate as o
+from ordinate.features import feature_spec, use_spec
 from ordinate.plans.registry import query
 from ordinate.streaming import (
     group_by_window_stream, per_micro_batch, reduce_stream, reduced, run_available, scan_stream, short_windows, unique_stream,
@@ -100,3 +101,28 @@ def stream_reduce_by_key(t):
     totals = {"n": F.count(F.lit(1)), "cents": F.sum("cents")}
     reduce_stream(_line_files(t), totals, path, key="l_returnflag").awaitTermination()
     return reduced(t.spark, path, key="l_returnflag")
+
+
+@query("""
+WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS words FROM conversations),
+     i AS (SELECT conv_id, turn, unnest(words) AS word, unnest(range(len(words))) AS pos FROM w),
+     v AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS id FROM (SELECT DISTINCT word FROM i)),
+     x AS (SELECT conv_id, turn, string_agg(v.id, ',' ORDER BY pos) AS ids FROM i JOIN v USING (word) GROUP BY 1, 2),
+     n AS (SELECT conv_id, turn, count(*) AS n FROM i JOIN v USING (word) JOIN embeddings ON vec_id = v.id GROUP BY 1, 2),
+     p AS (SELECT conv_id, turn, d, sum(embedding[d]::DOUBLE) AS s
+           FROM i JOIN v USING (word) JOIN embeddings ON vec_id = v.id, range(1, 65) r(d) GROUP BY 1, 2, 3),
+     e AS (SELECT conv_id, turn, CAST(sum(d * CAST(round(s / n * 1000000) AS BIGINT)) AS BIGINT) AS digest FROM p JOIN n USING (conv_id, turn) GROUP BY 1, 2)
+SELECT conv_id, turn, ids, coalesce(digest, 0) AS digest FROM x LEFT JOIN e USING (conv_id, turn)
+""")
+def stream_words(t):
+    """Words looked up in a vocabulary, and the vectors of their ids, on a stream of four micro-batches."""
+    path = scratch_path(t.spark, "turns")
+    words = t.conversations.select("conv_id", "turn", F.split("text", " ").alias("words"))
+    words.repartition(4, "conv_id").write.parquet(path)
+    vectors = t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    spec = (feature_spec(words, ["words"]).step_categorical_column_with_vocabulary_list("words")
+            .step_embedding_column("words", dimension=64, combiner="mean", weights=vectors)).fit()
+    stream = t.spark.readStream.schema(words.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    x = run_available(use_spec(stream, spec, keep=["conv_id", "turn"]))
+    sums = F.aggregate(F.transform("x.embedding_words", lambda v, i: (i + 1) * F.round(v * 1000000).cast("bigint")), F.lit(0).cast("bigint"), lambda a, b: a + b)
+    return x.select("conv_id", "turn", F.array_join(F.col("x.words").cast("array<string>"), ",").alias("ids"), sums.alias("digest"))

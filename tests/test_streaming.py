@@ -155,3 +155,29 @@ def test_reduce_over_micro_batches_and_restarts(spark, table, tmp_path):
     assert spark.read.parquet(totals + "/totals").select("micro_batch").distinct().count() == 6
     with pytest.raises(ValueError):
         reduce_stream(stream, {"user_id": F.count("*")}, totals, key="user_id")
+
+
+def test_arrays_on_streams(spark, tmp_path, monkeypatch):
+    """Array look-ups give what they give on a table: nulls, empty arrays, unknown values, ids without a vector."""
+    from ordinate.features import held
+
+    monkeypatch.setattr(held, "ITEMS", 3)
+    data = [(0, ["b", "a", "b"]), (1, []), (2, None), (3, [None, "zz", "a"]), (4, ["c"] * 7), (5, ["b", None, "c", "a"])]
+    df = spark.createDataFrame(data, "k int, w array<string>").repartition(2)
+    path = str(tmp_path / "words")
+    df.write.parquet(path)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    weights = spark.createDataFrame([(0, [3.0, 4.0]), (1, [0.5, 0.25]), (3, [1.0, 1.0])], "id long, vector array<double>")
+    for combiner in ("sum", "mean", "sqrtn"):
+        spec = (o.feature_spec(df.where("k <> 3"), ["w"]).step_categorical_column_with_vocabulary_list("w", num_oov_buckets=1)
+                .step_embedding_column("w", dimension=2, combiner=combiner, max_norm=2.0, weights=weights)
+                .step_indicator_column("w")).fit()
+        show = lambda d: [str((r.k, r.x.asDict())) for r in spec.transform(d, keep=["k"]).select(
+            "k", F.struct("x.w", "x.indicator_w", F.transform("x.embedding_w", lambda v: F.round(v, 9)).alias("v")).alias("x")).sort("k").collect()]
+        done = run_available(spec.transform(stream, keep=["k"]))
+        got = [str((r.k, r.x.asDict())) for r in done.select(
+            "k", F.struct("x.w", "x.indicator_w", F.transform("x.embedding_w", lambda v: F.round(v, 9)).alias("v")).alias("x")).sort("k").collect()]
+        assert got == show(df)
+    monkeypatch.setattr(held, "MOST_BYTES", 10)
+    with pytest.raises(ValueError, match="per_micro_batch"):
+        spec.transform(stream)
