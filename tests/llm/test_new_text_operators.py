@@ -220,3 +220,60 @@ def test_different_vectors_under_one_query_id(spark):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = sorted(tuple(r) for r in topk.search(vectors.where("vec_id = 0"), vectors, 2).collect())
     assert got == sorted([(0, 1, 1, 5), (0, 2, 3, 2), (0, 1, 2, 7), (0, 2, 3, 2)])
+
+
+# --- quality: words and runs of code points, and the vote itself
+
+
+def test_vote_against_brute_force(spark):
+    """Scores are those of an exact vote: every voter ranked by its cosine, in double precision."""
+    from ordinate.llm import quality
+
+    folder = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality.fit(docs, labels, neighbours=7)
+    assert model.share in quality.SHARES and {0.0, 1.0} == set(model.labels)
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    voters = model.vectors.astype(float)
+    for r in docs.collect():
+        counts = quality.every_count(pa.array([r.text], pa.string()))
+        if not counts.any():
+            continue
+        own = model.latent(counts)[0].astype(float)
+        cosine = [sum(x * y for x, y in zip(own, v)) for v in voters]
+        ranked = sorted(range(len(voters)), key=lambda i: -cosine[i])
+        if abs(cosine[ranked[6]] - cosine[ranked[7]]) < 1e-6:  # a tie at the edge may go either way
+            continue
+        weights = [max(0.0, cosine[i]) ** 4 for i in ranked[:7]]
+        want = sum(w * model.labels[i] for w, i in zip(weights, ranked)) / sum(weights)
+        assert abs(got[r.doc_id] - want) < 1e-4, r.doc_id
+
+
+def test_words_and_runs_of_code_points(monkeypatch):
+    from ordinate.llm import quality
+
+    texts = ["Größe und größe", "漢字漢字", "字漢字漢", "漢字 漢字", None, "", "a b", "ÄÖÜ"]
+    counts = quality.every_count(pa.array(texts))
+    w, r = (counts[:, quality.FAMILIES[k]:quality.FAMILIES[k + 1]] for k in (1, 2))
+    assert w.sum(axis=1).tolist() == [len((t or "").split()) for t in texts]
+    assert r.sum(axis=1).tolist() == [max(0, len(t or "") - 2) for t in texts]
+    assert w[0].max() == 2  # letters A-Z of either case are one word
+    assert (w[1] != w[2]).any() and not (w[1] != w[3] / 2).all()
+    assert (quality.every_count(pa.array(["xyz"] + texts[:1]))[1] == counts[0]).all()  # neighbours in a batch do not matter
+    monkeypatch.setattr(quality, "STRETCH", 64)
+    long = "漢字かな交じり文 and words " * 50
+    assert quality.every_count(pa.array([long]))[0, quality.FAMILIES[2]:].sum() > 0.8 * len(long)
+
+
+def test_voters_choose_the_say_of_words(spark):
+    """Where only words tell good from bad, the space uses them."""
+    from ordinate.llm import quality
+
+    rng = random.Random(4)
+    good, bad = ["漢字", "文章", "学校", "先生", "図書"], ["広告", "無料", "登録", "限定", "今日"]
+    rows = [(k, " ".join(rng.choice(good if k % 2 else bad) for _ in range(40))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    right = [(r.score >= 0.7) == (r.doc_id % 2 == 1) for r in quality.score(docs, model).collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    assert model.share > 0 and sum(right) == len(right) > 50
