@@ -7,7 +7,8 @@ import ordinate as o
 from ordinate.features import feature_spec, use_spec
 from ordinate.plans.registry import query
 from ordinate.streaming import (
-    group_by_window_stream, per_micro_batch, reduce_stream, reduced, run_available, scan_stream, short_windows, unique_stream,
+    column_state, group_by_window_stream, per_micro_batch, reduce_stream, reduced, run_available, scan_stream, short_windows, timed_windows,
+    typed_scan, unique_stream,
 )
 from ordinate.scratch import scratch_path
 
@@ -73,6 +74,55 @@ def stream_micro_batches(t):
     return t.spark.read.parquet(f"{path}/rows").select("event_id", "place")
 
 
+def _event_files(t):
+    """Events in four steps of their ids, each user's of a step in one file, and a last file with a mark of a later time."""
+    path = scratch_path(t.spark, "steps")
+    rows = t.events.select("event_id", "user_id", "value", F.col("ts").cast("timestamp").alias("ts"))
+    most, latest = rows.agg(F.max("event_id"), F.max("ts")).first()
+    for step in range(4):  # one after the other, as streams read files by their age
+        mine = rows.where(F.expr(f"event_id * 4 div {(most or 0) + 1} = {step}"))
+        mine.repartition("user_id").write.parquet(f"{path}/step={step}")
+    mark = t.spark.range(1).select(F.lit(-1).cast("bigint").alias("event_id"), F.lit(-1).cast("bigint").alias("user_id"), F.lit(0.0).alias("value"),
+                                   F.timestamp_add("DAY", F.lit(365), F.lit(latest)).alias("ts"))
+    mark.write.parquet(f"{path}/step=4")
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path).select("event_id", "user_id", "value", "ts")
+
+
+@query("""
+WITH k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS ord FROM events)
+SELECT user_id AS key, ord // 10 AS window, count(*) AS n, min(event_id) AS first_event, max(event_id) AS last_event,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM k GROUP BY 1, 2
+""")
+def stream_timed_windows(t):
+    """Windows of ten events of each user over several micro-batches; a later event's time gives out the short ones."""
+    def reduce(key, number, frame):
+        cents = int((frame.value * 100).round().astype("int64").sum())
+        return pd.DataFrame({"key": [key[0]], "window": [number], "n": [len(frame)], "first_event": [frame.event_id.min()],
+                             "last_event": [frame.event_id.max()], "cents": [cents]})
+
+    schema = "key bigint, window bigint, n bigint, first_event bigint, last_event bigint, cents bigint"
+    windows = timed_windows(_event_files(t), "user_id", "event_id", 10, reduce, schema, "ts", "60 days", quiet_ms=60 * 86_400_000)
+    with column_state(t.spark):
+        return run_available(windows).where("key >= 0")
+
+
+@query("""
+SELECT event_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS cents,
+       row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events
+""")
+def stream_typed_scan(t):
+    """Running totals and counts of each user over several micro-batches, as two columns of state."""
+    def emit(held, frame):
+        cents = (frame.value * 100).round().astype("int64").cumsum() + held[0]
+        out = pd.DataFrame({"event_id": frame.event_id, "cents": cents, "n": range(held[1] + 1, held[1] + 1 + len(frame))})
+        return (int(cents.iloc[-1]), held[1] + len(frame)), out
+
+    rows = typed_scan(_event_files(t), "user_id", "event_id", "cents bigint, n bigint", (0, 0), emit, "event_id bigint, cents bigint, n bigint")
+    with column_state(t.spark):
+        return run_available(rows).where("event_id >= 0")
+
+
 def _line_files(t):
     """Line items in files by the year they shipped in, as a stream of one file per micro-batch."""
     path = scratch_path(t.spark, "years")

@@ -1,17 +1,19 @@
 """Streams give what the batch operators give on the same rows."""
 
+import datetime
 import sys
 import time
 
 import pandas as pd
 import pytest
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 import ordinate as o
 from ordinate.functions import all_numeric
 from ordinate.streaming import (
-    group_by_window_stream, per_micro_batch, reduce_stream, reduced, run_available, scan_stream, short_windows, snapshot_stream, unique_stream,
+    column_state, group_by_window_stream, per_micro_batch, reduce_stream, reduced, run_available, scan_stream, short_windows, snapshot_stream,
+    timed_windows, typed_scan, unique_stream,
 )
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -181,3 +183,49 @@ def test_arrays_on_streams(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(held, "MOST_BYTES", 10)
     with pytest.raises(ValueError, match="per_micro_batch"):
         spec.transform(stream)
+
+
+def test_timed_windows_over_restarts(spark, tmp_path):
+    """State lives through restarts; a quiet key gives its short window once the stream's time has passed it; late rows go."""
+    files, out = str(tmp_path / "files"), str(tmp_path / "out")
+    schema = "k string, n int, ts timestamp, `odd name` string"
+    day = lambda d: datetime.datetime(2024, 3, 1) + datetime.timedelta(days=d)
+    steps = [
+        [("a", 1, day(0), "x"), ("a", 0, day(0), None), ("b", 0, day(1), "y"), (None, 0, day(1), "z")],
+        [("a", 2, day(2), "x"), ("a", 3, day(2), "x"), (None, 1, day(2), "z"), ("a", 9, None, "x")],
+        [("a", 4, day(4), "x"), ("c", 0, day(40), "w")],
+        [("late", 0, day(3), "v"), ("b", 1, day(41), "y"), ("c", 1, day(41), "w")],
+        [("end", 0, day(400), "v")],
+    ]
+
+    def reduce(key, number, frame):
+        return pd.DataFrame({"k": [key[0]], "window": [number], "ns": [",".join(map(str, frame.n))], "odd": [",".join(str(v) for v in frame["odd name"].fillna("-"))]})
+
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    for number, rows_of in enumerate(steps):
+        spark.createDataFrame(rows_of, schema).coalesce(1).write.mode("append").parquet(files)
+        stream = spark.readStream.schema(schema).parquet(files)
+        windows = timed_windows(stream, "k", "n", 3, reduce, "k string, window int, ns string, odd string", "ts", "1 day", 10 * 86_400_000)
+        with column_state(spark):
+            snapshot_stream(windows, out).awaitTermination(120)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    got = {tuple(r) for r in spark.read.parquet(f"{out}/data").collect()}
+    assert got == {("a", 0, "0,1,2", "-,x,x"), ("a", 1, "3,4", "x,x"), (None, 0, "0,1", "z,z"), ("b", 0, "0", "y"), ("b", 1, "1", "y"), ("c", 0, "0,1", "w,w")}
+    with pytest.raises(ValueError):
+        timed_windows(stream.withColumn("__event_ms", F.lit(1)), "k", "n", 3, reduce, "k string", "ts", "1 day", 1)
+
+
+def test_typed_scan(parts, spark):
+    events, stream = parts
+
+    def emit(held, frame):
+        totals = (frame.value * 100).round().astype("int64").cumsum() + held[0]
+        return (int(totals.iloc[-1]), held[1] + len(frame)), pd.DataFrame({"event_id": frame.event_id, "cents": totals, "seen": held[1]})
+
+    made = typed_scan(stream, "user_id", "event_id", "cents bigint, n bigint", (0, 0), emit, "event_id bigint, cents bigint, seen bigint")
+    with column_state(spark):
+        got = run_available(made)
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    want = events.select("event_id", F.sum(cents).over(Window.partitionBy("user_id").orderBy("event_id")).alias("cents"))
+    assert rows(got.select("event_id", "cents")) == rows(want)
+    assert got.agg(F.max("seen")).first()[0] > 0
