@@ -42,6 +42,21 @@ def delimited_defaults(t):
     return rows.select(F.col("k").cast("bigint").alias("k"), F.col("even").cast("bigint").alias("even"), "status")
 
 
+@query("""
+SELECT o_orderkey % 4 AS part, row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey) - 1 AS line, o_orderkey, o_orderpriority FROM orders
+""")
+def unpacked_lines(t):
+    """Lines of files of which the caller, and not a name, says how they are compressed."""
+    path = scratch_path(t.spark, "packed")
+    rows = t.orders.select("o_orderkey", "o_orderpriority", (F.col("o_orderkey") % 4).alias("part"))
+    rows = rows.repartition(4, "part").sortWithinPartitions("part", "o_orderkey")
+    rows.write.partitionBy("part").option("compression", "deflate").csv(path)
+    spec = o.csv_record_spec(names=["o_orderkey", "o_orderpriority"], types=["integer", "character"])
+    decoded = o.text_lines(t.spark, f"{path}/*/*.csv.deflate", spec, with_position=True, compression="ZLIB")
+    part = F.regexp_extract("path", "part=([0-9]+)", 1).cast("bigint")
+    return decoded.select(part.alias("part"), "line", F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderpriority")
+
+
 @query("""
 SELECT o_orderkey % 4 AS part, row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey) AS line, o_orderkey, o_orderpriority FROM orders
 """)

@@ -46,12 +46,12 @@ def _locate(path: str):
     return fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if single else path)
 
 
-def _open(path: str):
+def open_file(path: str):
     system, name = _locate(path)
     return system.open_input_file(name)
 
 
-def _spread(splits: DataFrame, *by: str) -> DataFrame:
+def spread(splits: DataFrame, *by: str) -> DataFrame:
     """One task's worth of splits per partition.
 
     The rows are only descriptions of what to read, so without a fixed number of
@@ -83,7 +83,7 @@ def fixed_length_records(
         step = max(1, CHUNK_BYTES // record_bytes)
         for frame in frames:
             for path, first, count in frame.itertuples(index=False):
-                with _open(path) as file:
+                with open_file(path) as file:
                     file.seek(header_bytes + first * record_bytes)
                     for start in range(first, first + count, step):
                         size = min(step, first + count - start)
@@ -94,7 +94,7 @@ def fixed_length_records(
                             "value": [data[i:i + record_bytes] for i in range(0, len(data), record_bytes)],
                         })
 
-    return _spread(splits, "path", "first").mapInPandas(read, "path string, record bigint, value binary")
+    return spread(splits, "path", "first").mapInPandas(read, "path string, record bigint, value binary")
 
 
 # -- length-framed records -----------------------------------------------------
@@ -140,13 +140,13 @@ def _masked_crcs(payloads: list[bytes]) -> list[int]:
 
 def _stream(path: str, compression: str | None):
     if compression == "GZIP":
-        return gzip.GzipFile(fileobj=_open(path))
-    return _Inflated(_open(path)) if compression == "ZLIB" else _buffered(path)
+        return gzip.GzipFile(fileobj=open_file(path))
+    return _Inflated(open_file(path)) if compression == "ZLIB" else _buffered(path)
 
 
 def _buffered(path: str):
     """An uncompressed file, read in pieces: one request for many small records."""
-    return io.BufferedReader(_open(path), CHUNK_BYTES)
+    return io.BufferedReader(open_file(path), CHUNK_BYTES)
 
 
 class _Inflated:
@@ -204,7 +204,7 @@ def framed_records(
     """
     if compression not in (None, "GZIP", "ZLIB"):
         raise ValueError("compression must be None, GZIP or ZLIB")
-    files = _spread(file_list(spark, paths, shuffle=False).where("length > 0").select("path", "length"), "path")
+    files = spread(file_list(spark, paths, shuffle=False).where("length > 0").select("path", "length"), "path")
     if compression is None:
         splits = files.mapInPandas(lambda frames: _walk(frames, split_bytes), "path string, offset bigint, first bigint, count bigint")
     else:
@@ -227,7 +227,7 @@ def framed_records(
                     if rows:
                         yield pd.DataFrame({"path": path, "record": np.arange(at, at + len(rows)), "value": rows})
 
-    return _spread(splits, "path", "offset").mapInPandas(read, "path string, record bigint, value binary")
+    return spread(splits, "path", "offset").mapInPandas(read, "path string, record bigint, value binary")
 
 
 def _walk(frames, split_bytes: int):

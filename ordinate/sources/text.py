@@ -2,32 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ordinate.operators.batching import batch
 from ordinate.operators.combine import shuffle_and_repeat
 from ordinate.operators.position import repeat
+from ordinate.sources.files import file_list
 from ordinate.sources.record_spec import SPARK_TYPES, TYPE_DEFAULTS, RecordSpec, fitting_types
+from ordinate.sources.records import CHUNK_BYTES, open_file, spread
 
 _BAD = "__bad"
+#: Named compressions, and the headers that zlib is told to expect.
+WINDOW_BITS = {"GZIP": 31, "ZLIB": 15}
 
 
 def text_lines(
-    spark: SparkSession, paths, record_spec: RecordSpec | None = None, with_position: bool = False, streaming: bool = False
+    spark: SparkSession, paths, record_spec: RecordSpec | None = None, with_position: bool = False, streaming: bool = False,
+    compression: str | None = None,
 ) -> DataFrame:
     """Lines of text files as ``value``, or decoded columns when a spec is given.
 
-    ``.gz`` and ``.deflate`` files are unpacked by their extension.  ``with_position``
+    ``.gz`` and ``.deflate`` files are unpacked by their extension.  With ``compression``, ``GZIP`` or ``ZLIB``, all files
+    are unpacked that way, whatever their names; a file that is not of that kind, or ends early, is an error.  ``with_position``
     adds ``path`` and the 0-based ``line`` in the file, which order the lines.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if compression is not None and compression not in WINDOW_BITS:
+        raise ValueError(f"compression must be None or one of {sorted(WINDOW_BITS)}, got {compression}")
     if streaming:
-        if len(paths) != 1 or with_position:
-            raise ValueError("a stream reads one directory and has no line positions")
+        if len(paths) != 1 or with_position or compression:
+            raise ValueError("a stream reads one directory, has no line positions and no named compression")
         lines = spark.readStream.text(paths[0])
         return decode_delim(lines, record_spec) if record_spec else lines
+    if compression is not None:
+        lines = _unpacked_lines(spark, paths, compression)
+        rows = decode_delim(lines, record_spec) if record_spec else lines
+        return rows if with_position else rows.drop("path", "line")
     if record_spec is not None and record_spec.skip <= 1 and not with_position:
         return _decode(_raw_csv(spark, paths, record_spec), record_spec)
     if not with_position and record_spec is None:
@@ -39,6 +53,70 @@ def text_lines(
     return decoded if with_position else decoded.drop("path", "line")
 
 
+def _unpacked(file, path: str, compression: str) -> Iterator[bytes]:
+    """A compressed file's content in pieces; streams that follow each other in a file are read one after the other."""
+    unpack, data, begun = zlib.decompressobj(WINDOW_BITS[compression]), b"", False
+    while True:
+        data = data or file.read(CHUNK_BYTES)
+        if unpack.eof:
+            data = data.lstrip(b"\0")  # files may be padded
+        if not data:
+            if unpack.eof or not begun:
+                return
+            yield unpack.flush()
+            if not unpack.eof:
+                raise ValueError(f"{path} ends within its {compression} data")
+            continue
+        if unpack.eof:
+            unpack = zlib.decompressobj(WINDOW_BITS[compression])
+        begun = True
+        yield unpack.decompress(data, CHUNK_BYTES)
+        data = unpack.unconsumed_tail or unpack.unused_data
+
+
+def _lines(chunks: Iterator[bytes]) -> Iterator[list[bytes]]:
+    """Lines that end with LF, CR LF or CR, some at a time.  A line that spans many chunks is put together once."""
+    held: list[bytes] = []
+    after_cr = False
+    for chunk in chunks:
+        if not chunk:
+            continue
+        if after_cr and chunk.startswith(b"\n"):
+            chunk = chunk[1:]  # its CR has ended the line
+        after_cr = chunk.endswith(b"\r") if chunk else False
+        *done, rest = chunk.replace(b"\r\n", b"\n").replace(b"\r", b"\n").split(b"\n")
+        if done:
+            done[0] = b"".join([*held, done[0]])
+            held = []
+            yield done
+        held.append(rest)
+    last = b"".join(held)
+    if last:
+        yield [last]
+
+
+def _unpacked_lines(spark: SparkSession, paths: list[str], compression: str) -> DataFrame:
+    """Lines of compressed files with file and number, one task per file: such a file can only be read from its start.
+
+    Lines are counted as they are read, so no file's lines are ranked or moved.  Bytes go on as they are.
+    """
+    files = spread(file_list(spark, paths, shuffle=False).where("length > 0").select("path"), "path")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                at = 0
+                with open_file(path) as file:
+                    for lines in _lines(_unpacked(file, path, compression)):
+                        n = len(lines)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([path] * n), pa.array(range(at, at + n), pa.int64()), pa.array(lines, pa.binary())], ["path", "line", "value"])
+                        at += n
+
+    read_lines = files.mapInArrow(read, "path string, line bigint, value binary")
+    return read_lines.select("path", "line", F.col("value").cast("string").alias("value"))
+
+
 def _numbered(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Lines with their file and number.
 

@@ -313,3 +313,42 @@ def test_csv_dataset_shuffled_in_blocks(spark, tmp_path):
     got = [r.a for r in batches.orderBy("batch_id").collect()]
     assert [sorted(a) for a in got] == [list(range(k, k + 10)) for k in (0, 10, 20, 30)] * 2
     assert got[:4] != got[4:] and got[0] != sorted(got[0])
+
+
+@pytest.mark.parametrize("compression", ["GZIP", "ZLIB"])
+def test_named_compression(spark, tmp_path, compression):
+    """The caller's word counts, not the name: lines, numbers, records, joined streams, padding, odd files."""
+    pack = {"GZIP": gzip.compress, "ZLIB": zlib.compress}[compression]
+    content = {
+        "a.txt": "x,1\ny,2\n", "b.gz.old": "é,3\r\n,4\rz,5", "c": "", "d.bin": "\n\nlast\n", "e": "l" * 9_000_000 + "\n" + "m" * 10 + "\r\n"}
+    for name, text in content.items():
+        (tmp_path / name).write_bytes(pack(text.encode()))
+    (tmp_path / "f").write_bytes(pack(b"one\ntw") + pack(b"o\nthree") + bytes(5))
+    (tmp_path / "g").write_bytes(b"")
+    got = o.text_lines(spark, str(tmp_path), with_position=True, compression=compression).collect()
+    lines = {}
+    for r in sorted(got, key=lambda r: (r.path, r.line)):
+        lines.setdefault(r.path.rsplit("/", 1)[1], []).append((r.line, r.value))
+    want = {"a.txt": ["x,1", "y,2"], "b.gz.old": ["é,3", ",4", "z,5"], "d.bin": ["", "", "last"], "e": ["l" * 9_000_000, "m" * 10], "f": ["one", "two", "three"]}
+    assert lines == {k: list(enumerate(v)) for k, v in want.items()}
+    spec = o.csv_record_spec(names=["a", "b"], types="ci", skip=1)
+    pair = [str(tmp_path / "a.txt"), str(tmp_path / "b.gz.old")]
+    assert sorted((r.a or "", r.b) for r in o.text_lines(spark, pair, spec, compression=compression).collect()) == [("", 4), ("y", 2), ("z", 5)]
+    (tmp_path / "short").write_bytes(pack(content["a.txt"].encode() * 100)[:-6])
+    with pytest.raises(Exception, match="ends within"):
+        o.text_lines(spark, str(tmp_path / "short"), compression=compression).collect()
+    (tmp_path / "plain").write_bytes(b"not packed at all")
+    with pytest.raises(Exception):
+        o.text_lines(spark, str(tmp_path / "plain"), compression=compression).collect()
+    with pytest.raises(ValueError):
+        o.text_lines(spark, str(tmp_path), compression="LZ9")
+
+
+def test_lines_do_not_depend_on_pieces():
+    """CR, LF and CR LF end lines wherever the content is cut."""
+    from ordinate.sources.text import _lines
+
+    text = b"a\r\nb\rc\n\n\r\r\nd\n\re"
+    want = [b"a", b"b", b"c", b"", b"", b"", b"d", b"", b"e"]
+    for size in range(1, len(text) + 1):
+        assert [line for some in _lines(text[i:i + size] for i in range(0, len(text), size)) for line in some] == want, size
