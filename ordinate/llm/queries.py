@@ -41,7 +41,10 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["number"] + 1), s["start"], s["stop"])), ",")
 
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["number"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(credentials.BASE)]
+    def count(number):
+        return F.size(F.filter("spans", lambda s: s["number"] == number)).cast("long")  # (a second argument would be the place)
+
+    counts = [count(number).alias(f"n_{name}") for number, name in enumerate(credentials.BASE)]
     return rows.select(F.col("key").alias("doc_id"), *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 

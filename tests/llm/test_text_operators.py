@@ -299,6 +299,19 @@ def test_base_secrets(docs, rows, nothing):
     assert credentials.credentials(nothing).collect() == []
 
 
+def test_secrets_are_counted_by_kind(spark, tmp_path):
+    """Counts go by a span's kind, wherever it stands among the spans."""
+    from ordinate.llm import queries
+
+    key, hex_run = "AKIA" + "B" * 16, "0123456789abcdef" * 2
+    texts = [f"user=robert password=abcdef1 {key} {hex_run}", f"{hex_run} {hex_run} token: abcdef1 secret=abcdef2 {key}", key, "none", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex) for r in queries.op3_secrets(spark, str(tmp_path)).collect()}
+    assert got == {i: tuple(sum(s[1] == k for s in plain_base(t)) for k in range(3)) for i, t in enumerate(texts)}
+    assert got[0] == (1, 1, 1) and got[1] == (2, 1, 2)
+
+
 def test_weak_parts_need_partners(spark):
     blob, far = "q8Zk3LmN0pQrS5tUvWxYz1A2b3C4d5E6f7G8h9I0", "." * 300
     texts = [
