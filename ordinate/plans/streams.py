@@ -1,5 +1,7 @@
 """Streaming forms, run over the files that are there now."""
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -75,7 +77,10 @@ def stream_micro_batches(t):
 
 
 def _event_files(t):
-    """Events in four steps of their ids, each user's of a step in one file, and a last file with a mark of a later time."""
+    """Events in four steps of their ids, each user's of a step in one file, and a last file with a mark of a later time.
+
+    A micro-batch takes as many files as a step has at most, so that there are no more micro-batches when there are more events.
+    """
     path = scratch_path(t.spark, "steps")
     rows = t.events.select("event_id", "user_id", "value", F.col("ts").cast("timestamp").alias("ts"))
     most, latest = rows.agg(F.max("event_id"), F.max("ts")).first()
@@ -85,7 +90,9 @@ def _event_files(t):
     mark = t.spark.range(1).select(F.lit(-1).cast("bigint").alias("event_id"), F.lit(-1).cast("bigint").alias("user_id"), F.lit(0.0).alias("value"),
                                    F.timestamp_add("DAY", F.lit(365), F.lit(latest)).alias("ts"))
     mark.write.parquet(f"{path}/step=4")
-    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path).select("event_id", "user_id", "value", "ts")
+    files = Counter(file.rsplit("/", 2)[1] for file in t.spark.read.parquet(path).inputFiles())
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(files.values()))
+    return stream.parquet(path).select("event_id", "user_id", "value", "ts")
 
 
 @query("""
@@ -98,10 +105,10 @@ def stream_timed_windows(t):
     """Windows of ten events of each user over several micro-batches; a later event's time gives out the short ones."""
     def reduce(key, number, frame):
         cents = int((frame.value * 100).round().astype("int64").sum())
-        return pd.DataFrame({"key": [key[0]], "window": [number], "n": [len(frame)], "first_event": [frame.event_id.min()],
-                             "last_event": [frame.event_id.max()], "cents": [cents]})
+        return pd.DataFrame([(key[0], number, len(frame), frame.event_id.min(), frame.event_id.max(), cents)], columns=columns)
 
-    schema = "key bigint, window bigint, n bigint, first_event bigint, last_event bigint, cents bigint"
+    columns = ["key", "window", "n", "first_event", "last_event", "cents"]
+    schema = ", ".join(f"{name} bigint" for name in columns)
     windows = timed_windows(_event_files(t), "user_id", "event_id", 10, reduce, schema, "ts", "60 days", quiet_ms=60 * 86_400_000)
     with column_state(t.spark):
         return run_available(windows).where("key >= 0")

@@ -1,6 +1,7 @@
 """Streams give what the batch operators give on the same rows."""
 
 import datetime
+import os
 import sys
 import time
 
@@ -229,3 +230,25 @@ def test_typed_scan(parts, spark):
     want = events.select("event_id", F.sum(cents).over(Window.partitionBy("user_id").orderBy("event_id")).alias("cents"))
     assert rows(got.select("event_id", "cents")) == rows(want)
     assert got.agg(F.max("seen")).first()[0] > 0
+
+
+def test_steps_of_events_are_few_micro_batches(spark, tmp_path):
+    """However many files a step has, it is about one micro-batch; steps stay in order."""
+    from ordinate.plans import streams
+    from ordinate.plans.registry import Tables
+
+    made = spark.range(400).select(
+        F.col("id").alias("event_id"), (F.col("id") % 37).alias("user_id"), (F.col("id") / 4).alias("value"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("ts"))
+    made.write.parquet(f"{tmp_path}/events.parquet")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which makes one file of a small step
+    try:
+        stream = streams._event_files(Tables(spark, str(tmp_path)))
+        out = str(tmp_path / "out")
+        snapshot_stream(stream, out).awaitTermination(120)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert 2 <= len([f for f in os.listdir(f"{out}/progress/commits") if f.isdigit()]) <= 6
+    got = spark.read.parquet(f"{out}/data")
+    assert rows(got.where("event_id >= 0")) == rows(made.select(got.columns)) and got.where("event_id < 0").count() == 1
