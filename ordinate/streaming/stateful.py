@@ -42,12 +42,22 @@ def _arrived(rows: Iterator[pd.DataFrame], names: list[str], order: list[str]) -
     Spark may hand over frames without rows or columns, and gives columns whose names are no identifiers other ones.
     """
     frames = [frame.set_axis(names, axis=1) for frame in rows if len(frame)]
-    return pd.concat(frames).sort_values(order, ignore_index=True) if frames else pd.DataFrame(columns=names)
+    if not frames:
+        return pd.DataFrame(columns=names)
+    return (pd.concat(frames) if len(frames) > 1 else frames[0]).sort_values(order, ignore_index=True)
 
 
 def _tuples(frame: pd.DataFrame) -> list[tuple]:
     """Rows with nulls as None, which the state store takes."""
-    return list(frame.astype(object).where(frame.notna(), None).itertuples(index=False, name=None))
+    columns = (frame.iloc[:, i] for i in range(frame.shape[1]))
+    return list(zip(*([None if null else v for v, null in zip(c.tolist(), c.isna().tolist())] for c in columns)))
+
+
+def _together(frames: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A key's results as one frame, as each goes to Spark by itself, unless their types differ."""
+    if len(frames) > 1 and all(frame.dtypes.equals(frames[0].dtypes) for frame in frames[1:]):
+        frames = [pd.concat(frames, ignore_index=True)]
+    yield from frames
 
 
 class _Windows(StatefulProcessor):
@@ -67,22 +77,25 @@ class _Windows(StatefulProcessor):
         if not len(fresh):
             return
         now = int(fresh[_DUE].max())
-        number, latest = self._progress.get() if self._progress.exists() else (0, None)
-        if self._waiting.exists():
-            held = pd.DataFrame(list(self._waiting.get()), columns=self._names).astype(fresh.dtypes.to_dict())
+        number, latest = self._progress.get() or (0, None)  # each call asks the store: none more than needed
+        waiting = list(self._waiting.get()) if latest is not None else []
+        if waiting:
+            held = pd.DataFrame(waiting, columns=self._names).astype(fresh.dtypes.to_dict())
             fresh = pd.concat([held, fresh], ignore_index=True)
         size = self._size(key) if callable(self._size) else self._size
         full = len(fresh) // size * size
-        for start in range(0, full, size):
-            yield self._reduce(key, number, fresh[self._columns].iloc[start:start + size])
-            number += 1
+        columns = fresh[self._columns]
+        yield from _together([
+            self._reduce(key, number + i, columns.iloc[start:start + size]) for i, start in enumerate(range(0, full, size))])
+        number += full // size
         rest = fresh.iloc[full:]
-        if full and not len(rest):
+        if waiting and not len(rest):
             self._waiting.clear()
         elif len(rest):
             self._waiting.put(_tuples(rest))
         if latest is not None:
-            self._handle.deleteTimer(latest + self._gap)
+            if waiting:
+                self._handle.deleteTimer(latest + self._gap)
             now = max(now, latest)
         if len(rest):
             self._handle.registerTimer(now + self._gap)
@@ -90,7 +103,7 @@ class _Windows(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         number, latest = self._progress.get()
-        held = list(self._waiting.get()) if self._waiting.exists() else []
+        held = list(self._waiting.get())
         if held:
             frame = pd.DataFrame(held, columns=self._names)
             self._waiting.clear()
@@ -131,7 +144,7 @@ class _Scan(StatefulProcessor):
         self._held = handle.getValueState("held", self._state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = tuple(self._held.get()) if self._held.exists() else self._initial
+        held = self._held.get() or self._initial
         fresh = _arrived(rows, self._names, self._order)
         if len(fresh):
             held, out = self._emit(held, fresh)
