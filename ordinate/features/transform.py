@@ -173,16 +173,19 @@ class FittedSpec:
             out = df.withColumn("__texts", texts).withColumn("__places", found(F.col("__texts")))
             ids = F.zip_with("__places", "__texts", lambda place, text: _or_unknown(place, text, step, vocab.size))
             return out.withColumn(column, ids).drop("__texts", "__places")
-        narrow = _narrow(df, key)
+        # arrays are narrower than their items, which then lie where they are put together again, unless the join moves them
+        narrow = _narrow(df, key).groupBy("__digest").agg(F.first("__array").alias("__array"))
         # (outer, as the optimizer would else compute arrays twice, to leave out empty ones before they are split)
         items = narrow.select("__digest", F.posexplode_outer("__array").alias("__pos", "__item")).where("__pos is not null")
-        items = items.select("__digest", "__pos", F.col("__item").cast("string").alias("__text")).distinct()
+        items = items.select("__digest", "__pos", F.col("__item").cast("string").alias("__text"))
         items = items.join(table, F.col("__text") == F.col("__value"), "left")
         ids = _or_unknown(F.col("__id"), F.col("__text"), step, vocab.size)
         gathered = F.sort_array(F.collect_list(F.struct("__pos", ids.alias("id"))))
         rows = items.groupBy("__digest").agg(gathered.getField("id").alias(column))
-        out = df.withColumn("__digest", _digest(key)).join(rows, "__digest", "left").drop("__digest")
-        return out.withColumn(column, F.when(key.isNotNull(), F.coalesce(F.col(f"`{column}`"), F.array().cast("array<bigint>"))))
+        # after the join only whether there was an array counts, so that arrays do not go through it
+        out = df.withColumn("__digest", _digest(key)).withColumn("__there", key.isNotNull()).join(rows, "__digest", "left")
+        ids = F.when(F.col("__there"), F.coalesce(F.col(f"`{column}`"), F.array().cast("array<bigint>")))
+        return out.withColumn(column, ids).drop("__digest", "__there")
 
     def _embedded(self, df: DataFrame, step: S.Embedding, column: str) -> DataFrame:
         if step.weights is None:
@@ -226,7 +229,7 @@ class FittedSpec:
 
 
 def _digest(array: Column) -> Column:
-    """What stands for an array in shuffles: 16 bytes, null for null."""
+    """What stands for an array in shuffles: 16 bytes."""
     return F.unhex(F.md5(F.to_json(F.struct(array.alias("a")))))
 
 
