@@ -195,10 +195,11 @@ class FittedSpec:
         vector = F.when(F.size(vector) == d, vector).otherwise(F.raise_error(F.lit(f"{step.name} needs vectors of {d} numbers")))
         table = step.weights.select(F.col("id").cast("bigint").alias("__id"), _clipped(vector, step.max_norm).alias("__vector"))
         table = table.where("__id >= 0")
+        table = table if df.isStreaming else self._reachable(table, step, d)
         zeros = F.array_repeat(F.lit(0.0), d)
         ids = F.col(f"`__f_{step.source}`")
         if not isinstance(df.schema[f"__f_{step.source}"].dataType, T.ArrayType):
-            # only ids that can be in a table take part; Spark's skew handling spreads a common one
+            # only ids that can be in a table take part
             found = df.join(table, F.when(ids >= 0, ids.cast("bigint")) == F.col("__id"), "left")
             return found.withColumn(column, F.coalesce("__vector", zeros)).drop("__id", "__vector")
         if df.isStreaming:
@@ -216,6 +217,17 @@ class FittedSpec:
         out = df.withColumn("__digest", _digest(ids)).join(combined, "__digest", "left").drop("__digest")
         return out.withColumn(column, F.coalesce(F.col(f"`{column}`"), zeros))
 
+    def _reachable(self, table: DataFrame, step: S.Embedding, d: int) -> DataFrame:
+        """The vectors of ids that the step's source can give; every task gets them all if they are small.
+
+        So no rows are dealt out by id: one that most rows have would be one task's work, too few bytes for Spark to split.
+        Tables that stay larger are joined by shuffling.
+        """
+        source = self.spec._ids_step(step.source)
+        default = getattr(source, "default_value", None)
+        near = table.where(F.col("__id") < max(self.size(step.source), -1 if default is None else default + 1))
+        return F.broadcast(near) if near.count() * 8 * (d + 4) <= held.MOST_BYTES else near
+
     def _dense(self, out: DataFrame, name: str, step: S.Step) -> Column:
         value = F.col(f"`__f_{name}`")
         if isinstance(step, S.Bucketized):
