@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -194,22 +194,40 @@ WIDE, BANDS, LEAST_HASHES = 8, 32, 6
 WIDE_ROWS = 8192
 #: Sets of one side that are verified together, and candidates for which it pays to bring them together.
 SETS, CANDIDATES = 512, 500
-PRINTS = "key long, mark long, id long, bits binary, bands array<long>"
-BANDED = "block int, value long, id long, root long, bits binary"
-MET = "a long, b long, block int, value long, root long, bits binary"
+#: Texts of a band's value whose sets are verified against each other in one piece.
+CROWD_ROWS = 2048
+PRINTS = "key long, mark long, id long, fingerprint long, bits binary, bands array<long>"
+PAIRS = "a long, b long"
+#: Rows of a band.  Of two rows with sides only those of different sides are compared; ``alone`` is for rows without one.
+BANDED = ["block", "value", "id", "root", "side", "bits"]
+MET = "block int, value long, id long, root long, side int, bits binary, met boolean"
+ALONE = -1
 #: Odd factors that make one hash many.
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * LEAST_HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingle_hashes(text: bytes, size: int) -> np.ndarray:
-    """The set of a text's word shingles as sorted hashes; empty if it has no word."""
+def all_hashes(text: bytes, size: int) -> np.ndarray:
+    """The hashes of a text's word shingles, repeats included; empty if it has no word."""
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     if len(words) < size:
         words, size = [b" ".join(words)], 1
     shingles = map(b" ".join, zip(*(words[k:] for k in range(size)))) if size > 1 else words
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64))
+    return np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64)
+
+
+def shingle_hashes(text: bytes, size: int) -> np.ndarray:
+    """The set of a text's word shingles as sorted hashes; empty if it has no word."""
+    return np.unique(all_hashes(text, size))
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """The SimHash of a text of which these are all shingles' hashes, as :func:`fingerprint` gives it."""
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), HELD):
+        ones += np.unpackbits(hashes[at:at + HELD].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big", signed=True)
 
 
 def band_values(hashes: np.ndarray) -> np.ndarray:
@@ -252,59 +270,56 @@ def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
 
-def _met(a, b) -> pa.RecordBatch:
-    n = len(a)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-         pa.nulls(n, pa.binary())], ["a", "b", "block", "value", "root", "bits"])
-
-
 def _starred(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
     """Rows in the order of blocks and values: candidates with the first row of a value in the batch and with the row before."""
     for batch in batches:
         if not batch.num_rows:
             continue
         block, value, ids = (batch.column(k).to_numpy() for k in range(3))
-        rows = _bits(batch.column(4))
+        rows = _bits(batch.column(BANDED.index("bits")))
         new = np.r_[True, (block[1:] != block[:-1]) | (value[1:] != value[:-1])]
         start = np.flatnonzero(new)[np.cumsum(new) - 1]
         at = np.flatnonzero(~new)
         i, j = np.r_[start[at], at - 1], np.r_[at, at]
         near = _apart(rows[i], rows[j]) <= distance
-        yield _met(np.minimum(ids[i], ids[j])[near], np.maximum(ids[i], ids[j])[near])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(ids[i], ids[j])[near], pa.int64()), pa.array(np.maximum(ids[i], ids[j])[near], pa.int64())], ["a", "b"])
 
 
-def _pairs_of(table: pa.Table, distance: int) -> Iterator[pa.RecordBatch]:
-    """Every two rows of one block and value whose fingerprints are near and whose roots differ."""
-    block, value, ids, root = (table.column(name).to_numpy() for name in ("block", "value", "id", "root"))
+def _members_of(table: pa.Table, distance: int) -> Iterator[pa.RecordBatch]:
+    """The rows that have another of their block and value whose fingerprint is near and whose root differs: each once, no pairs."""
+    block, value, root, side = (table.column(name).to_numpy() for name in ("block", "value", "root", "side"))
     rows = _bits(table.column("bits").combine_chunks())
     starts = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (value[1:] != value[:-1])])
     sizes = np.diff(np.r_[starts, len(rows)])
     group = np.repeat(np.arange(len(starts)), sizes)
+    met = np.zeros(len(rows), bool)
     for lag in range(1, min(64, int(sizes.max(initial=1)))):
-        i = np.flatnonzero((group[lag:] == group[:-lag]) & (root[lag:] != root[:-lag]))
+        i = np.flatnonzero((group[lag:] == group[:-lag]) & (root[lag:] != root[:-lag]) & _meet(side[lag:], side[:-lag]))
         i = i[_apart(rows[i], rows[i + lag]) <= distance]
-        if len(i):
-            yield _met(np.minimum(ids[i], ids[i + lag]), np.maximum(ids[i], ids[i + lag]))
+        met[i] = met[i + lag] = True
     for g in np.flatnonzero(sizes > 64):
         end = starts[g] + sizes[g]
         for i in range(starts[g], end - 64):
-            j = np.flatnonzero(root[i + 64:end] != root[i]) + i + 64
+            j = np.flatnonzero((root[i + 64:end] != root[i]) & _meet(side[i + 64:end], side[i])) + i + 64
             j = j[_apart(rows[j], rows[i]) <= distance]
-            if len(j):
-                yield _met(np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j]))
+            met[j] = True
+            met[i] |= len(j) > 0
+    if met.any():
+        yield _flagged(table.filter(pa.array(met)), True)
 
 
-def _wide_compared(batches: Iterator[pa.RecordBatch], distance: int, narrow: bool) -> Iterator[pa.RecordBatch]:
-    """Rows ``(block, value, id, root, bits)`` in the order of blocks and values: candidates, or the rows of a large value again."""
+def _meet(one, two):
+    return (one == ALONE) | (one != two)
+
+
+def _flagged(table: pa.Table, met: bool) -> pa.RecordBatch:
+    columns = [table.column(name).combine_chunks() for name in BANDED]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(table.num_rows, met))], [*BANDED, "met"])
 
-    def deferred(table: pa.Table):
-        n = table.num_rows
-        columns = {name: table.column(name).combine_chunks() for name in table.column_names}
-        yield pa.RecordBatch.from_arrays(
-            [columns["id"], pa.nulls(n, pa.int64()), columns["block"], columns["value"], columns["root"], columns["bits"]],
-            ["a", "b", "block", "value", "root", "bits"])
 
+def _wide_compared(batches: Iterator[pa.RecordBatch], distance: int, narrow: bool) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of blocks and values: those that met others, or all rows of a large value, which wait."""
     held, wide = None, None
     for batch in batches:
         if not batch.num_rows:
@@ -321,38 +336,39 @@ def _wide_compared(batches: Iterator[pa.RecordBatch], distance: int, narrow: boo
             if wide is not None:  # the rest of a value whose rows were put off
                 own = int(((block[:cut] == wide[0]) & (value[:cut] == wide[1])).sum())
                 if own:
-                    yield from deferred(head.slice(0, own))
+                    yield _flagged(head.slice(0, own), False)
                 head, wide = head.slice(own), None
             if head.num_rows:
-                yield from _pairs_of(head, distance)
+                yield from _members_of(head, distance)
         held = table.slice(cut)
         if narrow and (held.num_rows > WIDE_ROWS or wide == mark):
-            yield from deferred(held)
+            yield _flagged(held, False)
             held, wide = None, mark
     if held is not None and held.num_rows:
         if wide is not None and wide == (held.column("block")[0].as_py(), held.column("value")[0].as_py()):
-            yield from deferred(held)
+            yield _flagged(held, False)
         else:
-            yield from _pairs_of(held, distance)
+            yield from _members_of(held, distance)
 
 
-def _in_parts(rows: DataFrame) -> DataFrame:
-    """The rows of large values dealt out so that any two of a value meet, in pieces of about ``WIDE_ROWS``."""
-    sizes, _ = stored(rows.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")), "large")
-    parts = F.ceil(2 * F.col("n") / WIDE_ROWS).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit("part")), parts).cast("int")
-    dealt = rows.join(sizes.hint("merge"), ["block", "value"]).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.greatest(parts - 1, F.lit(0)))))
-    piece = F.xxhash64("value", F.least("own", "other"), F.greatest("own", "other"))
-    return dealt.select("block", piece.alias("value"), "id", "root", "bits")
+def _in_parts(rows: DataFrame, most: int, side: str) -> DataFrame:
+    """The rows of large values dealt out so that any two of a value meet once, in pieces of about ``most``.
 
+    A piece holds two parts, whose rows get different sides, or one part against itself.
+    """
+    sizes, _ = stored(rows.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")), "large")
+    parts = F.ceil(2 * F.col("n") / most).cast("int")
+    own = F.pmod(F.xxhash64("id", F.lit(side)), parts).cast("int")
+    dealt = rows.join(sizes.hint("merge"), ["block", "value"]).withColumn(
+        "own", F.when(F.col("n") <= most, 0).otherwise(own)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.when(F.col("n") <= most, 0).otherwise(parts - 1))))
+    piece = F.when(F.col("n") <= most, F.col("value")).otherwise(F.xxhash64("value", F.least("own", "other"), F.greatest("own", "other")))
+    sided = F.when(F.col("own") == F.col("other"), ALONE).otherwise((F.col("own") > F.col("other")).cast("int"))
+    return dealt.withColumn("value", piece).withColumn(side, sided).drop("n", "own", "other")
 
-def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: int, n: int, least: float) -> DataFrame:
-    """The candidates ``(a, b)`` whose sets have a Jaccard similarity of ``least`` or more.
 
-    Sets are made again from the texts of those that are candidates: kept for all, they would be larger than the texts.
-    Pairs are dealt out by a part of either side; each set goes once to every two parts that need it.
-    """
+def _sets_of(ids: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: int) -> tuple[DataFrame, Callable[[], None]]:
+    """``(id, hashes)``: sets of shingles, made again from the texts.  Kept for all, they would be larger than the texts."""
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         per_process("simhash", bool)
@@ -361,16 +377,68 @@ def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: i
             sets = [shingle_hashes(data[i:j].tobytes(), shingle).tobytes() for i, j in zip(bounds, bounds[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "hashes"])
 
+    chosen = distinct.select("id", "first.key", "first.mark").join(ids.select("id").distinct(), "id", "left_semi")
+    texts = docs.join(chosen.hint("merge"), docs["mark"].eqNullSafe(chosen["mark"]) & docs["key"].eqNullSafe(chosen["key"])).select("id", "text")
+    return stored(texts.mapInArrow(shingled, "id long, hashes binary").dropDuplicates(["id"]), "sets")
+
+
+def _alike(one: np.ndarray, two: np.ndarray, least: float) -> bool:
+    if min(len(one), len(two)) < least * max(len(one), len(two)):
+        return False
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return common >= least * (len(one) + len(two) - common)
+
+
+def _crowd_links(table: pa.Table, distance: int, least: float) -> pa.Table:
+    """Links that connect the texts of one block and value that verified pairs connect: fewer than there are texts.
+
+    Two texts are compared in the first band that they share, if their fingerprints are near and nothing connects them yet.
+    """
+    ids, roots, side, part = (table.column(name).to_numpy() for name in ("id", "root", "side", "part"))
+    block, rows = table.column("block")[0].as_py(), _bits(table.column("bits").combine_chunks())
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[:, :block]
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    group, a, b = np.unique(roots, return_inverse=True)[1], [], []
+    for i in range(len(ids) - 1):
+        j = np.arange(i + 1, len(ids))
+        j = j[(group[j] != group[i]) & _meet(side[j], side[i]) & _meet(part[j], part[i])
+              & (np.minimum(sizes[j], sizes[i]) >= least * np.maximum(sizes[j], sizes[i]))]
+        j = j[_apart(rows[j], rows[i]) <= distance]
+        j = j[~(bands[j] == bands[i]).any(axis=1)]
+        for k in j:
+            if group[k] != group[i] and _alike(sets[i], sets[k], least):
+                group[group == group[k]] = group[i]
+                a.append(min(ids[i], ids[k]))
+                b.append(max(ids[i], ids[k]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _connected(members: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: int, distance: int, least: float) -> DataFrame:
+    """Links between texts that met others in a band's value; sets go to each piece of a value, and no pairs come out."""
+    dealt, drop_dealt = stored(_in_parts(members, CROWD_ROWS, "part"), "crowds")
+    sets, drop_sets = _sets_of(dealt, distinct, docs, shingle)
+    release(docs.sparkSession)
+    held = sets.join(distinct.select("id", "bands"), "id")
+    links, _ = stored(dealt.join(held, "id").groupBy("block", "value").applyInArrow(lambda t: _crowd_links(t, distance, least), PAIRS), "verified")
+    for drop in (drop_dealt, drop_sets):
+        drop()
+    release(docs.sparkSession)
+    return links
+
+
+def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: int, n: int, least: float) -> DataFrame:
+    """The candidates ``(a, b)`` whose sets have a Jaccard similarity of ``least`` or more.
+
+    Pairs are dealt out by a part of either side; each set goes once to every two parts that need it.
+    """
+
     def run(asked: pa.Table, sets: pa.Table) -> pa.Table:
         hashes = [np.frombuffer(x, np.uint64) for x in sets.column("hashes").to_pylist()] if sets.num_rows else []
         at = {k: i for i, k in enumerate(sets.column("id").to_pylist())} if sets.num_rows else {}
         a, b = [], []
         for x, y in zip(asked.column("a").to_pylist(), asked.column("b").to_pylist()):
-            one, two = hashes[at[x]], hashes[at[y]]
-            if min(len(one), len(two)) < least * max(len(one), len(two)):
-                continue
-            common = len(np.intersect1d(one, two, assume_unique=True))
-            if common >= least * (len(one) + len(two) - common):
+            if _alike(hashes[at[x]], hashes[at[y]], least):
                 a.append(x)
                 b.append(y)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -380,9 +448,7 @@ def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: i
     one, two = (F.pmod(F.xxhash64(x, F.lit("set")), F.lit(parts)) for x in ("a", "b"))
     dealt, drop_dealt = stored(pairs.withColumn("piece", F.least(one, two) * parts + F.greatest(one, two)), "candidates")
     needed, drop_needed = stored(dealt.select("piece", F.explode(F.array("a", "b")).alias("id")).distinct(), "needed")
-    chosen = distinct.select("id", "first.key", "first.mark").join(needed.select("id").distinct(), "id", "left_semi")
-    texts = docs.join(chosen.hint("merge"), docs["mark"].eqNullSafe(chosen["mark"]) & docs["key"].eqNullSafe(chosen["key"])).select("id", "text")
-    sets, drop_sets = stored(texts.mapInArrow(shingled, "id long, hashes binary").dropDuplicates(["id"]), "sets")
+    sets, drop_sets = _sets_of(needed, distinct, docs, shingle)
     release(docs.sparkSession)
     found = dealt.groupBy("piece").cogroup(needed.join(sets, "id").groupBy("piece")).applyInArrow(run, "a long, b long")
     links, _ = stored(found, "verified")
@@ -392,13 +458,25 @@ def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, shingle: i
     return links
 
 
+def _met_by_print(prints: DataFrame, distance: int = 3) -> DataFrame:
+    """Candidates ``(a, b)`` that connect the texts whose SimHashes are equal or within so many bits, by the blocks of :func:`links`."""
+    lows, _ = stored(prints.groupBy("fingerprint").agg(F.min("id").alias("low")), "lows")
+    near, _ = stored(links(lows.select("fingerprint"), distance), "near")
+    same = prints.join(lows, "fingerprint").select(F.col("low").alias("a"), F.col("id").alias("b"))
+    end = lambda name: lows.select(F.col("fingerprint").alias(name), F.col("low").alias(f"low_{name}"))
+    other = near.join(end("a"), "a").join(end("b"), "b").select(F.least("low_a", "low_b").alias("a"), F.greatest("low_a", "low_b").alias("b"))
+    return same.unionByName(other).where("a <> b")
+
+
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, least: float = 0.8) -> DataFrame:
     """Groups of texts whose sets of word shingles have a Jaccard similarity of ``least`` or more, by chains.
 
-    Texts that agree in one of ``BANDS`` bands of least hashes meet, and those whose fingerprints of 512 bits are near
-    are candidates; a link is what the sets themselves verify.  First candidates are few for each text; then
-    every candidate whose ends these did not join.  Values of more than ``WIDE_ROWS`` texts are compared part against
-    part, so that all of theirs meet too.  Copies meet as one set first.  Texts without a word are alike.
+    Texts whose SimHashes differ in at most three bits meet, as in :func:`simhash_groups`.  A similarity of ``least`` leaves more
+    bits different than that, so texts that agree in one of ``BANDS`` bands of least hashes meet too, if their fingerprints of
+    512 bits are near.  A link is what the sets themselves verify.  First candidates are few for each text; then
+    the texts that these did not join are compared inside each value of a band, which gives connecting links, not pairs.  Values
+    of more than ``WIDE_ROWS`` texts are compared part against part, so that all of theirs meet too.  Copies meet as
+    one set first.  Texts without a word are alike.
 
     :returns: ``(key, mark, component, root)`` for each row; ``mark`` is the text's hash, ``component`` the smallest key,
         ``root`` the number of the group.
@@ -408,14 +486,18 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         per_process("simhash", bool)  # what other operators keep goes
         for batch in batches:
             data, bounds = utf8(batch.column(2))
-            sets = [shingle_hashes(data[i:j].tobytes(), shingle) for i, j in zip(bounds, bounds[1:])]
+            prints, sets = [], []
+            for i, j in zip(bounds, bounds[1:]):
+                hashes = all_hashes(data[i:j].tobytes(), shingle)
+                prints.append(print_of(hashes))
+                sets.append(np.unique(hashes))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array([xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) for x in sets], pa.int64()),
-                pa.array([wide_fingerprint(x) for x in sets], pa.binary()), pa.array([band_values(x) for x in sets], pa.list_(pa.int64()))],
-                ["key", "mark", "id", "bits", "bands"])
+                pa.array(prints, pa.int64()), pa.array([wide_fingerprint(x) for x in sets], pa.binary()), pa.array([band_values(x) for x in sets], pa.list_(pa.int64()))],
+                ["key", "mark", "id", "fingerprint", "bits", "bands"])
 
     def banded(rows: DataFrame) -> DataFrame:
-        return rows.select(F.posexplode("bands").alias("block", "value"), "id", "root", "bits").select("block", "value", "id", "root", "bits")
+        return rows.select(F.posexplode("bands").alias("block", "value"), "id", "root", F.lit(ALONE).alias("side"), "bits").select(*BANDED)
 
     def ordered(rows: DataFrame) -> DataFrame:
         return rows.repartition("block", "value").sortWithinPartitions("block", "value")
@@ -433,30 +515,29 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         prints.groupBy("id").agg(F.min("key").alias("low"), first_row, F.first("bits").alias("bits"), F.first("bands").alias("bands")), "distinct")
     n = distinct.count()
     release(df.sparkSession)
-    first = ordered(banded(distinct.withColumn("root", F.col("id")))).mapInArrow(lambda b: _starred(b, distance), MET)
-    some, drop_some = stored(first.select("a", "b").distinct(), "candidates")
+    first = ordered(banded(distinct.withColumn("root", F.col("id")))).mapInArrow(lambda b: _starred(b, distance), PAIRS)
+    by_print = _met_by_print(prints.select("id", "fingerprint").distinct())
+    some, drop_some = stored(by_print.unionByName(first).distinct(), "candidates")
     release(df.sparkSession)
     found = _verified(some, distinct, docs, shingle, n, least)
+    drop_some()
     now, drop_now = stored(rooted(found), "roots")
     release(df.sparkSession)
     met, drop_met = stored(ordered(banded(now)).mapInArrow(lambda b: _wide_compared(b, distance, True), MET), "met")
-    large = met.where("b is null").select("block", "value", F.col("a").alias("id"), "root", "bits")
-    pairs = met.where("b is not null").select("a", "b")
+    large, members = met.where("not met").drop("met"), met.where("met").drop("met")
     if not large.isEmpty():
-        pairs = pairs.unionByName(
-            ordered(_in_parts(large)).mapInArrow(lambda b: _wide_compared(b, distance, False), MET).select("a", "b"))
+        members = members.unionByName(
+            ordered(_in_parts(large, WIDE_ROWS, "side").select(*BANDED)).mapInArrow(lambda b: _wide_compared(b, distance, False), MET).drop("met"))
     release(df.sparkSession)
-    rest, drop_rest = stored(pairs.distinct().join(some, ["a", "b"], "left_anti"), "candidates")
+    members, drop_members = stored(members, "members")
     drop_met()
-    drop_some()
-    release(df.sparkSession)
-    if not rest.isEmpty():
-        found = found.unionByName(_verified(rest, distinct, docs, shingle, n, least))
+    if not members.isEmpty():
+        found = found.unionByName(_connected(members, distinct, docs, shingle, distance, least))
         drop_now()
         now, _ = stored(rooted(found), "roots")
+    drop_members()
     lows = now.groupBy("root").agg(F.min("low").alias("component"))
     named, _ = stored(now.select("id", "root").join(lows, "root").select("id", "component", "root"), "named")
-    drop_rest()
     drop_distinct()
     release(df.sparkSession)
     return prints.select("key", "mark", "id").join(named.hint("merge"), "id").select("key", "mark", "component", "root")

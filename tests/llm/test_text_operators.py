@@ -195,6 +195,29 @@ def test_similar_groups_of_a_crowd_around_one_template(spark, monkeypatch):
     assert len(set(got.values())) >= 150
 
 
+def test_a_crowd_of_candidates_leaves_rows_not_pairs():
+    """Texts of one value that are all near each other, in groups of their own, come out once each."""
+    import pyarrow as pa
+
+    n = 300
+    batch = pa.RecordBatch.from_arrays([
+        pa.array([4] * n, pa.int32()), pa.array([9] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()),
+        pa.array([simhash.ALONE] * n, pa.int32()), pa.array([bytes(64)] * n, pa.binary())], simhash.BANDED)
+    out = pa.Table.from_batches(simhash._wide_compared(iter([batch.slice(0, 100), batch.slice(100)]), 100, True))
+    assert sorted(out["id"].to_pylist()) == list(range(n)) and set(out["met"].to_pylist()) == {True}
+
+
+def test_similar_texts_meet_by_simhash(spark):
+    """Fingerprints that are equal or within three bits make candidates, which connect what chains of them connect."""
+    values = [(1, 0), (2, 0), (3, 7), (4, 7 << 20 | 7), (5, -1), (6, (1 << 40) - 1)]
+    got = simhash._met_by_print(spark.createDataFrame(values, "id long, fingerprint long")).collect()
+    root = {i: i for i, _ in values}
+    for a, b in got:
+        old, new = root[b], root[a]
+        root = {i: new if r == old else r for i, r in root.items()}
+    assert root[1] == root[2] == root[3] == root[4] and len({root[i] for i in (1, 5, 6)}) == 3
+
+
 # --- shards
 
 TREE = sharding.even_tree(2, 2, 4)
