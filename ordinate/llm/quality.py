@@ -235,23 +235,32 @@ def fit(
 
     counted = texts.select(F.col("key").cast("long"), "text", F.col("label").cast("int")).mapInArrow(run, "key long, label int, terms binary")
     rows = sorted(counted.groupBy("key").agg(F.min("label").alias("label"), F.min("terms").alias("terms")).collect())
+    label = np.array([r["label"] for r in rows], np.float64)
     counts = np.zeros((len(rows), EVERY), np.float32)
     for row, r in zip(counts, rows):
         met = np.frombuffer(r["terms"], PACKED)
         row[met["term"]] = met["count"]
-    seen = (counts > 0).sum(axis=0)
-    weights = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
-    label = np.array([r["label"] for r in rows], np.float64)
-    tried = [_reduced(counts, label, weights, share, dimensions, neighbours) for share in SHARES]
-    return min(tried, key=Model.error)
+    del rows
+    return min(_tried(counts, label, dimensions, neighbours), key=Model.error)
+
+
+def _tried(counts: np.ndarray, labels: np.ndarray, dimensions: int, neighbours: int) -> list[Model]:
+    """A model for each of ``SHARES``.  The counts are scaled where they lie: the driver holds them once, for all shares."""
+    blocks = [slice(at, at + ROWS) for at in range(0, len(counts), ROWS)]
+    seen = sum(((counts[b] > 0).sum(axis=0) for b in blocks), np.zeros(EVERY, np.int64))
+    weights = (np.log((1 + len(counts)) / (1 + seen)) + 1).astype(np.float32)
+    for b in blocks:
+        counts[b] = scaled(counts[b], weights, 1.0)
+    return [_reduced(counts, labels, weights, share, dimensions, neighbours) for share in SHARES]
 
 
-def _reduced(counts: np.ndarray, labels: np.ndarray, weights: np.ndarray, share: float, dimensions: int, neighbours: int) -> Model:
-    terms = scaled(counts, weights, share)
+def _reduced(terms: np.ndarray, labels: np.ndarray, weights: np.ndarray, share: float, dimensions: int, neighbours: int) -> Model:
+    """The model of terms that are scaled to a share of 1.  Their say is a factor of the space's rows, so that no terms are copied."""
+    say = np.where(np.arange(EVERY) < FAMILIES[1], 1, share).astype(np.float32)[:, None]
     space = np.linalg.qr(np.random.default_rng(7).standard_normal((EVERY, dimensions)))[0].astype(np.float32)
     for _ in range(8):  # subspace iteration towards the leading directions
-        space = np.linalg.qr(terms.T @ (terms @ space))[0]
-    return Model(weights, share, space, unit(terms @ space), labels, neighbours)
+        space = np.linalg.qr(say * (terms.T @ (terms @ (say * space))))[0]
+    return Model(weights, share, space, unit(terms @ (say * space)), labels, neighbours)
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:

@@ -572,6 +572,25 @@ def test_quality_of_odd_rows(spark, docs, rows, nothing):
         quality.score(docs, model, name="lang")
 
 
+def test_quality_holds_counts_once(spark):
+    """The driver scales the voters' counts where they lie, for all shares; the models are those of scaled copies."""
+    import tracemalloc
+
+    from pyspark.sql import functions as F
+
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.sha2(F.concat_ws("-", "id", F.lit(k)), 256) for k in range(3)]).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    tracemalloc.start()
+    model = quality.fit(docs, labels)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.labels) > 1400
+    assert most < 2 * len(model.labels) * quality.EVERY * 4
+    chosen = docs.where(~quality.held_out(F.col("doc_id"))).orderBy("doc_id").toArrow()
+    counts = quality.every_count(chosen["text"].combine_chunks())
+    assert np.allclose(model.latent(counts), model.vectors, atol=1e-4)
+
+
 def test_terms():
     import pyarrow as pa
 
