@@ -1,4 +1,4 @@
-"""Look-ups of arrays on streams: small tables held by every worker, whole Arrow batches at a time."""
+"""Look-ups of arrays where their rows are: small tables held by every worker, whole Arrow batches at a time."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes that a table may have to be sent to the workers of a stream.
+#: Bytes that a table may have to be sent to workers.
 MOST_BYTES = 64 << 20
 #: Items whose vectors a worker holds at a time.
 ITEMS = 1 << 16
@@ -51,8 +51,18 @@ def combined(table: DataFrame, name: str, d: int, combiner: str):
     faults = table.agg((F.count("id") - F.count_distinct("id")).alias("again"), F.max(F.exists("vector", lambda v: v.isNull())).alias("gaps")).first()
     if faults["again"] or faults["gaps"]:
         raise ValueError(f"{name} needs weights without repeated ids and without nulls on a stream")
-    sent = held(table, F.lit(8 * (d + 1)), name)
+    return _combining(held(table, F.lit(8 * (d + 1)), name), d, combiner)
 
+
+def combined_if_plain(table: DataFrame, d: int, combiner: str):
+    """The same for a table that is known to be small; None if it repeats an id or holds null numbers."""
+    known = table.toArrow().combine_chunks()
+    if len(pc.unique(_column(known, "id"))) < known.num_rows or _column(known, "vector").flatten().null_count:
+        return None
+    return _combining(table.sparkSession.sparkContext.broadcast(known), d, combiner)
+
+
+def _combining(sent, d: int, combiner: str):
     @F.arrow_udf("array<double>")
     def look_up(ids: pa.Array) -> pa.Array:
         known = sent.value

@@ -62,7 +62,8 @@ class FittedSpec:
 
         ``keep`` adds input columns.  Vocabularies and embeddings of any size are joined.  A digest stands for each
         different array; its items travel with that, never with the array, and each different one is looked up once.
-        That takes an aggregate, so on a stream arrays are looked up in tables of up to 64 MB that workers hold;
+        Arrays of ids that need no vocabulary are looked up in their rows, without a shuffle, if the vectors that they can
+        reach have up to 64 MB, no repeated ids and no null numbers.  A join takes an aggregate, so on a stream arrays are looked up in tables of up to 64 MB that workers hold;
         larger ones are an error that names ``per_micro_batch``, where there is no bound.
         """
         out = df
@@ -195,16 +196,22 @@ class FittedSpec:
         vector = F.when(F.size(vector) == d, vector).otherwise(F.raise_error(F.lit(f"{step.name} needs vectors of {d} numbers")))
         table = step.weights.select(F.col("id").cast("bigint").alias("__id"), _clipped(vector, step.max_norm).alias("__vector"))
         table = table.where("__id >= 0")
-        table = table if df.isStreaming else self._reachable(table, step, d)
+        table, small = (table, False) if df.isStreaming else self._reachable(table, step, d)
         zeros = F.array_repeat(F.lit(0.0), d)
         ids = F.col(f"`__f_{step.source}`")
         if not isinstance(df.schema[f"__f_{step.source}"].dataType, T.ArrayType):
             # only ids that can be in a table take part
             found = df.join(table, F.when(ids >= 0, ids.cast("bigint")) == F.col("__id"), "left")
             return found.withColumn(column, F.coalesce("__vector", zeros)).drop("__id", "__vector")
+        weights = table.select(F.col("__id").alias("id"), F.col("__vector").alias("vector"))
+        found = None
         if df.isStreaming:
-            weights = table.select(F.col("__id").alias("id"), F.col("__vector").alias("vector"))
-            return df.withColumn(column, held.combined(weights, step.name, d, step.combiner)(ids.cast("array<bigint>")))
+            found = held.combined(weights, step.name, d, step.combiner)
+        elif small and not isinstance(self.spec._ids_step(step.source), S.Vocabulary):
+            # ids that their row alone gives: computed once, and looked up there; only those of a vocabulary come from a shuffle
+            found = held.combined_if_plain(weights, d, step.combiner)
+        if found is not None:
+            return df.withColumn(column, found(ids.cast("array<bigint>")))
         # equal ids of an array are counted in its row, before vectors join: one row for each, not for each item
         # (outer as above)
         items = _with_counts(_narrow(df, ids), F.col("__array"), "__counts").select("__digest", F.inline_outer("__counts"))
@@ -217,8 +224,8 @@ class FittedSpec:
         out = df.withColumn("__digest", _digest(ids)).join(combined, "__digest", "left").drop("__digest")
         return out.withColumn(column, F.coalesce(F.col(f"`{column}`"), zeros))
 
-    def _reachable(self, table: DataFrame, step: S.Embedding, d: int) -> DataFrame:
-        """The vectors of ids that the step's source can give; every task gets them all if they are small.
+    def _reachable(self, table: DataFrame, step: S.Embedding, d: int) -> tuple[DataFrame, bool]:
+        """The vectors of ids that the step's source can give, and whether they are small; every task gets them all then.
 
         So no rows are dealt out by id: one that most rows have would be one task's work, too few bytes for Spark to split.
         Tables that stay larger are joined by shuffling.
@@ -226,7 +233,8 @@ class FittedSpec:
         source = self.spec._ids_step(step.source)
         default = getattr(source, "default_value", None)
         near = table.where(F.col("__id") < max(self.size(step.source), -1 if default is None else default + 1))
-        return F.broadcast(near) if near.count() * 8 * (d + 4) <= held.MOST_BYTES else near
+        small = near.count() * 8 * (d + 4) <= held.MOST_BYTES
+        return F.broadcast(near) if small else near, small
 
     def _dense(self, out: DataFrame, name: str, step: S.Step) -> Column:
         value = F.col(f"`__f_{name}`")
