@@ -166,7 +166,7 @@ def pack(
             for batch in pieces(whole, "text"):
                 flat, bounds = encoded(batch.column(1), vocab)
                 for key, a, b in zip(batch.column(0).to_pylist(), bounds.tolist(), bounds[1:].tolist()):
-                    stream.add(key, np.r_[flat[a:b], np.int32(end)])
+                    stream.add(key, np.append(flat[a:b], np.int32(end)))
                 if stream.waiting >= HELD:
                     yield batch_of(stream.flush(False))
         if rows := stream.flush(True):

@@ -7,6 +7,7 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -404,6 +405,26 @@ def test_bpe_long_pieces_by_both_ways(encoding):
     assert vocab.merged(found) == [vocab._merged_long(p) if p not in vocab.ranks else (vocab.ranks[p],) for p in found]
 
 
+def test_bpe_memory_does_not_follow_the_batch(encoding):
+    """A batch of texts takes little more than a stretch, and kept pre-tokens little more than their bytes."""
+    import pyarrow as pa
+
+    texts = [None, "", *[" ".join(words(seed, 5000)) for seed in range(100)], PROSE * 500, ""]
+    column, vocab = pa.array(texts), bpe.Vocabulary(PATH)
+    bpe.encoded(pa.array(["some words: abcdeist"]), vocab)
+    vocab.kept.clear()
+    tracemalloc.start()
+    try:
+        ids, bounds = bpe.encoded(column, vocab)
+        left, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert column.nbytes > 4_000_000 and len(vocab.kept) > 15_000
+    assert peak - left < 25 * column.nbytes
+    assert left - ids.nbytes - bounds.nbytes < 250 * len(vocab.kept)
+    assert all(ids[a:b].tolist() == encoding.encode_ordinary(t or "") for t, a, b in zip(texts, bounds, bounds[1:]))
+
+
 # --- packing
 
 
