@@ -20,7 +20,7 @@ from ordinate.llm.common import per_process, pieces, utf8
 #: Pre-tokens whose ids a process keeps, and the longest one that it keeps, in bytes.
 KEPT = 1 << 19
 KEPT_BYTES = 64
-#: Bytes of whole texts that are encoded at a time: what is held of each byte meanwhile is some 70 bytes.
+#: Bytes of whole texts that are encoded at a time: some 30 bytes are held for each meanwhile.
 STRETCH = 1 << 20
 #: Slots of the table of pairs, as a power of two; and the rank of a pair that does not merge.
 PAIR_BITS = 20
